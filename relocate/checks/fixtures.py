@@ -9,20 +9,19 @@ from relocate.functions import times
 from relocate.sources import catalog
 from relocate.specs import TableSpec
 
-MONTH = "date_format({}, \"'p'yyyyMM\")"
-
 ORDERS = TableSpec(
     name="orders",
-    partition=MONTH.format("o_orderdate"),
+    key="o_orderdate",
+    unit="month",
     metrics={"o_totalprice": "o_totalprice"},
-    unique_key=("o_orderkey",),
 )
 LINEITEM = TableSpec(
     name="lineitem",
-    partition=MONTH.format("l_shipdate"),
+    key="l_shipdate",
+    unit="month",
     metrics={"l_extendedprice": "l_extendedprice", "l_quantity": "l_quantity"},
 )
-EVENTS = TableSpec(name="events", partition="date_format(ts, \"'p'yyyyMMdd\")", metrics={"value": "value"})
+EVENTS = TableSpec(name="events", key="ts", unit="day", metrics={"value": "value"})
 LINE_KEY = ("l_orderkey", "l_linenumber")
 LINE_VERSION = ("l_shipdate", "l_partkey", "l_suppkey")
 

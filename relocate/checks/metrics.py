@@ -1,5 +1,7 @@
 """Metrics and reconciliation of orders and lineitem with damaged copies."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from relocate.checks import fixtures as fx
@@ -13,13 +15,16 @@ _TGT = fx.sql_month_metrics(fx.SQL_DAMAGED)
 def _sql_compare(kind):
     return f"""
 SELECT name, s.row_count AS src_rows, t.row_count AS tgt_rows,
-       s.o_totalprice AS src_o_totalprice, t.o_totalprice AS tgt_o_totalprice,
+       s.o_totalprice AS src_sum, t.o_totalprice AS tgt_sum,
        CASE WHEN t.row_count IS NULL THEN 'LOST' WHEN s.row_count IS NULL THEN 'EXTRA'
             WHEN s.row_count = t.row_count AND s.o_totalprice IS NOT DISTINCT FROM t.o_totalprice THEN 'MATCH'
             ELSE 'NOT MATCH' END AS status
 FROM ({_SRC}) s {kind} JOIN ({_TGT}) t USING (name)"""
 
 
+_SUM = replace(fx.ORDERS, metrics={"sum": "o_totalprice"})
+
+
 def _orders(spark, folder):
     return fx.table(spark, folder, "orders")
 
@@ -48,20 +53,20 @@ def metric_fingerprint(spark, folder):
 
 @query("reconcile_left", _sql_compare("LEFT"))
 def reconcile_left(spark, folder):
-    return reconcile.reconcile(_orders(spark, folder), fx.damaged_orders(spark, folder), fx.ORDERS)
+    return reconcile.reconcile(_orders(spark, folder), fx.damaged_orders(spark, folder), _SUM)
 
 
 @query("reconcile_full", _sql_compare("FULL"))
 def reconcile_full(spark, folder):
-    return reconcile.reconcile(_orders(spark, folder), fx.damaged_orders(spark, folder), fx.ORDERS, both_sides=True)
+    return reconcile.reconcile(_orders(spark, folder), fx.damaged_orders(spark, folder), _SUM, both_sides=True)
 
 
 @query("reconcile_saved_metrics", _sql_compare("FULL"))
 def reconcile_saved_metrics(spark, folder):
     """Comparison of two metric tables that were computed apart."""
     report = reconcile.compare_metrics(
-        metrics.partition_metrics(_orders(spark, folder), fx.ORDERS),
-        metrics.partition_metrics(fx.damaged_orders(spark, folder), fx.ORDERS),
+        metrics.partition_metrics(_orders(spark, folder), _SUM),
+        metrics.partition_metrics(fx.damaged_orders(spark, folder), _SUM),
         both_sides=True,
     )
     return report.withColumnsRenamed({"src_row_count": "src_rows", "tgt_row_count": "tgt_rows"})

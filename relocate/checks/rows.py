@@ -1,12 +1,14 @@
 """Scans, partition predicates and the assignment of rows to partitions."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from relocate.checks import fixtures as fx
 from relocate.checks import query
 from relocate.operators import assign, predicates
 from relocate.session import saved
-from relocate.specs import Selector, Store, TableSpec
+from relocate.specs import Selector, Store
 
 # List partitions of orders by state.
 STATE_LISTS = {"pclosed": ["F", "O"], "popen": ["P"]}
@@ -39,13 +41,13 @@ def scan_filtered(spark, folder):
 
 @query("scan_whole_table", f"SELECT * FROM orders WHERE {_OPEN_OR_LARGE}")
 def scan_whole_table(spark, folder):
-    spec = TableSpec("orders", fx.ORDERS.partition, row_filter=_OPEN_OR_LARGE, selector=Selector.parse("ALL"))
+    spec = replace(fx.ORDERS, row_filter=_OPEN_OR_LARGE, selector=Selector.parse("ALL"))
     return spec.rows(_orders(spark, folder))
 
 
 @query("select_all", "SELECT * FROM orders")
 def select_all(spark, folder):
-    spec = TableSpec("orders", fx.ORDERS.partition, selector=Selector.parse("ALL"))
+    spec = replace(fx.ORDERS, selector=Selector.parse("ALL"))
     return spec.rows(_orders(spark, folder))
 
 

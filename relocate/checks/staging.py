@@ -1,5 +1,7 @@
 """Queries that write to a new folder below the shared one, read back and return what is there."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,7 +78,7 @@ FROM ({_ORDERS_STAGED})""",
 def stage_overwrite_one(spark, folder):
     """One partition staged again with other values; the rest stays."""
     orders, out = _stage_orders(spark, folder)
-    spec = TableSpec("orders", fx.ORDERS.partition, selector=Selector.parse("EACH(p199601)"))
+    spec = replace(fx.ORDERS, selector=Selector.parse("EACH(p199601)"))
     changed = stage.staged_rows(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), spec)
     stage.stage_parquet(changed, out)
     return staged.read_parquet(spark, out, orders.schema)
@@ -159,7 +161,7 @@ def staged_file_counts(spark, folder):
 
 @query("direct_copy", "SELECT * FROM orders WHERE o_orderstatus <> 'P'")
 def direct_copy(spark, folder):
-    spec = TableSpec("orders", fx.ORDERS.partition, row_filter="o_orderstatus <> 'P'")
+    spec = replace(fx.ORDERS, row_filter="o_orderstatus <> 'P'")
     target = Store(root=work_folder(spark, "copy"))
     orders = fx.table(spark, folder, "orders")
     load.direct_copy(orders, spec, target)
@@ -176,7 +178,7 @@ def _job(spark, name, **settings):
 def load_append(spark, folder):
     """Exported, then loaded twice; the second load finds nothing to do."""
     orders = fx.table(spark, folder, "orders")
-    spec = TableSpec("orders", fx.ORDERS.partition)
+    spec = fx.ORDERS
     job = _job(spark, "job1")
     plan.export_table(orders, spec, job)
     plan.import_table(spark, orders.schema, spec, job)
@@ -220,7 +222,7 @@ def snapshot_plus_delta(spark, folder):
 def retry_replay(spark, folder):
     """A load whose record says that every second month failed, loaded again; each row shows once."""
     orders = fx.table(spark, folder, "orders")
-    spec = TableSpec("orders", fx.ORDERS.partition, unique_key=("o_orderkey",))
+    spec = replace(fx.ORDERS, unique_key=("o_orderkey",))
     job = _job(spark, "job1")
     plan.export_table(orders, spec, job)
     plan.import_table(spark, orders.schema, spec, job)
@@ -254,9 +256,7 @@ FROM orders WHERE {fx.SQL_MONTH.format('o_orderdate')} >= 'p199801' GROUP BY 2""
 def relocate_and_validate(spark, folder):
     """A whole job: export from 1998 on, load, compare with the source under the same spec."""
     orders = fx.table(spark, folder, "orders")
-    spec = TableSpec(
-        "orders", fx.ORDERS.partition, fx.ORDERS.metrics, selector=Selector.parse("STARTWITH(p199801)")
-    )
+    spec = replace(fx.ORDERS, selector=Selector.parse("STARTWITH(p199801)"))
     job = _job(spark, "job1", max_rows_per_file=10_000)
     plan.export_table(orders, spec, job)
     plan.import_table(spark, orders.schema, spec, job)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ STATUS_TIME = "yyyy-MM-dd HH:mm:ss"
 
 # Partition name patterns by calendar unit. All have a fixed width, so they sort as text.
 NAME_PATTERNS = {"day": "'p'yyyyMMdd", "month": "'p'yyyyMM", "year": "'p'yyyy"}
+NAME_DIGITS = {"day": 8, "month": 6, "year": 4}
 
 
 def status_time(time: Column) -> Column:
@@ -36,3 +39,21 @@ def period_name(time: Column, unit: str = "day") -> Column:
 def with_default_time(time: Column, loaded_at: Column | None = None) -> Column:
     """A missing insert time becomes the load time."""
     return F.coalesce(time, F.localtimestamp() if loaded_at is None else loaded_at)
+
+
+def named_period(name: str, unit: str) -> tuple[str, str] | None:
+    """Start and end of the period a partition name stands for; None for any other text."""
+    digits = name[1:]
+    if not name.startswith("p") or len(digits) != NAME_DIGITS[unit] or not digits.isdigit():
+        return None
+    try:
+        start = dt.date(int(digits[:4]), int(digits[4:6] or 1), int(digits[6:8] or 1))
+        if unit == "day":
+            end = start + dt.timedelta(days=1)
+        elif unit == "month":
+            end = (start + dt.timedelta(days=31)).replace(day=1)
+        else:
+            end = start.replace(year=start.year + 1)
+    except (ValueError, OverflowError):
+        return None
+    return f"{start} 00:00:00", f"{end} 00:00:00"

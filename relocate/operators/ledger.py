@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relocate.functions import messages, paths, times
-from relocate.session import saved
+from relocate.session import read_or_empty, saved
 
 # States of a staged file.
 EXPORTING = "exporting"
@@ -133,10 +133,9 @@ class Ledger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        spark.createDataFrame([], EVENT_SCHEMA).write.mode("append").parquet(folder)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(self.folder)
+        return read_or_empty(self.spark, self.folder, EVENT_SCHEMA)
 
     def current(self) -> DataFrame:
         return current_state(self.events()).where(F.col("status") != PURGED)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,16 +13,22 @@ from pyspark.sql import types as T
 from relocate.functions.paths import PARTITION_FIELD
 from relocate.operators import ledger
 from relocate.operators.stage import gathered
-from relocate.session import few_values
+from relocate.session import broadcast_below, few_values, read_or_empty
 from relocate.sources.staged import with_file
 from relocate.specs import Store, TableSpec
 
 # Folder column of a target table: the load that wrote the rows.
 LOAD_FIELD = "load_id"
 
+# Column of a target table: when its load ran, in nanoseconds since 1970.
+LOAD_TIME = "loaded_at"
+
 # Up to this many files or partitions are named to the scan as literals; more are joined.
 LITERAL_LIMIT = 1000
 
+# Longest list of file names that is sent to every executor.
+BROADCAST_FILES = 500_000
+
 
 def file_counts(staged: DataFrame) -> DataFrame:
     """Row count of each staged file; Parquet answers from its footers."""
@@ -40,16 +46,25 @@ def file_load_status(landed: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def rows_of_files(staged: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the given files only, with their ``task_name``.
+def rows_of_files(staged: DataFrame, counts: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of ``files`` only, out of a staged table whose files are all in ``counts``.
 
-    A short list prunes the scan to those files; a long one is a semi join.
+    Nothing is filtered where every file is wanted. A short list of files to take, or to
+    leave out, goes to the scan as literals, which opens no other file. Between two long
+    lists the shorter is broadcast while it is within ``BROADCAST_FILES``, and joined by
+    a shuffle beyond.
     """
     rows = with_file(staged)
-    names = few_values(files, "task_name", LITERAL_LIMIT)
+    others = counts.select("task_name").join(files, "task_name", "left_anti")
+    left_out, taken = others.count(), files.count()
+    if not left_out:
+        return rows
+    shorter, how = (files, "left_semi") if taken <= left_out else (others, "left_anti")
+    names = few_values(shorter, "task_name", LITERAL_LIMIT)
     if names is None:
-        return rows.join(files, "task_name", "left_semi")
-    return rows.where(F.col("task_name").isin(*names)) if names else rows.where(F.lit(False))
+        return rows.join(broadcast_below(shorter, min(taken, left_out), BROADCAST_FILES), "task_name", how)
+    listed = F.col("task_name").isin(*names) if names else F.lit(False)
+    return rows.where(listed if how == "left_semi" else ~listed)
 
 
 def load_label_of(files: DataFrame) -> str:
@@ -65,7 +80,7 @@ def load_label_of(files: DataFrame) -> str:
 def append_once(df: DataFrame, folder: str, load_id: str) -> None:
     """Append rows under their load's folder. Running the load again replaces its own rows and no others."""
     (
-        df.withColumn(LOAD_FIELD, F.lit(load_id))
+        df.withColumns({LOAD_TIME: F.lit(time.time_ns()), LOAD_FIELD: F.lit(load_id)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_FIELD)
@@ -73,10 +88,23 @@ def append_once(df: DataFrame, folder: str, load_id: str) -> None:
     )
 
 
-def read_loaded(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """Rows of a table that was filled by ``append_once``."""
-    stored = T.StructType([*schema.fields, T.StructField(LOAD_FIELD, T.StringType())])
-    return spark.read.schema(stored).parquet(folder).select(*schema.names)
+def read_loaded(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    key: Sequence[str] = (),
+    version: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of a table that was filled by ``append_once``.
+
+    With a key the table shows one row per key: the highest version, and of equal ones
+    the row that was loaded last.
+    """
+    fields = [T.StructField(LOAD_TIME, T.LongType()), T.StructField(LOAD_FIELD, T.StringType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *fields])).parquet(folder)
+    if key:
+        rows = latest_per_key(rows, key, [*version, LOAD_TIME])
+    return rows.select(*schema.names)
 
 
 def direct_copy(df: DataFrame, spec: TableSpec, target: Store, table: str | None = None) -> None:
@@ -140,17 +168,6 @@ def upsert_table(
     writer.parquet(folder)
 
 
-def _committed_loads(spark: SparkSession, folder: str, labels: list[str]) -> DataFrame:
-    """Those of the labels that have rows in the target table."""
-    try:
-        stored = spark.read.schema(f"{LOAD_FIELD} string").parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{LOAD_FIELD} string")
-    return stored.where(F.col(LOAD_FIELD).isin(*labels)).distinct()
-
-
 def settle_interrupted(spark: SparkSession, folder: str, record: ledger.Ledger) -> None:
     """Record as loaded the files of a load that was written but cut short before it was recorded."""
     loading = ledger.scan_status(record.current(), ledger.LOADING)
@@ -158,32 +175,35 @@ def settle_interrupted(spark: SparkSession, folder: str, record: ledger.Ledger)
     if labels is None:
         raise RuntimeError(f"more than {LITERAL_LIMIT} loads are unfinished in {record.folder}")
     if labels:
-        committed = _committed_loads(spark, folder, labels)
-        written = loading.join(committed, F.col("msg") == F.col(LOAD_FIELD), "left_semi")
+        stored = read_or_empty(spark, folder, f"{LOAD_FIELD} string").where(F.col(LOAD_FIELD).isin(*labels))
+        written = loading.join(stored.distinct(), F.col("msg") == F.col(LOAD_FIELD), "left_semi")
         record.append(record.hold(written.select("task_name")), ledger.LOADED)
 
 
 def load_files(
-    spark: SparkSession, staged: DataFrame, landed: DataFrame, folder: str, record: ledger.Ledger
+    spark: SparkSession, landed: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
 ) -> DataFrame:
     """Load the landed files that the ledger does not show as loaded, and record every outcome.
 
-    All files go in one job, whose rows become visible together under the load's label.
-    The label is in the ledger before the rows are written, so that a run which is cut
-    short at any point is settled by the next one without losing or doubling rows. One
-    load per target table may run at a time. Returns the status of this load's files.
+    ``landed`` must be listed before ``staged`` is read: a file that arrives in between is
+    then left to the next load. All files go in one job, whose rows become visible
+    together under the load's label. The label is in the ledger before the rows are
+    written, so a run that is cut short at any point is settled by the next one without
+    losing or doubling rows. One load per target table may run at a time. Returns the
+    status of this load's files.
     """
     settle_interrupted(spark, folder, record)
-    files = record.hold(ledger.pending_files(landed.select("task_name"), record.current()))
+    counts = record.hold(file_counts(staged))
+    pending = record.hold(ledger.pending_files(landed.select("task_name"), record.current()))
+    files = pending.join(counts, "task_name", "left_semi")
     label = load_label_of(files)
-    record.append(files, ledger.LOADING, label)
-    rows = rows_of_files(staged, files)
+    record.append(pending, ledger.LOADING, label)
     try:
+        rows = rows_of_files(staged, counts, files)
         append_once(rows.drop("task_name", PARTITION_FIELD), folder, label)
     except Exception as error:
-        record.append(files, ledger.FAILED, str(error))
+        record.append(pending, ledger.FAILED, str(error))
         raise
-    counts = rows.groupBy("task_name").agg(F.count("*").alias("row_count"))
-    status = record.hold(file_load_status(files, counts))
+    status = file_load_status(pending, counts)
     record.append(status, ledger.LOADED, F.col("row_count").cast("string"))
     return status

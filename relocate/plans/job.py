@@ -65,7 +65,7 @@ def import_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job
     folder = job.stage(spec.name)
     landed = listing.list_files(spark, folder)
     rows = staged.read_parquet(spark, folder, schema)
-    return load.load_files(spark, rows, landed, job.target(spec.name), job.ledger(spark))
+    return load.load_files(spark, landed, rows, job.target(spec.name), job.ledger(spark))
 
 
 def import_stream(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job, checkpoint: str, **limits):
@@ -77,8 +77,7 @@ def import_stream(spark: SparkSession, schema: T.StructType, spec: TableSpec, jo
 
 def loaded_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job) -> DataFrame:
     """The target table; with a unique key, the latest row of each key."""
-    rows = load.read_loaded(spark, job.target(spec.name), schema)
-    return load.latest_per_key(rows, spec.unique_key, spec.version) if spec.unique_key else rows
+    return load.read_loaded(spark, job.target(spec.name), schema, spec.unique_key, spec.version)
 
 
 def retry(
@@ -104,7 +103,7 @@ def retry(
         raise ValueError(f"{spec.name} has no unique key: loading a loaded file again would double its rows")
     files = record.hold(chosen.select("task_name"))
     record.append(files, ledger.RETRY)
-    return load.load_files(spark, staged.read_parquet(spark, folder, schema), files, job.target(spec.name), record)
+    return load.load_files(spark, files, staged.read_parquet(spark, folder, schema), job.target(spec.name), record)
 
 
 def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks: HighWater) -> DataFrame:

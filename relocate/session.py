@@ -6,6 +6,7 @@ import functools
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_or_empty(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Parquet files of a folder, no rows when the folder does not exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def few_values(df: DataFrame, column: str, limit: int) -> list | None:
     """Distinct values of ``column`` when there are at most ``limit`` of them, else None."""
     found = df.select(column).distinct().limit(limit + 1).collect()

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relocate.functions import times
+
 # The selector words and the partition name of a whole-table run.
 SELECTOR_WORDS = ("ALL", "EACH", "RANGE", "STARTWITH", "ENDWITH")
 WHOLE_TABLE = "default"
@@ -80,30 +82,61 @@ def split_selectors(text: str | None, tables: list[str]) -> dict[str, Selector]:
 class TableSpec:
     """One table of a job. Export, load and validation all read the same spec.
 
-    ``partition`` is the SQL expression of a row's partition name. ``metrics`` maps a
+    The partition of a row is either the day, month or year (``unit``) of the column
+    ``key``, or the name that the SQL expression ``partition`` gives. ``metrics`` maps a
     report column to the expression that is summed. ``row_filter`` limits what is moved
     and what is compared.
     """
 
     name: str
-    partition: str | Column
+    partition: str | Column | None = None
+    key: str = ""
+    unit: str = ""
     metrics: Mapping[str, str | Column] = field(default_factory=dict)
     row_filter: str | Column | None = None
     selector: Selector = Selector()
     unique_key: tuple[str, ...] = ()
     version: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        if (self.partition is None) == (not (self.key and self.unit)):
+            raise ValueError(f"{self.name}: give either a partition expression or a key and its unit")
+
     def partition_column(self) -> Column:
-        return F.coalesce(as_column(self.partition).cast("string"), F.lit(UNASSIGNED))
+        name = times.period_name(F.col(self.key), self.unit) if self.unit else as_column(self.partition)
+        return F.coalesce(name.cast("string"), F.lit(UNASSIGNED))
 
     def rows(self, df: DataFrame) -> DataFrame:
-        """Rows of ``df`` that this job covers: row filter and partition selector applied."""
+        """Rows of ``df`` that this job covers: row filter and partition selector applied.
+
+        For calendar partitions the selected names are also given as bounds of the key,
+        which the scan can use; the names decide.
+        """
         if self.row_filter is not None:
             df = df.where(as_column(self.row_filter))
         if self.selector == Selector() or self.selector.whole_table:
             return df
+        if self.unit:
+            kind = df.schema[self.key].dataType
+            low, high = self._selected_times()
+            if low is not None:
+                df = df.where(F.col(self.key) >= F.lit(low).cast(kind))
+            if high is not None:
+                df = df.where(F.col(self.key) < F.lit(high).cast(kind))
         return df.where(self.selector.keeps(self.partition_column()))
 
+    def _selected_times(self) -> tuple[str | None, str | None]:
+        """First and last time that selected calendar names span, None where a name is no period."""
+        chosen = self.selector
+        low, high = chosen.begin, chosen.end
+        span = times.named_period(low, self.unit), times.named_period(high, self.unit)
+        start, stop = (period[0] if period else None for period in span)
+        if chosen.names is not None:
+            periods = [times.named_period(name, self.unit) for name in chosen.names]
+            if all(periods):
+                start, stop = min(p[0] for p in periods), max(p[1] for p in periods)
+        return start, stop
+
 
 @dataclass(frozen=True)
 class Store:

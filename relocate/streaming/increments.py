@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relocate.session import read_or_empty
+
 
 def high_water(df: DataFrame, key: str) -> object:
     """Largest insert key, one value; None for an empty table."""
@@ -28,10 +30,9 @@ class HighWater:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(folder)
 
     def last(self, df: DataFrame, key: str, table: str) -> object:
-        marks = self.spark.read.schema(self.SCHEMA).parquet(self.folder).where(F.col("table") == table)
+        marks = read_or_empty(self.spark, self.folder, self.SCHEMA).where(F.col("table") == table)
         return marks.agg(F.max(F.col("mark").cast(df.schema[key].dataType))).first()[0]
 
     def advance(self, df: DataFrame, key: str, table: str, mark: object) -> None:
