@@ -19,10 +19,15 @@ def status_time(time: Column) -> Column:
     return F.date_format(time, STATUS_TIME)
 
 
+def first_day(time: Column, unit: str = "day") -> Column:
+    """First day of the day, month or year, as a date."""
+    day = F.to_date(time)
+    return day if unit == "day" else F.trunc(day, unit)
+
+
 def period_start(time: Column, unit: str = "day") -> Column:
     """First instant of the day, month or year."""
-    day = F.to_date(time)
-    return (day if unit == "day" else F.trunc(day, unit)).cast("timestamp_ntz")
+    return first_day(time, unit).cast("timestamp_ntz")
 
 
 def period_end(start: Column, unit: str = "day") -> Column:

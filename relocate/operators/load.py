@@ -46,8 +46,26 @@ def file_load_status(landed: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def rows_of_files(staged: DataFrame, counts: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of ``files`` only, out of a staged table whose files are all in ``counts``.
+def wanted_files(counts: DataFrame, pending: DataFrame) -> DataFrame:
+    """The files of a staged table with ``wanted`` true for those that are to be loaded."""
+    flag = pending.select("task_name", F.lit(True).alias("wanted"))
+    return counts.join(flag, "task_name", "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+
+
+def load_plan(marked: DataFrame) -> tuple[str, int, int]:
+    """Label of a load, files to take and files to leave out.
+
+    The label is the same whenever the same files are loaded.
+    """
+    hashes = [F.xxhash64("task_name"), F.xxhash64(F.lit("label"), F.col("task_name"))]
+    first, second, taken, total = marked.agg(
+        *[F.bit_xor(F.when(F.col("wanted"), value)) for value in hashes], F.count_if("wanted"), F.count("*")
+    ).first()
+    return f"{taken}-{(first or 0) & (2**64 - 1):016x}{(second or 0) & (2**64 - 1):016x}", taken, total - taken
+
+
+def rows_of_files(staged: DataFrame, marked: DataFrame, taken: int, left_out: int) -> DataFrame:
+    """Rows of the wanted files of a staged table.
 
     Nothing is filtered where every file is wanted. A short list of files to take, or to
     leave out, goes to the scan as literals, which opens no other file. Between two long
@@ -55,26 +73,16 @@ def rows_of_files(staged: DataFrame, counts: DataFrame, files: DataFrame) -> Dat
     a shuffle beyond.
     """
     rows = with_file(staged)
-    others = counts.select("task_name").join(files, "task_name", "left_anti")
-    left_out, taken = others.count(), files.count()
     if not left_out:
         return rows
-    shorter, how = (files, "left_semi") if taken <= left_out else (others, "left_anti")
+    take = taken <= left_out
+    shorter = marked.where(F.col("wanted") if take else ~F.col("wanted")).select("task_name")
     names = few_values(shorter, "task_name", LITERAL_LIMIT)
     if names is None:
-        return rows.join(broadcast_below(shorter, min(taken, left_out), BROADCAST_FILES), "task_name", how)
+        shorter = broadcast_below(shorter, min(taken, left_out), BROADCAST_FILES)
+        return rows.join(shorter, "task_name", "left_semi" if take else "left_anti")
     listed = F.col("task_name").isin(*names) if names else F.lit(False)
-    return rows.where(listed if how == "left_semi" else ~listed)
-
-
-def load_label_of(files: DataFrame) -> str:
-    """Label of a load, the same whenever the same set of files is loaded."""
-    count, first, second = files.agg(
-        F.count("*"),
-        F.bit_xor(F.xxhash64("task_name")),
-        F.bit_xor(F.xxhash64(F.lit("label"), F.col("task_name"))),
-    ).first()
-    return f"{count}-{(first or 0) & (2**64 - 1):016x}{(second or 0) & (2**64 - 1):016x}"
+    return rows.where(listed if take else ~listed)
 
 
 def append_once(df: DataFrame, folder: str, load_id: str) -> None:
@@ -193,17 +201,18 @@ def load_files(
     status of this load's files.
     """
     settle_interrupted(spark, folder, record)
-    counts = record.hold(file_counts(staged))
     pending = record.hold(ledger.pending_files(landed.select("task_name"), record.current()))
-    files = pending.join(counts, "task_name", "left_semi")
-    label = load_label_of(files)
+    if pending.isEmpty():
+        return file_load_status(pending, pending.withColumn("row_count", F.lit(0).cast("bigint")))
+    marked = record.hold(wanted_files(file_counts(staged), pending))
+    label, taken, left_out = load_plan(marked)
     record.append(pending, ledger.LOADING, label)
     try:
-        rows = rows_of_files(staged, counts, files)
+        rows = rows_of_files(staged, marked, taken, left_out)
         append_once(rows.drop("task_name", PARTITION_FIELD), folder, label)
     except Exception as error:
         record.append(pending, ledger.FAILED, str(error))
         raise
-    status = file_load_status(pending, counts)
+    status = file_load_status(pending, marked.select("task_name", "row_count"))
     record.append(status, ledger.LOADED, F.col("row_count").cast("string"))
     return status

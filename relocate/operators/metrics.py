@@ -40,7 +40,8 @@ def metric_sums(df: DataFrame, spec: TableSpec) -> list[Column]:
 def partition_metrics(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Count and sums of every partition in one job; partial sums per task go through the shuffle."""
     rows = spec.rows(df)
-    return rows.groupBy(spec.partition_column().alias("name")).agg(*metric_sums(rows, spec))
+    sums = rows.groupBy(spec.group_column().alias("_group")).agg(*metric_sums(rows, spec))
+    return sums.select(spec.name_of(F.col("_group")).alias("name"), "row_count", *spec.metrics)
 
 
 def table_metrics(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -52,14 +52,14 @@ def reconcile(source: DataFrame, target: DataFrame, spec: TableSpec, both_sides:
         columns = [
             column.cast(kind).alias(metric) for metric, (column, kind) in metrics.items()
         ]
-        return rows.select(spec.partition_column().alias("name"), F.lit(of_source).alias("of_source"), *columns)
+        return rows.select(spec.group_column().alias("_group"), F.lit(of_source).alias("of_source"), *columns)
 
     def total(metric: str, of_source: bool) -> Column:
         kind = T.DecimalType(38, metrics[metric][1].scale)
         wanted = F.col("of_source") if of_source else ~F.col("of_source")
         return F.sum(F.when(wanted, F.col(metric))).cast(kind)
 
-    both = side(source, True).union(side(target, False)).groupBy("name")
+    both = side(source, True).union(side(target, False)).groupBy("_group")
     sums = [
         total(metric, of_source).alias(f"{prefix}_{metric}")
         for metric in metrics
@@ -74,7 +74,10 @@ def reconcile(source: DataFrame, target: DataFrame, spec: TableSpec, both_sides:
     pairs += [(F.col(f"src_{metric}"), F.col(f"tgt_{metric}")) for metric in metrics]
     if not both_sides:
         counted = counted.where(F.col("src_rows").isNotNull())
-    return counted.withColumn("status", _verdict(pairs, F.col("src_rows"), F.col("tgt_rows")))
+    status = _verdict(pairs, F.col("src_rows"), F.col("tgt_rows"))
+    return counted.select(
+        spec.name_of(F.col("_group")).alias("name"), *counted.columns[1:], status.alias("status")
+    )
 
 
 def reconcile_tables(

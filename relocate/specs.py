@@ -102,40 +102,49 @@ class TableSpec:
         if (self.partition is None) == (not (self.key and self.unit)):
             raise ValueError(f"{self.name}: give either a partition expression or a key and its unit")
 
+    def group_column(self) -> Column:
+        """What rows of one partition have in common, in its cheapest form: the first day for calendar units."""
+        return times.first_day(F.col(self.key), self.unit) if self.unit else as_column(self.partition).cast("string")
+
+    def name_of(self, group: Column) -> Column:
+        """Partition name of a ``group_column`` value."""
+        name = times.period_name(group, self.unit) if self.unit else group
+        return F.coalesce(name, F.lit(UNASSIGNED))
+
     def partition_column(self) -> Column:
-        name = times.period_name(F.col(self.key), self.unit) if self.unit else as_column(self.partition)
-        return F.coalesce(name.cast("string"), F.lit(UNASSIGNED))
+        return self.name_of(self.group_column())
 
     def rows(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` that this job covers: row filter and partition selector applied.
 
-        For calendar partitions the selected names are also given as bounds of the key,
-        which the scan can use; the names decide.
+        Rows without a partition are covered unless a selector names partitions.
         """
         if self.row_filter is not None:
             df = df.where(as_column(self.row_filter))
         if self.selector == Selector() or self.selector.whole_table:
             return df
-        if self.unit:
-            kind = df.schema[self.key].dataType
-            low, high = self._selected_times()
-            if low is not None:
-                df = df.where(F.col(self.key) >= F.lit(low).cast(kind))
-            if high is not None:
-                df = df.where(F.col(self.key) < F.lit(high).cast(kind))
-        return df.where(self.selector.keeps(self.partition_column()))
-
-    def _selected_times(self) -> tuple[str | None, str | None]:
-        """First and last time that selected calendar names span, None where a name is no period."""
-        chosen = self.selector
-        low, high = chosen.begin, chosen.end
-        span = times.named_period(low, self.unit), times.named_period(high, self.unit)
-        start, stop = (period[0] if period else None for period in span)
+        if not self.unit:
+            return df.where(self.selector.keeps(self.group_column()))
+        return df.where(self._keeps_period(df.schema[self.key].dataType))
+
+    def _keeps_period(self, kind: T.DataType) -> Column:
+        """The selector as bounds of the key, which a scan can use; by name where a name is no period."""
+        chosen, key = self.selector, F.col(self.key)
+        named = [name for name in (*(chosen.names or ()), chosen.begin, chosen.end) if name]
+        periods = {name: times.named_period(name, self.unit) for name in named}
+        if not all(periods.values()):
+            return chosen.keeps(times.period_name(self.group_column(), self.unit))
+        kept = key.isNotNull()
         if chosen.names is not None:
-            periods = [times.named_period(name, self.unit) for name in chosen.names]
-            if all(periods):
-                start, stop = min(p[0] for p in periods), max(p[1] for p in periods)
-        return start, stop
+            days = [F.lit(periods[name][0]).cast("date") for name in chosen.names]
+            first = min(periods[name][0] for name in chosen.names)
+            last = max(periods[name][1] for name in chosen.names)
+            kept = self.group_column().isin(*days) & (key >= F.lit(first).cast(kind)) & (key < F.lit(last).cast(kind))
+        if chosen.begin:
+            kept = kept & (key >= F.lit(periods[chosen.begin][0]).cast(kind))
+        if chosen.end:
+            kept = kept & (key < F.lit(periods[chosen.end][0]).cast(kind))
+        return kept
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,7 @@ def stream_load(
     target_folder: str,
     checkpoint: str,
     record: ledger.Ledger | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
     drain: bool = True,
 ):
