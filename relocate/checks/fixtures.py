@@ -251,6 +251,7 @@ def ledger_events(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").alias("update_time"),
         F.col("event_id").alias("seq"),
         F.lit("").alias("msg"),
+        F.lit(None).cast("string").alias("load_id"),
     )
 
 

@@ -34,7 +34,7 @@ def ledger_scan(spark, folder):
     f"SELECT task_name, status, update_time, seq FROM ({fx.SQL_LEDGER}) WHERE {_JOB} <> 'job1'",
 )
 def ledger_purge(spark, folder):
-    return ledger.purge_job(fx.ledger_events(spark, folder), "job1").drop("msg")
+    return ledger.purge_job(fx.ledger_events(spark, folder), "job1").drop("msg", "load_id")
 
 
 @query(

@@ -84,6 +84,15 @@ def stage_overwrite_one(spark, folder):
     return staged.read_parquet(spark, out, orders.schema)
 
 
+@query("stage_from_folders", _ORDERS_STAGED)
+def stage_from_folders(spark, folder):
+    """A source of partition folders staged again without a shuffle."""
+    orders, source = _stage_orders(spark, folder)
+    out = work_folder(spark, "stage")
+    stage.stage_parquet(staged.read_parquet(spark, source, orders.schema), out, gather=False)
+    return staged.read_parquet(spark, out, orders.schema)
+
+
 @query("stage_layout", _ORDERS_STAGED)
 def stage_layout(spark, folder):
     """Bloom filters and LZ4 compression, as the tables of the source have them."""
@@ -153,7 +162,7 @@ def column_mapping(spark, folder):
 )
 def staged_file_counts(spark, folder):
     """Rows per file, added up per partition because file names are random."""
-    orders, out = _stage_orders(spark, folder, _CAP)
+    orders, out = _stage_orders(spark, folder, 10 * _CAP)
     counts = load.file_counts(staged.read_parquet(spark, out, orders.schema))
     partition = F.regexp_extract("task_name", f"/{PARTITION_FIELD}=([^/]*)/", 1)
     return counts.groupBy(partition.alias("partition")).agg(F.sum("row_count").alias("row_count"))

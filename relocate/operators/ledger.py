@@ -1,7 +1,7 @@
 """The task ledger: status events per staged file, folded to the latest state.
 
-An event has ``task_name, status, update_time, seq, msg``. Events are only ever added; the
-state of a file is its latest event by ``(update_time, seq)``.
+An event has ``task_name, status, update_time, seq, msg, load_id``. Events are only ever
+added; the state of a file is its latest event by ``(update_time, seq)``.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ PURGED = "PURGED"
 # States of an export job.
 PENDING_JOB, EXPORTING_JOB, FINISHED_JOB, CANCELLED_JOB = "PENDING", "EXPORTING", "FINISHED", "CANCELLED"
 
-EVENT_SCHEMA = "task_name string, status string, update_time timestamp_ntz, seq bigint, msg string"
+EVENT_SCHEMA = "task_name string, status string, update_time timestamp_ntz, seq bigint, msg string, load_id string"
 
 
 def current_state(events: DataFrame) -> DataFrame:
@@ -46,8 +46,10 @@ def scan(ledger: DataFrame, prefix: str, without: str | None = None) -> DataFram
     return ledger.where(kept)
 
 
-def scan_status(ledger: DataFrame, status: str) -> DataFrame:
-    return ledger.where(F.col("status") == status)
+def open_loads(files: DataFrame, state: DataFrame) -> DataFrame:
+    """Those of the files whose load was begun and not finished, with the label of that load."""
+    begun = state.where(F.col("status").isin(LOADING, FAILED) & F.col("load_id").isNotNull())
+    return files.select("task_name").join(begun.select("task_name", "load_id"), "task_name")
 
 
 def purge_job(ledger: DataFrame, job: str) -> DataFrame:
@@ -144,7 +146,7 @@ class Ledger:
         """Fix the outcome of a query on the ledger before the ledger changes under it."""
         return saved(files, "ledger-hold")
 
-    def append(self, files: DataFrame, status: str, msg: str | Column = "") -> None:
+    def append(self, files: DataFrame, status: str, msg: str | Column = "", load_id: str | None = None) -> None:
         """Add one event per file."""
         files.select(
             "task_name",
@@ -152,6 +154,7 @@ class Ledger:
             F.localtimestamp().alias("update_time"),
             F.lit(time.time_ns()).alias("seq"),
             (F.lit(msg) if isinstance(msg, str) else msg).alias("msg"),
+            F.lit(load_id).cast("string").alias("load_id"),
         ).write.mode("append").parquet(self.folder)
 
     def purge(self, folder: str) -> None:

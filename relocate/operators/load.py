@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from relocate.functions.paths import PARTITION_FIELD
 from relocate.operators import ledger
 from relocate.operators.stage import gathered
-from relocate.session import broadcast_below, few_values, read_or_empty
+from relocate.session import broadcast_below, few_values
 from relocate.sources.staged import with_file
-from relocate.specs import Store, TableSpec
+from relocate.specs import Selector, Store, TableSpec
 
 # Folder column of a target table: the load that wrote the rows.
 LOAD_FIELD = "load_id"
@@ -86,13 +86,17 @@ def rows_of_files(staged: DataFrame, marked: DataFrame, taken: int, left_out: in
 
 
 def append_once(df: DataFrame, folder: str, load_id: str) -> None:
-    """Append rows under their load's folder. Running the load again replaces its own rows and no others."""
+    """Append staged rows in a folder of their load, keeping their partition folders.
+
+    No shuffle: each task writes what it scanned. Running the load again replaces all of
+    its own rows, written in full or in part, and no others.
+    """
     (
-        df.withColumns({LOAD_TIME: F.lit(time.time_ns()), LOAD_FIELD: F.lit(load_id)})
+        df.withColumn(LOAD_TIME, F.lit(time.time_ns()))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_FIELD)
-        .parquet(folder)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION_FIELD)
+        .parquet(f"{folder}/{LOAD_FIELD}={load_id}")
     )
 
 
@@ -102,14 +106,18 @@ def read_loaded(
     schema: T.StructType,
     key: Sequence[str] = (),
     version: Sequence[str] = (),
+    partitions: Selector | None = None,
 ) -> DataFrame:
-    """Rows of a table that was filled by ``append_once``.
+    """Rows of a table that was filled by ``append_once``, or of some of its partitions.
 
     With a key the table shows one row per key: the highest version, and of equal ones
     the row that was loaded last.
     """
-    fields = [T.StructField(LOAD_TIME, T.LongType()), T.StructField(LOAD_FIELD, T.StringType())]
+    fields = [T.StructField(LOAD_TIME, T.LongType())]
+    fields += [T.StructField(name, T.StringType()) for name in (LOAD_FIELD, PARTITION_FIELD)]
     rows = spark.read.schema(T.StructType([*schema.fields, *fields])).parquet(folder)
+    if partitions is not None:
+        rows = rows.where(partitions.keeps(PARTITION_FIELD))
     if key:
         rows = latest_per_key(rows, key, [*version, LOAD_TIME])
     return rows.select(*schema.names)
@@ -176,16 +184,39 @@ def upsert_table(
     writer.parquet(folder)
 
 
-def settle_interrupted(spark: SparkSession, folder: str, record: ledger.Ledger) -> None:
-    """Record as loaded the files of a load that was written but cut short before it was recorded."""
-    loading = ledger.scan_status(record.current(), ledger.LOADING)
-    labels = few_values(loading, "msg", LITERAL_LIMIT)
+def _load(
+    spark: SparkSession,
+    pending: DataFrame,
+    staged: DataFrame,
+    folder: str,
+    record: ledger.Ledger,
+    label: str | None = None,
+) -> DataFrame:
+    marked = record.hold(wanted_files(file_counts(staged), pending))
+    own_label, taken, left_out = load_plan(marked)
+    label = label or own_label
+    record.append(pending, ledger.LOADING, load_id=label)
+    try:
+        rows = rows_of_files(staged, marked, taken, left_out)
+        append_once(rows.drop("task_name"), folder, label)
+    except Exception as error:
+        record.append(pending, ledger.FAILED, str(error), label)
+        raise
+    status = file_load_status(pending, marked.select("task_name", "row_count"))
+    record.append(status, ledger.LOADED, F.col("row_count").cast("string"), label)
+    return status
+
+
+def settle_open_loads(
+    spark: SparkSession, landed: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
+) -> None:
+    """Run loads again that failed or were cut short, each with its own files under its own label."""
+    files = record.hold(ledger.open_loads(landed, record.current()))
+    labels = few_values(files, "load_id", LITERAL_LIMIT)
     if labels is None:
         raise RuntimeError(f"more than {LITERAL_LIMIT} loads are unfinished in {record.folder}")
-    if labels:
-        stored = read_or_empty(spark, folder, f"{LOAD_FIELD} string").where(F.col(LOAD_FIELD).isin(*labels))
-        written = loading.join(stored.distinct(), F.col("msg") == F.col(LOAD_FIELD), "left_semi")
-        record.append(record.hold(written.select("task_name")), ledger.LOADED)
+    for label in sorted(labels):
+        _load(spark, files.where(F.col("load_id") == label).select("task_name"), staged, folder, record, label)
 
 
 def load_files(
@@ -194,25 +225,18 @@ def load_files(
     """Load the landed files that the ledger does not show as loaded, and record every outcome.
 
     ``landed`` must be listed before ``staged`` is read: a file that arrives in between is
-    then left to the next load. All files go in one job, whose rows become visible
-    together under the load's label. The label is in the ledger before the rows are
-    written, so a run that is cut short at any point is settled by the next one without
-    losing or doubling rows. One load per target table may run at a time. Returns the
-    status of this load's files.
+    then left to the next load. All files go in one job, into a folder named after the
+    load's label. The label is in the ledger before the rows are written; a load that was
+    cut short at any point is first run again with the same files and label, so that no
+    row is lost or doubled. One load per target table may run at a time. Returns the
+    status of the files that were not loaded when it began.
     """
-    settle_interrupted(spark, folder, record)
-    pending = record.hold(ledger.pending_files(landed.select("task_name"), record.current()))
-    if pending.isEmpty():
-        return file_load_status(pending, pending.withColumn("row_count", F.lit(0).cast("bigint")))
-    marked = record.hold(wanted_files(file_counts(staged), pending))
-    label, taken, left_out = load_plan(marked)
-    record.append(pending, ledger.LOADING, label)
-    try:
-        rows = rows_of_files(staged, marked, taken, left_out)
-        append_once(rows.drop("task_name", PARTITION_FIELD), folder, label)
-    except Exception as error:
-        record.append(pending, ledger.FAILED, str(error))
-        raise
-    status = file_load_status(pending, marked.select("task_name", "row_count"))
-    record.append(status, ledger.LOADED, F.col("row_count").cast("string"))
-    return status
+    unloaded = record.hold(ledger.pending_files(landed.select("task_name"), record.current()))
+    if unloaded.isEmpty():
+        return file_load_status(unloaded, unloaded.withColumn("row_count", F.lit(0).cast("bigint")))
+    settle_open_loads(spark, unloaded, staged, folder, record)
+    pending = record.hold(ledger.pending_files(unloaded, record.current()))
+    if not pending.isEmpty():
+        _load(spark, pending, staged, folder, record)
+    state = record.current().select("task_name", F.col("msg").cast("bigint").alias("row_count"))
+    return record.hold(file_load_status(unloaded, state))

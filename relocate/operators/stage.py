@@ -30,9 +30,9 @@ def gathered(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(*[F.col(column) for column in columns], piece)
 
 
-def _partition_writer(df: DataFrame, max_rows_per_file: int, layout: Layout) -> DataFrameWriter:
+def _partition_writer(df: DataFrame, max_rows_per_file: int, layout: Layout, gather: bool) -> DataFrameWriter:
     writer = (
-        gathered(df, PARTITION_FIELD)
+        (gathered(df, PARTITION_FIELD) if gather else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**layout.options())
@@ -41,13 +41,17 @@ def _partition_writer(df: DataFrame, max_rows_per_file: int, layout: Layout) ->
     return writer.option("maxRecordsPerFile", max_rows_per_file) if max_rows_per_file else writer
 
 
-def stage_parquet(df: DataFrame, folder: str, max_rows_per_file: int = 0, layout: Layout = Layout()) -> None:
+def stage_parquet(
+    df: DataFrame, folder: str, max_rows_per_file: int = 0, layout: Layout = Layout(), gather: bool = True
+) -> None:
     """Write staged rows as Parquet in one job.
 
-    Only the partitions present in ``df`` are replaced, so a repeated run gives the same
+    ``gather`` shuffles the rows once so that a partition is not scattered over a small
+    file from every task. Without it each task writes what it scanned: the choice for
+    sources whose files already hold few partitions each, such as partition folders. Only the partitions present in ``df`` are replaced, so a repeated run gives the same
     files' content and other partitions stay.
     """
-    _partition_writer(df, max_rows_per_file, layout).parquet(folder)
+    _partition_writer(df, max_rows_per_file, layout, gather).parquet(folder)
 
 
 def stage_text(
@@ -56,9 +60,10 @@ def stage_text(
     max_rows_per_file: int = 0,
     separator: str = STAGE_SEPARATOR,
     line_breaks: bool = True,
+    gather: bool = True,
 ) -> None:
     """Write staged rows as headerless delimited text, columns in the order of ``df``."""
-    writer = _partition_writer(df, max_rows_per_file, Layout())
+    writer = _partition_writer(df, max_rows_per_file, Layout(), gather)
     writer.options(**text_options(separator, line_breaks)).csv(folder)
 
 

@@ -20,7 +20,11 @@ from relocate.streaming.load import stream_load
 
 @dataclass(frozen=True)
 class Job:
-    """Names and folders of a job. All folders must be reachable by every executor."""
+    """Names and folders of a job. All folders must be reachable by every executor.
+
+    ``gather`` is off where the source's files already hold few partitions each, which
+    spares the export its only shuffle.
+    """
 
     name: str
     db: str
@@ -29,6 +33,7 @@ class Job:
     ledger_folder: str
     max_rows_per_file: int = 0
     layout: Layout = Layout()
+    gather: bool = True
 
     def stage(self, table: str) -> str:
         return stage_folder(self.stage_root, self.name, self.db, table)
@@ -46,7 +51,7 @@ def export_table(df: DataFrame, spec: TableSpec, job: Job) -> DataFrame:
     Returns rows staged per partition. An empty partition writes nothing.
     """
     folder = job.stage(spec.name)
-    stage.stage_parquet(stage.staged_rows(df, spec), folder, job.max_rows_per_file, job.layout)
+    stage.stage_parquet(stage.staged_rows(df, spec), folder, job.max_rows_per_file, job.layout, job.gather)
     record = job.ledger(df.sparkSession)
     files = listing.list_files(df.sparkSession, folder)
     known = record.current().select("task_name")
@@ -76,8 +81,9 @@ def import_stream(spark: SparkSession, schema: T.StructType, spec: TableSpec, jo
 
 
 def loaded_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job) -> DataFrame:
-    """The target table; with a unique key, the latest row of each key."""
-    return load.read_loaded(spark, job.target(spec.name), schema, spec.unique_key, spec.version)
+    """The selected partitions of the target table; with a unique key, the latest row of each key."""
+    chosen = None if spec.selector.whole_table else spec.selector
+    return load.read_loaded(spark, job.target(spec.name), schema, spec.unique_key, spec.version, chosen)
 
 
 def retry(
@@ -95,6 +101,8 @@ def retry(
     """
     folder = job.stage(spec.name)
     record = job.ledger(spark)
+    rows = staged.read_parquet(spark, folder, schema)
+    load.settle_open_loads(spark, ledger.scan(record.current(), folder), rows, job.target(spec.name), record)
     if partition is not None:
         chosen = ledger.scan(record.current(), f"{folder}/{PARTITION_FIELD}={partition}")
     else:
@@ -103,7 +111,7 @@ def retry(
         raise ValueError(f"{spec.name} has no unique key: loading a loaded file again would double its rows")
     files = record.hold(chosen.select("task_name"))
     record.append(files, ledger.RETRY)
-    return load.load_files(spark, files, staged.read_parquet(spark, folder, schema), job.target(spec.name), record)
+    return load.load_files(spark, files, rows, job.target(spec.name), record)
 
 
 def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks: HighWater) -> DataFrame:
@@ -121,7 +129,7 @@ def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks:
         return increment.groupBy(spec.partition_column().alias("partition")).agg(F.count("*").alias("row_count"))
     report = export_table(increment, spec, step)
     files = staged.read_parquet(spark, step.stage(spec.name), df.schema)
-    load.append_once(files.drop(PARTITION_FIELD), job.target(spec.name), step.name)
+    load.append_once(files, job.target(spec.name), step.name)
     landed = listing.list_files(spark, step.stage(spec.name))
     job.ledger(spark).append(landed, ledger.LOADED)
     marks.advance(df, insert_key, spec.name, high)

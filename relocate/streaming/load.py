@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relocate.functions.paths import PARTITION_FIELD
 from relocate.operators import ledger
 from relocate.operators.load import append_once
 from relocate.sources.staged import staged_schema, with_file
@@ -40,7 +39,7 @@ def stream_load(
     stream_name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_once(batch.drop("task_name", PARTITION_FIELD), target_folder, f"{stream_name}-{batch_id}")
+        append_once(batch.drop("task_name"), target_folder, f"{stream_name}-{batch_id}")
         if record is not None:
             counts = batch.groupBy("task_name").agg(F.count("*").alias("row_count"))
             record.append(counts, ledger.LOADED, F.col("row_count").cast("string"))

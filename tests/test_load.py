@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from relocate import TableSpec
+from relocate import Selector, TableSpec
 from relocate.operators import ledger, load, stage
 from relocate.plans import job as plan
 from relocate.sources import listing, staged
@@ -49,24 +49,33 @@ def test_export_then_import_twice(spark, rows, job):
     assert states(spark, job) == {ledger.LOADED: 10}
 
 
-def test_load_cut_short_before_it_was_recorded(spark, rows, job, monkeypatch):
+@pytest.mark.parametrize("cut", ["before the record", "half written", "half written and not recorded"])
+def test_load_cut_short(spark, rows, job, monkeypatch, cut):
     plan.export_table(rows.where("id < 100"), SPEC, job)
-    plain = ledger.Ledger.append
+    record, write = ledger.Ledger.append, load.append_once
 
-    def stop(self, files, status, msg=""):
-        if status == ledger.LOADED:
+    def lost(self, files, status, *rest, **named):
+        if status in (ledger.LOADED, ledger.FAILED):
             raise RuntimeError("driver lost")
-        plain(self, files, status, msg)
+        record(self, files, status, *rest, **named)
 
-    monkeypatch.setattr(ledger.Ledger, "append", stop)
-    with pytest.raises(RuntimeError):
-        plan.import_table(spark, rows.schema, SPEC, job)
-    monkeypatch.setattr(ledger.Ledger, "append", plain)
-    assert loaded(spark, rows, job) == list(range(100))
+    def half(df, folder, load_id):
+        write(df.where("id < 50"), folder, load_id)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        if cut != "half written":
+            broken.setattr(ledger.Ledger, "append", lost)
+        if cut != "before the record":
+            broken.setattr(load, "append_once", half)
+        with pytest.raises(RuntimeError):
+            plan.import_table(spark, rows.schema, SPEC, job)
+    assert loaded(spark, rows, job) == list(range(100 if cut == "before the record" else 50))
     # More files arrive before the next run, so that it is not the same load again.
     extra = stage.staged_rows(rows.where("id >= 100").withColumn("p", F.lit("late")), SPEC)
     stage.stage_parquet(extra, job.stage("t"))
-    plan.import_table(spark, rows.schema, SPEC, job)
+    status = plan.import_table(spark, rows.schema, SPEC, job)
+    assert status.agg(F.sum("row_count")).first()[0] == 300
     assert loaded(spark, rows, job) == list(range(300))
     assert set(states(spark, job)) == {ledger.LOADED}
 
@@ -160,6 +169,26 @@ def test_later_load_replaces_earlier_row(spark, job):
     assert {(r["id"], r["v"]) for r in got.collect()} == {(1, "new"), (2, "kept")}
 
 
+def test_selected_partitions_of_the_target_are_pruned(spark, rows, job):
+    plan.export_table(rows, SPEC, job)
+    plan.import_table(spark, rows.schema, SPEC, job)
+    part = plan.loaded_table(spark, rows.schema, replace(SPEC, selector=Selector.parse("EACH(p1)")), job)
+    assert ids(part) == list(range(1, 300, 5))
+    text = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pt" in text
+
+
+def test_export_of_partition_folders_has_no_shuffle(spark, rows, job, tmp_path):
+    rows.write.partitionBy("p").parquet(f"{tmp_path}/source")
+    source = spark.read.schema(rows.schema).parquet(f"{tmp_path}/source")
+    spec, still = replace(SPEC, selector=Selector.parse("RANGE(p1,p3)")), replace(job, gather=False)
+    text = stage.staged_rows(source, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "PartitionFilters: [isnotnull(p" in text
+    plan.export_table(source, spec, still)
+    plan.import_table(spark, rows.schema, spec, still)
+    assert loaded(spark, rows, still) == sorted(ids(rows.where("p IN ('p1', 'p2')")))
+
+
 def test_purged_job_is_gone_and_its_namesake_stays(spark, rows, job):
     other = replace(job, name="job10")
     for one in (job, other):
