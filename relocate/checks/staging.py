@@ -17,6 +17,8 @@ from relocate.specs import Layout, Selector, Store, TableSpec
 _ORDERS_STAGED = f"SELECT *, {fx.SQL_MONTH.format('o_orderdate')} AS pt FROM orders"
 _EVENTS_STAGED = "SELECT *, strftime(ts, 'p%Y%m%d') AS pt FROM events"
 
+_TEXT = staged.text_format()
+
 # Row cap small enough that every scale writes several files per partition.
 _CAP = 100
 
@@ -24,14 +26,14 @@ _CAP = 100
 def _stage_orders(spark, folder, max_rows=0, layout=Layout()):
     orders = fx.table(spark, folder, "orders")
     out = work_folder(spark, "stage")
-    stage.stage_parquet(stage.staged_rows(orders, fx.ORDERS), out, max_rows, layout)
+    stage.stage_rows(stage.staged_rows(orders, fx.ORDERS), out, max_rows, layout)
     return orders, out
 
 
 @query("stage_parquet", _ORDERS_STAGED)
 def stage_parquet(spark, folder):
     orders, out = _stage_orders(spark, folder)
-    return staged.read_parquet(spark, out, orders.schema)
+    return staged.read_staged(spark, out, orders.schema)
 
 
 @query(
@@ -44,8 +46,8 @@ def stage_parquet_lineitem(spark, folder):
     """The large table staged by month, read back as metrics."""
     lines = fx.table(spark, folder, "lineitem")
     out = work_folder(spark, "stage")
-    stage.stage_parquet(stage.staged_rows(lines, fx.LINEITEM), out, 1_000_000)
-    rows = staged.read_parquet(spark, out, lines.schema)
+    stage.stage_rows(stage.staged_rows(lines, fx.LINEITEM), out, 1_000_000)
+    rows = staged.read_staged(spark, out, lines.schema)
     price = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)")
     return rows.groupBy(F.col(PARTITION_FIELD).alias("partition")).agg(
         F.count("*").alias("row_count"), price.alias("l_extendedprice")
@@ -60,7 +62,7 @@ FROM orders GROUP BY 1""",
 )
 def stage_row_cap(spark, folder):
     orders, out = _stage_orders(spark, folder, _CAP)
-    rows = staged.with_file(staged.read_parquet(spark, out, orders.schema))
+    rows = staged.with_file(staged.read_staged(spark, out, orders.schema))
     files = rows.groupBy(PARTITION_FIELD, "task_name").agg(F.count("*").alias("n"))
     return files.groupBy(F.col(PARTITION_FIELD).alias("name")).agg(
         F.sum("n").alias("row_count"), (F.max("n") <= _CAP).alias("within_cap")
@@ -80,8 +82,8 @@ def stage_overwrite_one(spark, folder):
     orders, out = _stage_orders(spark, folder)
     spec = replace(fx.ORDERS, selector=Selector.parse("EACH(p199601)"))
     changed = stage.staged_rows(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), spec)
-    stage.stage_parquet(changed, out)
-    return staged.read_parquet(spark, out, orders.schema)
+    stage.stage_rows(changed, out)
+    return staged.read_staged(spark, out, orders.schema)
 
 
 @query("stage_from_folders", _ORDERS_STAGED)
@@ -89,15 +91,15 @@ def stage_from_folders(spark, folder):
     """A source of partition folders staged again without a shuffle."""
     orders, source = _stage_orders(spark, folder)
     out = work_folder(spark, "stage")
-    stage.stage_parquet(staged.read_parquet(spark, source, orders.schema), out, gather=False)
-    return staged.read_parquet(spark, out, orders.schema)
+    stage.stage_rows(staged.read_staged(spark, source, orders.schema), out, gather=False)
+    return staged.read_staged(spark, out, orders.schema)
 
 
 @query("stage_layout", _ORDERS_STAGED)
 def stage_layout(spark, folder):
     """Bloom filters and LZ4 compression, as the tables of the source have them."""
     orders, out = _stage_orders(spark, folder, layout=Layout("lz4_raw", ("o_orderkey", "o_custkey")))
-    return staged.read_parquet(spark, out, orders.schema)
+    return staged.read_staged(spark, out, orders.schema)
 
 
 @query("stage_bucketed", "SELECT o_custkey, count(*) AS row_count FROM orders GROUP BY o_custkey")
@@ -114,7 +116,7 @@ def stage_bucketed(spark, folder):
 def read_staged_parquet(spark, folder):
     """Partitions of a staged table; the scan opens their folders only."""
     orders, out = _stage_orders(spark, folder)
-    rows = staged.read_parquet(spark, out, orders.schema)
+    rows = staged.read_staged(spark, out, orders.schema)
     return rows.where(Selector.parse("RANGE(p199801,p199804)").keeps(PARTITION_FIELD))
 
 
@@ -122,8 +124,8 @@ def read_staged_parquet(spark, folder):
 def stage_delimited(spark, folder):
     events = fx.table(spark, folder, "events")
     out = work_folder(spark, "text")
-    stage.stage_text(stage.staged_rows(events, fx.EVENTS), out, 1000)
-    return staged.read_text(spark, out, events.schema)
+    stage.stage_rows(stage.staged_rows(events, fx.EVENTS), out, 1000, stage_format=_TEXT)
+    return staged.read_staged(spark, out, events.schema, _TEXT)
 
 
 @query("read_staged_delimited", _ORDERS_STAGED)
@@ -131,8 +133,9 @@ def read_staged_delimited(spark, folder):
     """Text that holds no line breaks, so that large files can be split."""
     orders = fx.table(spark, folder, "orders")
     out = work_folder(spark, "text")
-    stage.stage_text(stage.staged_rows(orders, fx.ORDERS), out, line_breaks=False)
-    return staged.read_text(spark, out, orders.schema, line_breaks=False)
+    plain = staged.text_format(line_breaks=False)
+    stage.stage_rows(stage.staged_rows(orders, fx.ORDERS), out, stage_format=plain)
+    return staged.read_staged(spark, out, orders.schema, plain)
 
 
 @query("stage_delimited_documents", "SELECT * FROM documents")
@@ -140,8 +143,8 @@ def stage_delimited_documents(spark, folder):
     """Long texts with line breaks and quotes, unchanged by the text format."""
     documents = fx.table(spark, folder, "documents")
     out = work_folder(spark, "text")
-    stage.stage_text(stage.staged_rows(documents, TableSpec("documents", "lang")), out, 1000)
-    return staged.read_text(spark, out, documents.schema).select(*documents.columns)
+    stage.stage_rows(stage.staged_rows(documents, TableSpec("documents", "lang")), out, 1000, stage_format=_TEXT)
+    return staged.read_staged(spark, out, documents.schema, _TEXT).select(*documents.columns)
 
 
 @query("column_mapping", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -151,9 +154,10 @@ def column_mapping(spark, folder):
     order = ["props", "user_id", "ts", "event_id", "value", "event_type"]
     out = work_folder(spark, "text")
     rows = stage.staged_rows(events, fx.EVENTS).select(*order, PARTITION_FIELD)
-    stage.stage_text(rows, out, separator=staged.PLAIN_SEPARATOR)
+    plain = staged.text_format(staged.PLAIN_SEPARATOR)
+    stage.stage_rows(rows, out, stage_format=plain)
     file_schema = T.StructType([events.schema[name] for name in order])
-    return staged.read_text(spark, out, file_schema, staged.PLAIN_SEPARATOR).select(*events.columns)
+    return staged.read_staged(spark, out, file_schema, plain).select(*events.columns)
 
 
 @query(
@@ -163,7 +167,7 @@ def column_mapping(spark, folder):
 def staged_file_counts(spark, folder):
     """Rows per file, added up per partition because file names are random."""
     orders, out = _stage_orders(spark, folder, 10 * _CAP)
-    counts = load.file_counts(staged.read_parquet(spark, out, orders.schema))
+    counts = load.file_counts(staged.read_staged(spark, out, orders.schema))
     partition = F.regexp_extract("task_name", f"/{PARTITION_FIELD}=([^/]*)/", 1)
     return counts.groupBy(partition.alias("partition")).agg(F.sum("row_count").alias("row_count"))
 
@@ -195,6 +199,16 @@ def load_append(spark, folder):
     return plan.loaded_table(spark, orders.schema, spec, job)
 
 
+@query("load_append_delimited", "SELECT * FROM events")
+def load_append_delimited(spark, folder):
+    """The same job over delimited text."""
+    events = fx.table(spark, folder, "events")
+    job = _job(spark, "job1", max_rows_per_file=5000, stage_format=_TEXT)
+    plan.export_table(events, fx.EVENTS, job)
+    plan.import_table(spark, events.schema, fx.EVENTS, job)
+    return plan.loaded_table(spark, events.schema, fx.EVENTS, job)
+
+
 @query(
     "upsert_by_key",
     """
@@ -212,7 +226,7 @@ def upsert_by_key(spark, folder):
 def upsert_table(spark, folder):
     """Delta merged into a stored snapshot; days before the delta are not touched."""
     out = work_folder(spark, "upsert")
-    stage.stage_parquet(stage.staged_rows(fx.snapshot(spark, folder), fx.EVENTS), out)
+    stage.stage_rows(stage.staged_rows(fx.snapshot(spark, folder), fx.EVENTS), out)
     increment = stage.staged_rows(fx.delta(spark, folder), fx.EVENTS)
     load.upsert_table(spark, out, increment, ["event_id"])
     return spark.read.schema(increment.schema).parquet(out).select("event_id", "ts", "value")

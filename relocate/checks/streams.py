@@ -16,7 +16,7 @@ from relocate.streaming.load import stream_load
 def _staged_events(spark, folder):
     events = fx.table(spark, folder, "events")
     out = work_folder(spark, "stage")
-    stage.stage_parquet(stage.staged_rows(events, fx.EVENTS), out)
+    stage.stage_rows(stage.staged_rows(events, fx.EVENTS), out)
     return events, out
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from relocate.functions.paths import PARTITION_FIELD
 from relocate.operators import ledger
-from relocate.operators.stage import gathered
+from relocate.operators.stage import partition_writer
 from relocate.session import broadcast_below, few_values
 from relocate.sources.staged import with_file
 from relocate.specs import Selector, Store, TableSpec
@@ -173,15 +173,7 @@ def upsert_table(
     else:
         return
     merged = upsert_by_key(base, increment, [*key, PARTITION_FIELD], version)
-    writer = (
-        gathered(merged, PARTITION_FIELD)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_FIELD)
-    )
-    if max_rows_per_file:
-        writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-    writer.parquet(folder)
+    partition_writer(merged, max_rows_per_file).parquet(folder)
 
 
 def _load(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from relocate.functions.paths import PARTITION_FIELD
-from relocate.sources.staged import STAGE_SEPARATOR, text_options
+from relocate.sources.staged import PARQUET, StageFormat
 from relocate.specs import Layout, TableSpec
 
 # Pieces a partition is cut into when AQE is switched off and cannot split a large one itself.
@@ -30,41 +30,35 @@ def gathered(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(*[F.col(column) for column in columns], piece)
 
 
-def _partition_writer(df: DataFrame, max_rows_per_file: int, layout: Layout, gather: bool) -> DataFrameWriter:
+def partition_writer(df: DataFrame, max_rows_per_file: int = 0, gather: bool = True) -> DataFrameWriter:
+    """Writer that replaces the partitions present in ``df`` and leaves the others."""
     writer = (
         (gathered(df, PARTITION_FIELD) if gather else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .options(**layout.options())
         .partitionBy(PARTITION_FIELD)
     )
     return writer.option("maxRecordsPerFile", max_rows_per_file) if max_rows_per_file else writer
 
 
-def stage_parquet(
-    df: DataFrame, folder: str, max_rows_per_file: int = 0, layout: Layout = Layout(), gather: bool = True
-) -> None:
-    """Write staged rows as Parquet in one job.
-
-    ``gather`` shuffles the rows once so that a partition is not scattered over a small
-    file from every task. Without it each task writes what it scanned: the choice for
-    sources whose files already hold few partitions each, such as partition folders. Only the partitions present in ``df`` are replaced, so a repeated run gives the same
-    files' content and other partitions stay.
-    """
-    _partition_writer(df, max_rows_per_file, layout, gather).parquet(folder)
-
-
-def stage_text(
+def stage_rows(
     df: DataFrame,
     folder: str,
     max_rows_per_file: int = 0,
-    separator: str = STAGE_SEPARATOR,
-    line_breaks: bool = True,
+    layout: Layout = Layout(),
     gather: bool = True,
+    stage_format: StageFormat = PARQUET,
 ) -> None:
-    """Write staged rows as headerless delimited text, columns in the order of ``df``."""
-    writer = _partition_writer(df, max_rows_per_file, Layout(), gather)
-    writer.options(**text_options(separator, line_breaks)).csv(folder)
+    """Write staged rows in one job: Parquet, or headerless text with columns in the order of ``df``.
+
+    ``gather`` shuffles the rows once so that a partition is not scattered over a small
+    file from every task. Without it each task writes what it scanned: the choice for
+    sources whose files already hold few partitions each, such as partition folders. Only
+    the partitions present in ``df`` are replaced, so a repeated run gives the same files'
+    content and other partitions stay.
+    """
+    writer = partition_writer(df, max_rows_per_file, gather).options(**layout.options())
+    writer.format(stage_format.name).options(**stage_format.options).save(folder)
 
 
 def save_bucketed(df: DataFrame, table: str, path: str, layout: Layout) -> None:

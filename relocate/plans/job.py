@@ -34,6 +34,7 @@ class Job:
     max_rows_per_file: int = 0
     layout: Layout = Layout()
     gather: bool = True
+    stage_format: staged.StageFormat = staged.PARQUET
 
     def stage(self, table: str) -> str:
         return stage_folder(self.stage_root, self.name, self.db, table)
@@ -51,7 +52,8 @@ def export_table(df: DataFrame, spec: TableSpec, job: Job) -> DataFrame:
     Returns rows staged per partition. An empty partition writes nothing.
     """
     folder = job.stage(spec.name)
-    stage.stage_parquet(stage.staged_rows(df, spec), folder, job.max_rows_per_file, job.layout, job.gather)
+    rows = stage.staged_rows(df, spec)
+    stage.stage_rows(rows, folder, job.max_rows_per_file, job.layout, job.gather, job.stage_format)
     record = job.ledger(df.sparkSession)
     files = listing.list_files(df.sparkSession, folder)
     known = record.current().select("task_name")
@@ -61,7 +63,7 @@ def export_table(df: DataFrame, spec: TableSpec, job: Job) -> DataFrame:
 
 def staged_counts(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job) -> DataFrame:
     """Rows per staged partition."""
-    rows = staged.read_parquet(spark, job.stage(spec.name), schema)
+    rows = staged.read_staged(spark, job.stage(spec.name), schema, job.stage_format)
     return rows.groupBy(F.col(PARTITION_FIELD).alias("partition")).agg(F.count("*").alias("row_count"))
 
 
@@ -69,14 +71,15 @@ def import_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job
     """Load every staged file of a table that is not loaded yet. Returns the status per file."""
     folder = job.stage(spec.name)
     landed = listing.list_files(spark, folder)
-    rows = staged.read_parquet(spark, folder, schema)
+    rows = staged.read_staged(spark, folder, schema, job.stage_format)
     return load.load_files(spark, landed, rows, job.target(spec.name), job.ledger(spark))
 
 
 def import_stream(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job, checkpoint: str, **limits):
     """Load staged files as they arrive; see ``stream_load``."""
+    source, target = job.stage(spec.name), job.target(spec.name)
     return stream_load(
-        spark, job.stage(spec.name), schema, job.target(spec.name), checkpoint, job.ledger(spark), **limits
+        spark, source, schema, target, checkpoint, job.ledger(spark), stage_format=job.stage_format, **limits
     )
 
 
@@ -101,7 +104,7 @@ def retry(
     """
     folder = job.stage(spec.name)
     record = job.ledger(spark)
-    rows = staged.read_parquet(spark, folder, schema)
+    rows = staged.read_staged(spark, folder, schema, job.stage_format)
     load.settle_open_loads(spark, ledger.scan(record.current(), folder), rows, job.target(spec.name), record)
     if partition is not None:
         chosen = ledger.scan(record.current(), f"{folder}/{PARTITION_FIELD}={partition}")
@@ -128,7 +131,7 @@ def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks:
     if high is None or high == low:
         return increment.groupBy(spec.partition_column().alias("partition")).agg(F.count("*").alias("row_count"))
     report = export_table(increment, spec, step)
-    files = staged.read_parquet(spark, step.stage(spec.name), df.schema)
+    files = staged.read_staged(spark, step.stage(spec.name), df.schema, job.stage_format)
     load.append_once(files, job.target(spec.name), step.name)
     landed = listing.list_files(spark, step.stage(spec.name))
     job.ledger(spark).append(landed, ledger.LOADED)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,27 +36,35 @@ def text_options(separator: str = STAGE_SEPARATOR, line_breaks: bool = True) ->
     }
 
 
+@dataclass(frozen=True)
+class StageFormat:
+    """A Spark file format and the options that its reader and writer share."""
+
+    name: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
+
+
+PARQUET = StageFormat()
+
+
+def text_format(separator: str = STAGE_SEPARATOR, line_breaks: bool = True) -> StageFormat:
+    return StageFormat("csv", text_options(separator, line_breaks))
+
+
 def staged_schema(schema: T.StructType) -> T.StructType:
     """Schema of a staged table: the table's columns and the partition name."""
     return T.StructType([*schema.fields, T.StructField(PARTITION_FIELD, T.StringType())])
 
 
-def read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """All staged files of a table in one scan, with the partition name in ``pt``."""
-    return spark.read.schema(staged_schema(schema)).parquet(folder)
-
-
-def read_text(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    separator: str = STAGE_SEPARATOR,
-    line_breaks: bool = True,
+def read_staged(
+    spark: SparkSession, folder: str, schema: T.StructType, stage_format: StageFormat = PARQUET
 ) -> DataFrame:
-    """Headerless text; ``schema`` gives the columns in the order in which the files hold them."""
-    return (
-        spark.read.schema(staged_schema(schema)).options(**text_options(separator, line_breaks)).csv(folder)
-    )
+    """All staged files of a table in one scan, with the partition name in ``pt``.
+
+    For text without a header ``schema`` gives the columns in the order of the files.
+    """
+    reader = spark.read.format(stage_format.name).schema(staged_schema(schema))
+    return reader.options(**stage_format.options).load(folder)
 
 
 def with_file(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from relocate.operators import ledger
 from relocate.operators.load import append_once
-from relocate.sources.staged import staged_schema, with_file
+from relocate.sources.staged import PARQUET, StageFormat, staged_schema, with_file
 
 
 def stream_load(
@@ -23,19 +23,20 @@ def stream_load(
     max_bytes_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
     drain: bool = True,
+    stage_format: StageFormat = PARQUET,
 ):
-    """Load staged Parquet files as they arrive; with ``drain`` stop when none is left.
+    """Load staged files as they arrive; with ``drain`` stop when none is left.
 
     The checkpoint remembers which files were read. Each micro-batch writes into a folder
     named after the checkpoint and the batch, so a batch that is replayed after a failure
     replaces its own rows. Files are recorded as loaded after their rows are written.
     """
-    reader = spark.readStream.schema(staged_schema(schema))
+    reader = spark.readStream.format(stage_format.name).schema(staged_schema(schema)).options(**stage_format.options)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = with_file(reader.parquet(stage_folder))
+    stream = with_file(reader.load(stage_folder))
     stream_name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, batch_id: int) -> None:

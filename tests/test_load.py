@@ -73,7 +73,7 @@ def test_load_cut_short(spark, rows, job, monkeypatch, cut):
     assert loaded(spark, rows, job) == list(range(100 if cut == "before the record" else 50))
     # More files arrive before the next run, so that it is not the same load again.
     extra = stage.staged_rows(rows.where("id >= 100").withColumn("p", F.lit("late")), SPEC)
-    stage.stage_parquet(extra, job.stage("t"))
+    stage.stage_rows(extra, job.stage("t"))
     status = plan.import_table(spark, rows.schema, SPEC, job)
     assert status.agg(F.sum("row_count")).first()[0] == 300
     assert loaded(spark, rows, job) == list(range(300))
@@ -99,10 +99,10 @@ def test_failed_load_is_recorded_and_retried(spark, rows, job, monkeypatch):
 
 def test_file_that_lands_after_the_listing_waits(spark, rows, job):
     folder = job.stage("t")
-    stage.stage_parquet(stage.staged_rows(rows.where("id < 100"), SPEC), folder)
+    stage.stage_rows(stage.staged_rows(rows.where("id < 100"), SPEC), folder)
     landed = listing.list_files(spark, folder)
-    stage.stage_parquet(stage.staged_rows(rows.where("id >= 100").withColumn("p", F.lit("late")), SPEC), folder)
-    read = staged.read_parquet(spark, folder, rows.schema)
+    stage.stage_rows(stage.staged_rows(rows.where("id >= 100").withColumn("p", F.lit("late")), SPEC), folder)
+    read = staged.read_staged(spark, folder, rows.schema)
     load.load_files(spark, landed, read, job.target("t"), job.ledger(spark))
     assert loaded(spark, rows, job) == list(range(100))
     plan.import_table(spark, rows.schema, SPEC, job)
@@ -124,8 +124,8 @@ def test_wanted_files_by_literal_broadcast_and_shuffle(spark, rows, job, monkeyp
     monkeypatch.setattr(load, "LITERAL_LIMIT", literals)
     monkeypatch.setattr(load, "BROADCAST_FILES", broadcast)
     folder = job.stage("t")
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), folder, 20)
-    read = staged.read_parquet(spark, folder, rows.schema)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), folder, 20)
+    read = staged.read_staged(spark, folder, rows.schema)
     counts = load.file_counts(read).cache()
     for wanted in ("pt=p0", "pt=p[0-3]", "pt=", "pt=none"):
         pending = counts.where(F.col("task_name").rlike(wanted)).select("task_name")
@@ -245,12 +245,12 @@ def test_upsert_rewrites_touched_partitions_only(spark, rows, tmp_path, monkeypa
     monkeypatch.setattr(load, "LITERAL_LIMIT", limit)
     out = str(tmp_path)
     base = rows.withColumn("v", F.lit("base"))
-    stage.stage_parquet(stage.staged_rows(base, SPEC), out)
+    stage.stage_rows(stage.staged_rows(base, SPEC), out)
     before = {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("part-*")}
     increment = base.where("id % 5 IN (1, 2) AND id < 100").withColumn("v", F.lit("new"))
     for _ in range(2):
         load.upsert_table(spark, out, stage.staged_rows(increment, SPEC), ["id"], max_rows_per_file=25)
-    back = staged.read_parquet(spark, out, base.schema)
+    back = staged.read_staged(spark, out, base.schema)
     expected = base.withColumn("v", F.when(F.expr("id % 5 IN (1, 2) AND id < 100"), "new").otherwise("base"))
     assert sorted(map(tuple, back.select("id", "v").collect())) == sorted(map(tuple, expected.select("id", "v").collect()))
     after = {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("part-*")}

@@ -31,11 +31,11 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path, adaptive):
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
-        stage.stage_parquet(stage.staged_rows(rows, SPEC), str(tmp_path))
+        stage.stage_rows(stage.staged_rows(rows, SPEC), str(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    back = staged.read_parquet(spark, str(tmp_path), rows.schema)
+    back = staged.read_staged(spark, str(tmp_path), rows.schema)
     hot = [file for file in files(tmp_path) if "pt=hot" in file]
     assert len(hot) >= 4
     assert same(back.select(*rows.columns), rows)
@@ -43,8 +43,8 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path, adaptive):
 
 def test_row_cap(spark, tmp_path):
     rows = hot_rows(spark, 3000)
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), str(tmp_path), 70)
-    back = staged.with_file(staged.read_parquet(spark, str(tmp_path), rows.schema))
+    stage.stage_rows(stage.staged_rows(rows, SPEC), str(tmp_path), 70)
+    back = staged.with_file(staged.read_staged(spark, str(tmp_path), rows.schema))
     assert back.groupBy("task_name").count().agg(F.max("count")).first()[0] <= 70
     assert back.count() == 3000
 
@@ -52,26 +52,26 @@ def test_row_cap(spark, tmp_path):
 def test_staging_again_changes_nothing_and_keeps_other_partitions(spark, tmp_path):
     rows = hot_rows(spark, 3000)
     out = str(tmp_path)
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), out)
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), out)
-    assert same(staged.read_parquet(spark, out, rows.schema).select(*rows.columns), rows)
-    stage.stage_parquet(stage.staged_rows(rows.where("p = 'hot'").withColumn("text", F.lit("new")), SPEC), out)
-    back = staged.read_parquet(spark, out, rows.schema)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), out)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), out)
+    assert same(staged.read_staged(spark, out, rows.schema).select(*rows.columns), rows)
+    stage.stage_rows(stage.staged_rows(rows.where("p = 'hot'").withColumn("text", F.lit("new")), SPEC), out)
+    back = staged.read_staged(spark, out, rows.schema)
     assert back.where("pt = 'hot' AND text <> 'new'").isEmpty()
     assert same(back.where("pt <> 'hot'").select(*rows.columns), rows.where("p <> 'hot'"))
 
 
 def test_rows_without_partition_are_staged_apart(spark, tmp_path):
     rows = spark.createDataFrame([(1, None), (2, "a")], "id int, p string")
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), str(tmp_path))
-    back = staged.read_parquet(spark, str(tmp_path), rows.schema)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), str(tmp_path))
+    back = staged.read_staged(spark, str(tmp_path), rows.schema)
     assert {(r["id"], r["pt"]) for r in back.collect()} == {(1, "unassigned"), (2, "a")}
 
 
 def test_numbers_as_partition_names_stay_text(spark, tmp_path):
     rows = spark.createDataFrame([(1, "007"), (2, "1-URGENT"), (3, "a b=c/d")], "id int, p string")
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), str(tmp_path))
-    back = staged.read_parquet(spark, str(tmp_path), rows.schema)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), str(tmp_path))
+    back = staged.read_staged(spark, str(tmp_path), rows.schema)
     assert {r["pt"] for r in back.collect()} == {"007", "1-URGENT", "a b=c/d"}
 
 
@@ -92,8 +92,9 @@ def test_text_returns_what_was_written(spark, tmp_path, separator):
     rows = spark.createDataFrame(AWKWARD, "id int, s string, t timestamp_ntz, d double").withColumn("p", F.lit("x"))
     # The null mark itself cannot be told from NULL in text files.
     rows = rows.where("id <> 4")
-    stage.stage_text(stage.staged_rows(rows, SPEC), str(tmp_path), separator=separator)
-    back = staged.read_text(spark, str(tmp_path), rows.schema, separator)
+    text = staged.text_format(separator)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), str(tmp_path), stage_format=text)
+    back = staged.read_staged(spark, str(tmp_path), rows.schema, text)
     assert same(back.select(*rows.columns), rows)
 
 
@@ -102,7 +103,7 @@ def test_malformed_text_raises(spark, tmp_path):
     (tmp_path / "pt=a" / "part-0.csv").write_text("1|#x|#extra\n")
     schema = spark.createDataFrame([], "id int, s string").schema
     with pytest.raises(Exception, match="MALFORMED|malformed"):
-        staged.read_text(spark, str(tmp_path), schema).collect()
+        staged.read_staged(spark, str(tmp_path), schema, staged.text_format()).collect()
 
 
 def test_layout(spark, tmp_path):
@@ -110,7 +111,7 @@ def test_layout(spark, tmp_path):
 
     rows = hot_rows(spark, 3000)
     layout = Layout(compression="lz4_raw", bloom_columns=("text",))
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), str(tmp_path), layout=layout)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), str(tmp_path), layout=layout)
     column = pq.ParquetFile(files(tmp_path)[0]).metadata.row_group(0).column(1)
     assert column.path_in_schema == "text" and column.compression in ("LZ4", "LZ4_RAW")
 
@@ -118,7 +119,7 @@ def test_layout(spark, tmp_path):
 def test_listing_skips_unfinished_and_keeps_empty_files(spark, tmp_path):
     out = tmp_path / "t"
     rows = spark.createDataFrame([(1, "a")], "id int, p string")
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), str(out))
+    stage.stage_rows(stage.staged_rows(rows, SPEC), str(out))
     rows.limit(0).select("id").coalesce(1).write.parquet(str(out / "pt=b"))
     for name in ("pt=a/_temporary/x.parquet", "pt=a/.hidden.parquet", "pt=a/x.json"):
         (out / name).parent.mkdir(exist_ok=True)

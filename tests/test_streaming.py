@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from relocate import TableSpec
 from relocate.operators import ledger, load, stage
+from relocate.sources import staged
 from relocate.streaming import increments, load as stream
 
 SPEC = TableSpec("t", partition="p")
@@ -18,17 +19,17 @@ def ids(df):
 
 
 def stage_rows(rows, folder):
-    stage.stage_parquet(stage.staged_rows(rows, SPEC), folder, 10)
+    stage.stage_rows(stage.staged_rows(rows, SPEC), folder, 10)
 
 
 def test_arrivals_between_runs_are_loaded_once(spark, rows, tmp_path):
-    staged, target, point = (f"{tmp_path}/{name}" for name in ("stage", "target", "checkpoint"))
+    source, target, point = (f"{tmp_path}/{name}" for name in ("stage", "target", "checkpoint"))
     record = ledger.Ledger(spark, f"{tmp_path}/ledger")
     for part in ("id % 8 < 3", "id % 8 >= 3"):
-        stage_rows(rows.where(part), staged)
+        stage_rows(rows.where(part), source)
         for _ in range(2):
             stream.stream_load(
-                spark, staged, rows.schema, target, point, record, max_files_per_trigger=4
+                spark, source, rows.schema, target, point, record, max_files_per_trigger=4
             ).awaitTermination()
     assert ids(load.read_loaded(spark, target, rows.schema)) == list(range(200))
     state = record.current()
@@ -37,8 +38,8 @@ def test_arrivals_between_runs_are_loaded_once(spark, rows, tmp_path):
 
 
 def test_failed_batch_is_replayed_without_doubling(spark, rows, tmp_path, monkeypatch):
-    staged, target, point = (f"{tmp_path}/{name}" for name in ("stage", "target", "checkpoint"))
-    stage_rows(rows, staged)
+    source, target, point = (f"{tmp_path}/{name}" for name in ("stage", "target", "checkpoint"))
+    stage_rows(rows, source)
     plain, calls = stream.append_once, []
 
     def write_then_fail(df, folder, load_id):
@@ -48,10 +49,10 @@ def test_failed_batch_is_replayed_without_doubling(spark, rows, tmp_path, monkey
             raise RuntimeError("driver lost after the write")
 
     monkeypatch.setattr(stream, "append_once", write_then_fail)
-    query = stream.stream_load(spark, staged, rows.schema, target, point, max_files_per_trigger=6)
+    query = stream.stream_load(spark, source, rows.schema, target, point, max_files_per_trigger=6)
     with pytest.raises(Exception, match="driver lost"):
         query.awaitTermination()
-    stream.stream_load(spark, staged, rows.schema, target, point, max_files_per_trigger=6).awaitTermination()
+    stream.stream_load(spark, source, rows.schema, target, point, max_files_per_trigger=6).awaitTermination()
     assert calls[1] == calls[2]
     assert ids(load.read_loaded(spark, target, rows.schema)) == list(range(200))
 
@@ -66,6 +67,15 @@ def test_two_streams_share_a_target(spark, rows, tmp_path):
     assert ids(load.read_loaded(spark, target, rows.schema)) == list(range(200))
 
 
+def test_text_stream(spark, rows, tmp_path):
+    text = staged.text_format()
+    stage.stage_rows(stage.staged_rows(rows, SPEC), f"{tmp_path}/stage", 10, stage_format=text)
+    stream.stream_load(
+        spark, f"{tmp_path}/stage", rows.schema, f"{tmp_path}/t", f"{tmp_path}/c", max_files_per_trigger=9, stage_format=text
+    ).awaitTermination()
+    assert ids(load.read_loaded(spark, f"{tmp_path}/t", rows.schema)) == list(range(200))
+
+
 def test_increments(spark):
     table = spark.range(10).select(F.col("id").alias("k"))
     assert increments.high_water(table.limit(0), "k") is None
