@@ -46,12 +46,6 @@ def scan(ledger: DataFrame, prefix: str, without: str | None = None) -> DataFram
     return ledger.where(kept)
 
 
-def open_loads(files: DataFrame, state: DataFrame) -> DataFrame:
-    """Those of the files whose load was begun and not finished, with the label of that load."""
-    begun = state.where(F.col("status").isin(LOADING, FAILED) & F.col("load_id").isNotNull())
-    return files.select("task_name").join(begun.select("task_name", "load_id"), "task_name")
-
-
 def purge_job(ledger: DataFrame, job: str) -> DataFrame:
     """The ledger without the entries of one job."""
     return ledger.where(~paths.job_of("task_name").eqNullSafe(F.lit(job)))
@@ -87,6 +81,17 @@ def pending_files(landed: DataFrame, state: DataFrame) -> DataFrame:
     return landed.join(state.where(F.col("status") == LOADED), "task_name", "left_anti")
 
 
+def unloaded_files(landed: DataFrame, state: DataFrame) -> DataFrame:
+    """Landed files that are not loaded, with ``load_id`` where a load of theirs was begun and not finished."""
+    begun = F.col("status").isin(LOADING, FAILED)
+    return (
+        landed.select("task_name")
+        .join(state.select("task_name", "status", "load_id"), "task_name", "left")
+        .where(~F.col("status").eqNullSafe(F.lit(LOADED)))
+        .select("task_name", F.when(begun, F.col("load_id")).alias("load_id"))
+    )
+
+
 def work_messages(files: DataFrame, status: str | Column, update_time: Column) -> DataFrame:
     """A JSON message for each file."""
     status = F.lit(status) if isinstance(status, str) else status

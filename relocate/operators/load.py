@@ -200,15 +200,18 @@ def _load(
 
 
 def settle_open_loads(
-    spark: SparkSession, landed: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
-) -> None:
-    """Run loads again that failed or were cut short, each with its own files under its own label."""
-    files = record.hold(ledger.open_loads(landed, record.current()))
-    labels = few_values(files, "load_id", LITERAL_LIMIT)
+    spark: SparkSession, unloaded: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
+) -> bool:
+    """Run loads again that failed or were cut short, each with its own files under its own label.
+
+    ``unloaded`` comes from ``ledger.unloaded_files`` and is held. Tells whether there were any.
+    """
+    labels = few_values(unloaded.where(F.col("load_id").isNotNull()), "load_id", LITERAL_LIMIT)
     if labels is None:
         raise RuntimeError(f"more than {LITERAL_LIMIT} loads are unfinished in {record.folder}")
     for label in sorted(labels):
-        _load(spark, files.where(F.col("load_id") == label).select("task_name"), staged, folder, record, label)
+        _load(spark, unloaded.where(F.col("load_id") == label).select("task_name"), staged, folder, record, label)
+    return bool(labels)
 
 
 def load_files(
@@ -223,12 +226,13 @@ def load_files(
     row is lost or doubled. One load per target table may run at a time. Returns the
     status of the files that were not loaded when it began.
     """
-    unloaded = record.hold(ledger.pending_files(landed.select("task_name"), record.current()))
+    unloaded = record.hold(ledger.unloaded_files(landed, record.current()))
     if unloaded.isEmpty():
-        return file_load_status(unloaded, unloaded.withColumn("row_count", F.lit(0).cast("bigint")))
-    settle_open_loads(spark, unloaded, staged, folder, record)
-    pending = record.hold(ledger.pending_files(unloaded, record.current()))
+        return file_load_status(unloaded, unloaded.select("task_name", F.lit(0).cast("bigint").alias("row_count")))
+    if not settle_open_loads(spark, unloaded, staged, folder, record):
+        return _load(spark, unloaded.select("task_name"), staged, folder, record)
+    pending = unloaded.where(F.col("load_id").isNull()).select("task_name")
     if not pending.isEmpty():
         _load(spark, pending, staged, folder, record)
-    state = record.current().select("task_name", F.col("msg").cast("bigint").alias("row_count"))
-    return record.hold(file_load_status(unloaded, state))
+    counts = record.current().select("task_name", F.col("msg").cast("bigint").alias("row_count"))
+    return record.hold(file_load_status(unloaded.select("task_name"), counts.join(unloaded, "task_name", "left_semi")))

@@ -49,15 +49,18 @@ class Job:
 def export_table(df: DataFrame, spec: TableSpec, job: Job) -> DataFrame:
     """Stage the selected partitions of a table and record their files.
 
-    Returns rows staged per partition. An empty partition writes nothing.
+    Returns rows staged per partition. An empty partition writes nothing. Files that this
+    run replaced before they were loaded leave the ledger.
     """
     folder = job.stage(spec.name)
     rows = stage.staged_rows(df, spec)
     stage.stage_rows(rows, folder, job.max_rows_per_file, job.layout, job.gather, job.stage_format)
     record = job.ledger(df.sparkSession)
-    files = listing.list_files(df.sparkSession, folder)
-    known = record.current().select("task_name")
-    record.append(record.hold(files.join(known, "task_name", "left_anti").select("task_name")), ledger.UPLOADED)
+    files = record.hold(listing.list_files(df.sparkSession, folder).select("task_name"))
+    known = record.hold(ledger.scan(record.current(), folder).select("task_name", "status"))
+    record.append(files.join(known, "task_name", "left_anti"), ledger.UPLOADED)
+    replaced = known.where(~F.col("status").eqNullSafe(F.lit(ledger.LOADED))).join(files, "task_name", "left_anti")
+    record.append(replaced, ledger.PURGED)
     return staged_counts(df.sparkSession, df.schema, spec, job)
 
 
@@ -105,7 +108,9 @@ def retry(
     folder = job.stage(spec.name)
     record = job.ledger(spark)
     rows = staged.read_staged(spark, folder, schema, job.stage_format)
-    load.settle_open_loads(spark, ledger.scan(record.current(), folder), rows, job.target(spec.name), record)
+    known = ledger.scan(record.current(), folder)
+    unloaded = record.hold(ledger.unloaded_files(known, known))
+    load.settle_open_loads(spark, unloaded, rows, job.target(spec.name), record)
     if partition is not None:
         chosen = ledger.scan(record.current(), f"{folder}/{PARTITION_FIELD}={partition}")
     else:
@@ -126,7 +131,7 @@ def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks:
     """
     spark, rows = df.sparkSession, spec.rows(df)
     low, high = marks.last(df, insert_key, spec.name), high_water(rows, insert_key)
-    step = replace(job, name=f"{job.name}-{re.sub('[^0-9A-Za-z]', '', str(low))}")
+    step = replace(job, name=f"{job.name}-{re.sub('[^0-9A-Za-z-]', '_', str(low))}")
     increment = extract_increment(rows, insert_key, low, high)
     if high is None or high == low:
         return increment.groupBy(spec.partition_column().alias("partition")).agg(F.count("*").alias("row_count"))

@@ -137,6 +137,31 @@ def test_wanted_files_by_literal_broadcast_and_shuffle(spark, rows, job, monkeyp
     counts.unpersist()
 
 
+def test_files_replaced_before_their_load_leave_the_ledger(spark, rows, job):
+    plan.export_table(rows, SPEC, job)
+    before = {r["task_name"] for r in job.ledger(spark).current().collect()}
+    plan.export_table(rows.where("p = 'p1'"), SPEC, job)
+    after = {r["task_name"] for r in job.ledger(spark).current().collect()}
+    assert {name for name in before - after} == {name for name in before if "/pt=p1/" in name}
+    assert len(after) == 10
+    plan.import_table(spark, rows.schema, SPEC, job)
+    assert loaded(spark, rows, job) == list(range(300))
+
+
+def test_text_with_line_breaks_is_counted_by_rows(spark, job):
+    words = spark.range(60).select(
+        "id",
+        F.expr("CASE id % 3 WHEN 0 THEN concat('a\n', id, '\n\nb \"x\"') WHEN 1 THEN '' END").alias("text"),
+        F.lit("a").alias("p"),
+    )
+    texts = replace(job, stage_format=staged.text_format(), max_rows_per_file=7)
+    plan.export_table(words, SPEC, texts)
+    status = plan.import_table(spark, words.schema, SPEC, texts)
+    assert status.agg(F.sum("row_count")).first()[0] == 60
+    back = plan.loaded_table(spark, words.schema, SPEC, texts)
+    assert back.exceptAll(words).isEmpty() and words.exceptAll(back).isEmpty()
+
+
 def test_label_depends_on_the_files_alone(spark):
     names = spark.createDataFrame([(f"f{i}", True) for i in range(9)], "task_name string, wanted boolean")
     label, taken, left_out = load.load_plan(names)
