@@ -7,16 +7,17 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: how status times are written.
-STATUS_TIME = "yyyy-MM-dd HH:mm:ss"
+# Fixed value: length of a status time, "yyyy-MM-dd HH:mm:ss".
+STATUS_TIME_LENGTH = 19
 
-# Partition name patterns by calendar unit. All have a fixed width, so they sort as text.
-NAME_PATTERNS = {"day": "'p'yyyyMMdd", "month": "'p'yyyyMM", "year": "'p'yyyy"}
+# Part of "yyyy-MM-dd" that tells a calendar unit, and the digits in it. Partition names
+# are "p" and those digits; their fixed width makes them sort as text.
+DATE_LENGTH = {"day": 10, "month": 7, "year": 4}
 NAME_DIGITS = {"day": 8, "month": 6, "year": 4}
 
 
 def status_time(time: Column) -> Column:
-    return F.date_format(time, STATUS_TIME)
+    return F.left(time.cast("string"), F.lit(STATUS_TIME_LENGTH))
 
 
 def first_day(time: Column, unit: str = "day") -> Column:
@@ -38,7 +39,8 @@ def period_end(start: Column, unit: str = "day") -> Column:
 
 
 def period_name(time: Column, unit: str = "day") -> Column:
-    return F.date_format(time, NAME_PATTERNS[unit])
+    digits = F.left(F.to_date(time).cast("string"), F.lit(DATE_LENGTH[unit]))
+    return F.concat(F.lit("p"), F.replace(digits, F.lit("-"), F.lit("")))
 
 
 def with_default_time(time: Column, loaded_at: Column | None = None) -> Column:

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relocate.specs import as_column
+from relocate.specs import as_column, typed_literal
 
 
 def range_predicate(df: DataFrame, key: str, start: object, end: object) -> Column:
     """``start <= key < end`` with the bounds in the key's own type; a bad bound raises."""
     kind = df.schema[key].dataType
     column = F.col(key)
-    return (column >= F.lit(start).cast(kind)) & (column < F.lit(end).cast(kind))
+    return (column >= typed_literal(start, kind)) & (column < typed_literal(end, kind))
 
 
 def list_predicate(df: DataFrame, key: str, values: list) -> Column:
     kind = df.schema[key].dataType
-    typed = [F.lit(value).cast(kind) for value in values]
+    typed = [typed_literal(value, kind) for value in values]
     return F.col(key) == typed[0] if len(typed) == 1 else F.col(key).isin(*typed)
 
 

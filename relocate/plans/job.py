@@ -140,7 +140,7 @@ def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks:
     load.append_once(files, job.target(spec.name), step.name)
     landed = listing.list_files(spark, step.stage(spec.name))
     job.ledger(spark).append(landed, ledger.LOADED)
-    marks.advance(df, insert_key, spec.name, high)
+    marks.advance(spec.name, high)
     return report
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -199,3 +200,8 @@ class Layout:
 
 def as_column(expression: str | Column) -> Column:
     return F.expr(expression) if isinstance(expression, str) else expression
+
+
+def typed_literal(value: object, kind: T.DataType) -> Column:
+    """A literal of the given type; Python times go by their text, so no session zone shifts them."""
+    return F.lit(str(value) if isinstance(value, dt.date) else value).cast(kind)

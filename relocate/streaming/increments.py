@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relocate.session import read_or_empty
 
 
-def high_water(df: DataFrame, key: str) -> object:
-    """Largest insert key, one value; None for an empty table."""
-    return df.agg(F.max(key)).first()[0]
+def _as_text(value: Column, kind: T.DataType) -> Column:
+    """A key as text that names one value in every session zone."""
+    return (F.unix_micros(value) if isinstance(kind, T.TimestampType) else value).cast("string")
 
 
-def extract_increment(df: DataFrame, key: str, low: object, high: object) -> DataFrame:
-    """Rows with ``low < key <= high``. Both bounds are literals, so they reach the scan."""
+def _as_key(text: Column, kind: T.DataType) -> Column:
+    return F.timestamp_micros(text.cast("bigint")) if isinstance(kind, T.TimestampType) else text.cast(kind)
+
+
+def high_water(df: DataFrame, key: str) -> str | None:
+    """Largest insert key, as text; None for an empty table."""
+    return df.agg(_as_text(F.max(key), df.schema[key].dataType)).first()[0]
+
+
+def extract_increment(df: DataFrame, key: str, low: str | None, high: str | None) -> DataFrame:
+    """Rows with ``low < key <= high``, both as ``high_water`` gives them.
+
+    The bounds are literals, so they reach the scan.
+    """
     kind = df.schema[key].dataType
     if high is None:
         return df.where(F.lit(False))
-    df = df.where(F.col(key) <= F.lit(high).cast(kind))
-    return df if low is None else df.where(F.col(key) > F.lit(low).cast(kind))
+    df = df.where(F.col(key) <= _as_key(F.lit(high), kind))
+    return df if low is None else df.where(F.col(key) > _as_key(F.lit(low), kind))
 
 
 class HighWater:
@@ -31,12 +44,11 @@ class HighWater:
         self.spark = spark
         self.folder = folder
 
-    def last(self, df: DataFrame, key: str, table: str) -> object:
+    def last(self, df: DataFrame, key: str, table: str) -> str | None:
+        kind = df.schema[key].dataType
         marks = read_or_empty(self.spark, self.folder, self.SCHEMA).where(F.col("table") == table)
-        return marks.agg(F.max(F.col("mark").cast(df.schema[key].dataType))).first()[0]
+        return marks.agg(_as_text(F.max(_as_key(F.col("mark"), kind)), kind)).first()[0]
 
-    def advance(self, df: DataFrame, key: str, table: str, mark: object) -> None:
-        value = F.lit(mark).cast(df.schema[key].dataType).cast("string")
-        self.spark.range(1).select(F.lit(table).alias("table"), value.alias("mark")).write.mode("append").parquet(
-            self.folder
-        )
+    def advance(self, table: str, mark: str) -> None:
+        row = self.spark.range(1).select(F.lit(table).alias("table"), F.lit(mark).alias("mark"))
+        row.write.mode("append").parquet(self.folder)

@@ -78,18 +78,47 @@ def test_text_stream(spark, rows, tmp_path):
 
 def test_increments(spark):
     table = spark.range(10).select(F.col("id").alias("k"))
+    assert increments.high_water(table, "k") == "9"
     assert increments.high_water(table.limit(0), "k") is None
     assert increments.extract_increment(table, "k", None, None).count() == 0
-    assert increments.extract_increment(table, "k", None, 4).count() == 5
-    assert increments.extract_increment(table, "k", 4, 9).count() == 5
-    assert increments.extract_increment(table, "k", 9, 9).count() == 0
+    assert increments.extract_increment(table, "k", None, "4").count() == 5
+    assert increments.extract_increment(table, "k", "4", "9").count() == 5
+    assert increments.extract_increment(table, "k", "9", "9").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "double", "decimal(20,6)", "bigint", "string"])
+def test_marks_of_every_type_split_a_table_exactly(spark, tmp_path, kind):
+    """Times around the end of daylight saving, in a zone that has it."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        micros = F.lit(1730610000_000001) + F.col("id") * 601_000_000
+        seconds = {
+            "timestamp": F.timestamp_micros(micros),
+            "timestamp_ntz": F.convert_timezone(F.lit("UTC"), F.lit("UTC"), F.timestamp_micros(micros).cast("timestamp_ntz")),
+            "date": F.date_add(F.lit("2024-11-01").cast("date"), F.col("id").cast("int")),
+            "string": F.lpad(F.col("id").cast("string"), 4, "0"),
+        }
+        table = spark.range(40).select("id", seconds.get(kind, (F.col("id") / 7).cast(kind)).alias("k"))
+        distinct = table.select("k").distinct().count()
+        marks = increments.HighWater(spark, f"{tmp_path}/marks")
+        low = increments.high_water(table.where("id < 17"), "k")
+        marks.advance("t", low)
+        assert marks.last(table, "k", "t") == low
+        high = increments.high_water(table, "k")
+        before = increments.extract_increment(table, "k", None, low)
+        after = increments.extract_increment(table, "k", low, high)
+        assert before.count() + after.count() == 40
+        assert before.agg(F.max("k")).collect() == table.where("id < 17").agg(F.max("k")).collect()
+        assert before.select("k").distinct().count() + after.select("k").distinct().count() == distinct
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_marks_are_compared_as_keys_not_as_text(spark, tmp_path):
     marks = increments.HighWater(spark, f"{tmp_path}/marks")
     table = spark.range(1)
     assert marks.last(table, "id", "t") is None
-    for mark in (9, 10):
-        marks.advance(table, "id", "t", mark)
-    marks.advance(table, "id", "u", 99)
-    assert marks.last(table, "id", "t") == 10
+    for mark in ("9", "10"):
+        marks.advance("t", mark)
+    marks.advance("u", "99")
+    assert marks.last(table, "id", "t") == "10"
