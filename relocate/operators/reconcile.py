@@ -104,11 +104,20 @@ def reconcile_tables(
     return reduce(DataFrame.unionByName, reports)
 
 
-def summary(report: DataFrame) -> DataFrame:
-    """Per table: partitions checked, partitions that do not match and whether all is right."""
-    wrong = F.col("status") != MATCH
-    return report.groupBy("table").agg(
-        F.count("*").alias("checked"), F.count_if(wrong).alias("mismatched"), F.bool_and(~wrong).alias("all_right")
+def summary(report: DataFrame, tables: Sequence[str] = ()) -> DataFrame:
+    """Per table: partitions checked, partitions that do not match and whether all is right.
+
+    Of the named ``tables``, one without any partition in the report is shown as not right.
+    """
+    status = report.select("table", "status")
+    if tables:
+        named = report.sparkSession.createDataFrame([(table, None) for table in tables], "table string, status string")
+        status = status.union(named)
+    matches = F.col("status") == MATCH
+    return status.groupBy("table").agg(
+        F.count("status").alias("checked"),
+        F.count_if(~matches).alias("mismatched"),
+        F.coalesce(F.bool_and(matches), F.lit(False)).alias("all_right"),
     )
 
 

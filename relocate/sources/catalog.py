@@ -61,9 +61,10 @@ def parsed_catalog(listing: DataFrame) -> DataFrame:
     text = F.coalesce(F.nullif(F.col("range"), F.lit("")), F.nullif(F.col("list"), F.lit("")))
     is_range = F.length(F.coalesce("range", F.lit(""))) > 0
     lower, upper = bounds.range_bounds(F.col("range"))
+    unsupported = F.raise_error(F.concat(F.lit("partition key of several columns: "), "key"))
     return listing.where(text.isNotNull()).select(
         "name",
-        "key",
+        F.when(F.contains("key", F.lit(",")), unsupported.cast("string")).otherwise(F.col("key")).alias("key"),
         F.when(is_range, "range").otherwise("list").alias("ptype"),
         bounds.bound_type(text).alias("dtype"),
         F.when(is_range, lower).alias("start"),

@@ -110,6 +110,14 @@ def test_texts_of_a_listing(spark):
     assert (got["e"]["dtype"], got["e"]["start"], got["e"]["end"]) == ("str", "1", None)
 
 
+def test_key_of_several_columns_raises(spark):
+    rows = spark.createDataFrame(
+        [("a", "k, l", "", "((1, 2))", "7")], "name string, key string, range string, list string, rowcount string"
+    )
+    with pytest.raises(Exception, match="several columns: k, l"):
+        catalog.parsed_catalog(rows).collect()
+
+
 def test_sizes(spark):
     rows = spark.createDataFrame([("12.5GB",), ("3MB",), ("0B",), ("2 tb",), ("?",), (None,)], "s string")
     got = rows.select(bounds.size_in_bytes(rows.s), bounds.gigabytes_only(rows.s)).collect()

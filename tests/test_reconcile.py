@@ -107,6 +107,8 @@ def test_summary_of_several_tables(spark):
     )
     rows = {r["table"]: (r["checked"], r["mismatched"], r["all_right"]) for r in reconcile.summary(report).collect()}
     assert rows == {"t": (2, 0, True), "u": (3, 2, False)}
+    named = {r["table"]: (r["checked"], r["all_right"]) for r in reconcile.summary(report, ["t", "gone"]).collect()}
+    assert named == {"t": (2, True), "u": (3, False), "gone": (0, False)}
     wrong = reconcile.mismatches(report)
     assert {(r["name"], r["status"], r["src_metrics"], r["tgt_metrics"]) for r in wrong.collect()} == {
         ("b", "NOT MATCH", "2.00,4.00", "3.00,6.00"),
@@ -114,3 +116,20 @@ def test_summary_of_several_tables(spark):
     }
     with pytest.raises(ValueError):
         reconcile.reconcile_tables([])
+
+
+@pytest.mark.parametrize("kind", ["orc", "json", "parquet"])
+def test_stores_of_other_formats(spark, tmp_path, kind):
+    from relocate.operators import load
+
+    rows = table(spark, [("a", 1.5), ("b", None)])
+    target = Store(format=kind, root=f"{tmp_path}/{kind}")
+    load.direct_copy(rows, replace(SPEC, row_filter="p <> 'c'"), target)
+    load.direct_copy(rows, SPEC, target)
+    assert target.read(spark, "t", rows.schema).count() == 4
+    assert statuses(reconcile.reconcile(rows.union(rows), target.read(spark, "t", rows.schema), SPEC)) == {
+        "a": "MATCH",
+        "b": "MATCH",
+    }
+    named = Store(format=kind, options={"path": f"{tmp_path}/{kind}/t"}, table_option="note", database="db")
+    assert named.read(spark, "t", rows.schema).count() == 4
