@@ -15,7 +15,7 @@ from relocate.operators import ledger
 from relocate.operators.stage import partition_writer
 from relocate.session import broadcast_below, few_values
 from relocate.sources.staged import with_file
-from relocate.specs import Selector, Store, TableSpec
+from relocate.specs import UNASSIGNED, Selector, Store, TableSpec
 
 # Folder column of a target table: the load that wrote the rows.
 LOAD_FIELD = "load_id"
@@ -116,8 +116,8 @@ def read_loaded(
     fields = [T.StructField(LOAD_TIME, T.LongType())]
     fields += [T.StructField(name, T.StringType()) for name in (LOAD_FIELD, PARTITION_FIELD)]
     rows = spark.read.schema(T.StructType([*schema.fields, *fields])).parquet(folder)
-    if partitions is not None:
-        rows = rows.where(partitions.keeps(PARTITION_FIELD))
+    if partitions is not None and partitions != Selector():
+        rows = rows.where(partitions.keeps(PARTITION_FIELD) & (F.col(PARTITION_FIELD) != UNASSIGNED))
     if key:
         rows = latest_per_key(rows, key, [*version, LOAD_TIME])
     return rows.select(*schema.names)

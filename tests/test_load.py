@@ -203,6 +203,17 @@ def test_selected_partitions_of_the_target_are_pruned(spark, rows, job):
     assert "PartitionFilters: [isnotnull(pt" in text
 
 
+def test_rows_without_partition_are_loaded_but_not_selected(spark, job):
+    rows = spark.createDataFrame([(1, None), (2, "p1"), (3, "p2")], "id bigint, p string")
+    plan.export_table(rows, SPEC, job)
+    plan.import_table(spark, rows.schema, SPEC, job)
+    assert loaded(spark, rows, job) == [1, 2, 3]
+    some = replace(SPEC, selector=Selector.parse("STARTWITH(p1)"))
+    assert loaded(spark, rows, job, some) == [2, 3]
+    report = plan.validate([(some, rows, plan.loaded_table(spark, rows.schema, some, job))])
+    assert {r["status"] for r in report.collect()} == {"MATCH"}
+
+
 def test_export_of_partition_folders_has_no_shuffle(spark, rows, job, tmp_path):
     rows.write.partitionBy("p").parquet(f"{tmp_path}/source")
     source = spark.read.schema(rows.schema).parquet(f"{tmp_path}/source")
