@@ -6,9 +6,10 @@ import pytest
 from compare import database, differences
 
 import __spark_entry__ as registry
+from relocate import checks
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = dict(checks.QUERIES), dict(checks.ORACLES)
 
 
 @pytest.fixture(scope="module")
