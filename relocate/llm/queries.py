@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import query, substring, table
+from relocate.llm import minhash, query, substring, table
 
 
 @query("op9_substring_dedup")
@@ -14,3 +14,8 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring.without_repeats(docs, 35, counts=("n_words", "n_removed"))
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
+
+
+@query("op4_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
