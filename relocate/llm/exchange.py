@@ -97,3 +97,59 @@ def flags_of(keys: np.ndarray, ranges: int, parts: list[dict]) -> np.ndarray:
         a, b = edges[part["range"]], edges[part["range"] + 1]
         out[a:b] = np.unpackbits(np.frombuffer(part["flags"], np.uint8), count=b - a)
     return out
+
+
+def summed(blocks: DataFrame, ranges: int, entry: np.dtype, propose: int) -> DataFrame:
+    """Totals of the keys of each block, and what each range says of all its keys.
+
+    ``counts`` of the blocks hold entries of type ``entry`` with fields ``count`` and ``bucket``. Rows with a block have
+    ``totals``, the corpus-wide counts of its keys in the range as zstd-compressed 64-bit numbers. One row for each range
+    without a block has ``sums`` and ``kinds``: total and number of counted keys by bucket, and ``top``: the ``propose``
+    most frequent keys with their counts and buckets.
+    """
+    buckets = 1 + np.iinfo(entry["bucket"]).max
+    schema = "range int, block_id long, totals binary, sums binary, kinds binary, top binary"
+
+    def add(rows: pa.Table) -> pa.Table:
+        entries = np.frombuffer(b"".join(rows["counts"].to_pylist()), entry)
+        borders = np.concatenate([[0], np.cumsum([len(k) // 8 for k in rows["keys"].to_pylist()])]).astype(np.int64)
+        keys = np.frombuffer(b"".join(rows["keys"].to_pylist()), np.uint64)
+        distinct, first, where = np.unique(keys, return_index=True, return_inverse=True)
+        totals = np.bincount(where, weights=entries["count"], minlength=len(distinct)).astype(np.int64)
+        own = entries["bucket"][first]
+        seen = totals > 0
+        sums = np.bincount(own, weights=totals, minlength=buckets).astype(np.int64)
+        kinds = np.bincount(own[seen], minlength=buckets).astype(np.int64)
+        best = np.lexsort((distinct, -totals))[:propose]
+        best = best[totals[best] > 0]
+        top = np.rec.fromarrays([distinct[best], totals[best], own[best]], dtype=TOP)
+        back = totals[where]
+        size = rows.num_rows
+        packs = [pa.compress(back[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(borders[:-1], borders[1:])]
+        squeezed = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in (sums, kinds)]
+        return pa.table(
+            {
+                "range": pa.array([rows["range"][0].as_py()] * (size + 1), pa.int32()),
+                "block_id": pa.array([*rows["block_id"].to_pylist(), None], pa.int64()),
+                "totals": pa.array([*packs, None], pa.binary()),
+                "sums": pa.array([None] * size + [squeezed[0]], pa.binary()),
+                "kinds": pa.array([None] * size + [squeezed[1]], pa.binary()),
+                "top": pa.array([None] * size + [top.tobytes()], pa.binary()),
+            }
+        )
+
+    return dealt(blocks, ranges, entry.itemsize).groupBy("range").applyInArrow(add, schema)
+
+
+TOP = np.dtype([("key", "<u8"), ("count", "<i8"), ("bucket", "<u2")])
+
+
+def totals_of(keys: np.ndarray, ranges: int, parts: list[dict]) -> np.ndarray:
+    """The totals of a block's keys from what :func:`summed` returned for it."""
+    shift = np.uint64(64 - int(math.log2(ranges)))
+    edges = np.searchsorted(keys >> shift, np.arange(ranges + 1, dtype=np.uint64))
+    out = np.zeros(len(keys), np.int64)
+    for part in parts:
+        a, b = edges[part["range"]], edges[part["range"] + 1]
+        out[a:b] = np.frombuffer(pa.decompress(part["totals"], 8 * (b - a), "zstd", asbytes=True), np.int64)
+    return out

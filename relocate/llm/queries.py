@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import minhash, query, substring, table
+from relocate.llm import hmm, minhash, query, substring, table
+
+
+@query("op1_hidden_markov_scoring")
+def hidden_markov_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.scored(table(spark, folder, "documents"))
 
 
 @query("op9_substring_dedup")
