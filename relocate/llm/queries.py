@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import hmm, minhash, query, substring, table
+from relocate.llm import bpe, hmm, minhash, packing, query, substring, table
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op1_hidden_markov_scoring")
@@ -13,6 +16,23 @@ def hidden_markov_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return hmm.scored(table(spark, folder, "documents"))
 
 
+@query("op5_sequence_packing")
+def sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.packed(table(spark, folder, "documents"), TOKENIZER, length=4096, end=2)
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+@query("op8_bpe_round_trip")
+def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    ids = bpe.encoded(table(spark, folder, "documents"), TOKENIZER)
+    return bpe.decoded(ids, TOKENIZER).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op9_substring_dedup")
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
