@@ -6,10 +6,49 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import bpe, hmm, minhash, packing, query, substring, table
+from relocate.llm import bpe, hmm, minhash, packing, quality, query, substring, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+PHRASES = "|".join(quality.Rules().boilerplate)
+
+QUALITY_SQL = rf"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words,
+        [l FOR l IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, words[i:i + 4] AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM split WHERE len(words) >= 5)
+), again AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1
+), repeats AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS place FROM again) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+        regexp_matches(line, '[.!?…:;。！？]["''”’»)\]]*[\x20\x09-\x0D]*$')
+            AND 100 * len(regexp_replace(line, '[^!?]', '', 'g')) <= 8 * len(line)
+            AND len(regexp_replace(line, '[^|]', '', 'g')) <= 1
+            AND 100 * len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) <= 10 * len(line)
+            AND NOT regexp_matches(line, '\b(?:{PHRASES})', 'i') AS good
+    FROM (SELECT doc_id, unnest(lines) AS line FROM split)
+), remaining AS (
+    SELECT doc_id, sum(CASE WHEN good THEN chars ELSE 0 END) AS chars FROM lines GROUP BY doc_id
+), counts AS (
+    SELECT s.doc_id, len(words)::BIGINT AS n_words,
+        len(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+        len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(k.chars, 0) AS remaining
+    FROM split s LEFT JOIN repeats r USING (doc_id) LEFT JOIN remaining k USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND remaining > 0 AND 100 * remaining >= 50 * word_chars AS kept
+FROM counts
+"""
+
 
 @query("op1_hidden_markov_scoring")
 def hidden_markov_scoring(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,6 +80,14 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
 
 
+@query("op3_line_quality", QUALITY_SQL)
+def line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judged(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op4_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
