@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import bpe, hmm, minhash, packing, quality, query, substring, table
+from relocate.llm import bpe, hmm, minhash, packing, quality, query, substring, table, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -80,6 +80,52 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
 
 
+URL_RULES = (
+    urls.Rule.parse("block", "net/"),
+    urls.Rule.parse("allow", "example.net/en/"),
+    urls.Rule.parse("block", "example.com/de/"),
+    urls.Rule.parse("allow", "org/fr/"),
+)
+#: Pages with one of these words put their URL on the list.
+LISTED_WORDS = r"\b(idiot|moron|scum|loser|worthless|pathetic|stupid)\b"
+
+URLS_SQL = rf"""
+WITH parts AS (
+    SELECT page_id, html, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 2) AS path,
+        [p FOR p IN string_split(substr(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 3), 2), '&')
+            IF p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=.*)?$')] AS given
+    FROM pages
+), named AS (
+    SELECT page_id, html, coalesce(host, '') AS host, coalesce(path, '') AS path,
+        CASE WHEN regexp_replace(host, '^www\.', '') <> '' THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '')
+            || CASE WHEN len(given) > 0 THEN '?' || array_to_string(list_sort(given), '&') ELSE '' END END AS url
+    FROM parts
+), listed AS (
+    SELECT DISTINCT url FROM named WHERE regexp_matches(html, '{LISTED_WORDS}') AND url IS NOT NULL
+), ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM named
+)
+SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block'
+    WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
+    ELSE CASE WHEN l.url IS NULL THEN 'allow' ELSE 'block' END END AS verdict
+FROM ruled LEFT JOIN listed l USING (url)
+"""
+
+
+@query("op2_url_verdicts", URLS_SQL)
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    listed = pages.filter(F.col("html").rlike(LISTED_WORDS)).select("url")
+    return urls.judged(pages.select("page_id", "url"), URL_RULES, listed).drop("url")
+
+
 @query("op3_line_quality", QUALITY_SQL)
 def line_quality(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judged(table(spark, folder, "documents"))
