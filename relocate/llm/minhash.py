@@ -1,8 +1,9 @@
 """Near-duplicate documents by SuperMinHash signatures, banding, exact verification and union-find grouping.
 
 Texts with equal shingle sets are one class and go on as its smallest id. Classes that share a band meet in a bucket.
-In each bucket all members are first compared with one centre, the member that meets most others; what that leaves in
-different components is then compared pair by pair. A pair within one component needs no comparison.
+All members of a bucket are first compared with its centre, the member that meets most others. Buckets with the same
+centre then form a group. Members that are not yet in the centre's component are compared with all others of the group
+that are in another component, in blocks of a bounded size inside tasks, which emit the links of a spanning forest.
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relocate.llm import shipped, words
-from relocate.llm.components import components
+from relocate.llm.components import Forest, components
 from relocate.session import saved
 
 BANDS, ROWS = 30, 5
 BROADCAST_ROWS = 2_000_000
+#: Shingles in one block of a group: of members, and of those that are compared with them.
+BLOCK_SHINGLES, REST_SHINGLES = 1 << 20, 1 << 18
 _UNSET = np.uint64(2**64 - 1)
 _STEP = 0x9E3779B97F4A7C15
 _DIRECT = 4
@@ -190,33 +193,13 @@ def near_duplicates(
         .agg(F.max(F.struct("score", F.negative("rep").alias("rep"), "n")).alias("c"))
         .select("key", F.negative("c.rep").alias("a"), F.col("c.n").alias("n_a"))
     )
-    stars = (
-        meetings.join(centres, "key")
-        .filter(f"rep <> a AND 100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
-        .select("a", F.col("rep").alias("b"))
-        .distinct()
+    members = saved(
+        meetings.join(centres, "key").select("a", "n_a", F.col("rep").alias("b"), "n").distinct(), "minhash-members"
     )
-    stars = saved(stars, "minhash-stars")
+    stars = members.filter(f"a <> b AND 100 * least(n, n_a) >= {percent} * greatest(n, n_a)").select("a", "b")
     sets = _candidate_sets(texts, classes, meetings, shingle)
     links = saved(_verified(stars, sets, percent), "minhash-links")
-
-    labels = components(links)
-    labelled = meetings.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
-    )
-    unsettled = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_rows = saved(labelled.join(unsettled.select("key"), "key").drop("met"), "minhash-open")
-    left = open_rows.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = open_rows.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    across = (
-        left.join(right, "key")
-        .filter(f"a < b AND c_a <> c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select("a", "b")
-        .distinct()
-    )
-    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = saved(across.join(seen, ["a", "b"], "left_anti"), "minhash-across")
-    more = _verified(across, sets, percent)
+    more = _across(members, components(links), sets, percent)
     labels = components(links.unionByName(more))
 
     known = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -248,6 +231,68 @@ def _candidate_sets(texts: DataFrame, classes: DataFrame, meetings: DataFrame, s
     return saved(own.select("id", "shingles"), "minhash-sets")
 
 
+def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components within the groups of the centres, as far as they connect anything."""
+    own = labels.select(F.col("node").alias("b"), F.col("component").alias("c"))
+    centre = labels.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
+    labelled = (
+        members.join(own, "b", "left")
+        .join(centre, "a", "left")
+        .select("a", "b", "n", F.coalesce("c", "b").alias("c"), F.coalesce("c_a", "a").alias("c_a"))
+        .withColumn("rest", F.col("c") != F.col("c_a"))
+    )
+    sizes = (
+        labelled.groupBy("a")
+        .agg(F.sum("n").alias("all"), F.sum(F.when(F.col("rest"), F.col("n"))).alias("open"))
+        .filter("open > 0")
+        .select(
+            "a",
+            F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+            F.ceil(F.col("open") / REST_SHINGLES).cast("int").alias("rests"),
+        )
+    )
+    placed = saved(labelled.join(sizes, "a").select("a", "b", "c", "rest", "blocks", "rests"), "minhash-groups")
+    block = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64("b", F.lit("rest")), F.col("rests")).cast("int")
+    every = placed.select(
+        "a", "b", "c", F.lit(False).alias("rest"), block.alias("block"), F.explode(F.expr("sequence(0, rests - 1)")).alias("part")
+    )
+    rest = placed.filter("rest").select(
+        "a", "b", "c", "rest", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), part.alias("part")
+    )
+    full = every.unionByName(rest).join(sets.withColumnRenamed("id", "b"), "b")
+    return full.groupBy("a", "part", "block").applyInArrow(_compared(percent), "a long, b long")
+
+
+def _compared(percent: int):
+    def compare(group: pa.Table) -> pa.Table:
+        rest = group["rest"].to_numpy()
+        ids, found = group["b"].to_numpy(), group["c"].to_numpy()
+        lists = group["shingles"].combine_chunks()
+        elements, borders = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        sizes = np.diff(borders)
+        left, right = np.flatnonzero(rest), np.flatnonzero(~rest)
+        forest = Forest()
+        # places of each shingle among the left sets
+        mine = np.concatenate([elements[:0]] + [elements[borders[i] : borders[i + 1]] for i in left])
+        owners = np.repeat(np.arange(len(left)), sizes[left])
+        order = np.argsort(mine, kind="stable")
+        mine, owners = mine[order], owners[order]
+        for j in right if len(left) else ():
+            other = elements[borders[j] : borders[j + 1]]
+            first, last = np.searchsorted(mine, other, "left"), np.searchsorted(mine, other, "right")
+            spans = last - first
+            hit = np.repeat(first - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+            common = np.bincount(owners[hit], minlength=len(left))
+            alike = (100 * common >= percent * (sizes[left] + sizes[j] - common)) & (found[left] != found[j])
+            for i in left[alike]:
+                forest.join(int(ids[i]), int(ids[j]))
+        edges = forest.edges()
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+    return compare
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are alike enough."""
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
