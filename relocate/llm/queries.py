@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import bpe, hmm, minhash, packing, quality, query, substring, table, urls
+from relocate.llm import bpe, hmm, minhash, neighbours, packing, quality, query, substring, table, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -137,3 +137,8 @@ def line_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
+
+
+@query("op10_vector_near_dedup")
+def vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, folder, "embeddings"), cosine=0.98)
