@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import bpe, hmm, minhash, neighbours, packing, quality, query, substring, table, urls
+from relocate.llm import bpe, hmm, minhash, neighbours, packing, pii, quality, query, substring, table, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +61,16 @@ def sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+#: Key of the registered query; a real run passes its own secret.
+PII_KEY = b"key of the registered query"
+
+
+@query("op6_pii_surrogates")
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.with_surrogates(docs, PII_KEY, count_col="n_entities")
+
+
 @query("op8_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     ids = bpe.encoded(table(spark, folder, "documents"), TOKENIZER)
