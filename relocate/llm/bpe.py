@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -27,7 +28,7 @@ from relocate.llm import shipped, words
 
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 64
-WORDS_KEPT, PIECES_KEPT = 300_000, 300_000
+WORDS_KEPT, PIECES_KEPT = 700_000, 700_000
 #: So many letters on both sides of a place show that no special token or contraction lies across it.
 CLEAR = 16
 
@@ -75,13 +76,18 @@ class Encoder:
         if known is None:
             if len(self._pieces) >= PIECES_KEPT:
                 self._pieces.clear()
-            spelt = "".join([self._names[b] for b in piece.encode()])
-            known = np.array([t.id for t in self._model.tokenize(spelt)], np.uint32).tobytes()
+            spelt = piece if piece.isascii() else "".join([self._names[b] for b in piece.encode()])
+            known = array("I", [t.id for t in self._model.tokenize(spelt)]).tobytes()
             self._pieces[piece] = known
         return known
 
     def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and "<|" not in word:
+        stem = word.rstrip(".,;:!?")
+        if stem.isalpha() and (word.isascii() or _PLAIN.fullmatch(word)):
+            known = self._piece(stem.lower())
+            if len(stem) < len(word):
+                known += self._piece(word[len(stem) :])
+        elif _PLAIN.fullmatch(word) and "<|" not in word:
             known = b"".join([self._piece(p) for p in self._split.findall(word.lower())])
         else:
             known = np.array(self._library.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -94,23 +100,28 @@ class Encoder:
         """Token ids of one text."""
         return self.encode_many(pa.array([text]))[0]
 
-    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.DictionaryArray]:
-        """Token ids of all texts in a row, borders by text; and for each word: tokens up to its end, and the word."""
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Token ids of all texts in a row, and borders by text.
+
+        And of the words, empty ones included: tokens up to each one's end, the different words, which of them each
+        one is, and how many each text has.
+        """
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         coded = split.flatten().dictionary_encode()
         own = coded.dictionary.to_pylist()
         known = self._words
         blobs = [found if (found := known.get(w)) is not None else self._word(w) for w in own]
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) >> 2
         alphabet = np.frombuffer(b"".join(blobs), np.uint32)
-        begins = np.cumsum(sizes) - sizes
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
         order = coded.indices.to_numpy()
         counts = sizes[order]
-        ends = np.cumsum(counts)
+        ends = np.cumsum(counts, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        ids = alphabet[np.repeat(begins[order] - (ends - counts), counts) + np.arange(total)]
+        place = np.repeat(begins[order] - (ends - counts).astype(np.int32), counts)
+        place += np.arange(total, dtype=np.int32)
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return ids, np.concatenate([[0], ends])[offsets], ends, coded
+        return alphabet[place], np.concatenate([[0], ends])[offsets], ends, own, order, np.diff(offsets)
 
     def decode(self, ids: np.ndarray) -> str:
         return " ".join([self.tokens[i] for i in ids.tolist()])
@@ -227,7 +238,7 @@ def encoded(
         coder = encoder(path)
         for batch in batches:
             for at, to in runs_of_texts(batch.column(1)):
-                ids, borders, _, _ = coder.encode_many(batch.column(1).slice(at, to - at))
+                ids, borders, *_ = coder.encode_many(batch.column(1).slice(at, to - at))
                 blobs = [ids[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, to - at), pa.array(blobs, pa.binary())], ["id", "ids"]

@@ -8,7 +8,6 @@ constant time.
 
 from __future__ import annotations
 
-import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +24,7 @@ SENTENCE, INSIDE = 32, 128
 #: Where no document or sentence ends within so many tokens, cuts between words are allowed.
 FAR = 256
 RUN_TOKENS = 1 << 20
-_SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
+_STOPS, _CLOSERS = frozenset(".!?…。！？"), "\"'”’»)]"
 
 
 def cuts(places: list[int], penalties: list[int], length: int) -> list[int]:
@@ -91,7 +90,7 @@ class _Stream:
 
 
 def _placed(coder: bpe.Encoder, ids_of_rows: pa.Array, texts: pa.Array, end: int) -> _Stream:
-    ids, borders, ends, coded = coder.encode_many(texts)
+    ids, borders, ends, different, order, words = coder.encode_many(texts)
     count = len(texts)
     sizes = np.diff(borders) + 1
     starts = np.cumsum(sizes) - sizes
@@ -99,11 +98,9 @@ def _placed(coder: bpe.Encoder, ids_of_rows: pa.Array, texts: pa.Array, end: int
     owner = np.repeat(np.arange(count), sizes - 1)
     stream[np.arange(len(ids)) + owner] = ids
     # places after sentences, documents, and words far from both
-    closing = np.array([bool(_SENTENCE_END.search(w)) for w in coded.dictionary.to_pylist()], bool)
-    order = coded.indices.to_numpy()
+    closing = np.array([w.rstrip(_CLOSERS)[-1:] in _STOPS for w in different], bool)
     filled = np.diff(ends, prepend=0) > 0
-    word_owner = np.searchsorted(borders[1:], ends - 1, "right")
-    word_ends = ends + word_owner
+    word_ends = ends + np.repeat(np.arange(count), words)
     penalty = np.full(len(stream) + 1, -1, np.int64)
     penalty[word_ends[filled & closing[order]]] = SENTENCE
     penalty[starts + sizes] = 0
