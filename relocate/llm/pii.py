@@ -50,10 +50,10 @@ _PATTERN = re.compile(
             r"(?P<secret>(?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?(?P<value>[^\s,;]{4,}))",
             r"(?P<key>(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|(?:sk|ghp)[-_][0-9A-Za-z]{20,})(?![0-9A-Za-z]))",
             r"(?P<iban>(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))",
-            rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))",
+            rf"(?P<ip>(?<!\w)(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))",
             r"(?P<card>(?<!\w)[3-6]\d(?:[ -]?\d){11,17}(?!\w))",
             r"(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))",
-            r"(?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\w|-\d))",
+            r"(?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\w|-\d))",
         ]
     )
 )

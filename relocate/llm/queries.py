@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import bpe, hmm, minhash, neighbours, packing, pii, quality, query, substring, table, urls
+from relocate.llm import bpe, hmm, minhash, neighbours, packing, pii, quality, query, substring, table, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -71,6 +71,12 @@ def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return pii.with_surrogates(docs, PII_KEY, count_col="n_entities")
 
 
+@query("op7_warc_derivatives")
+def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    sources = warc.responses(table(spark, folder, "pages"), date="2024-01-01T00:00:00Z")
+    return warc.derived(sources, keep=("page_id",))
+
+
 @query("op8_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     ids = bpe.encoded(table(spark, folder, "documents"), TOKENIZER)
@@ -152,3 +158,10 @@ def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_vector_near_dedup")
 def vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, folder, "embeddings"), cosine=0.98)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
