@@ -28,7 +28,7 @@ from relocate.llm import shipped, words
 
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 64
-WORDS_KEPT, PIECES_KEPT = 700_000, 700_000
+WORDS_KEPT, PIECES_KEPT = 500_000, 500_000
 #: So many letters on both sides of a place show that no special token or contraction lies across it.
 CLEAR = 16
 
@@ -222,27 +222,37 @@ def runs_of_texts(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def encoded(
-    docs: DataFrame, path: str, leaf: int = LEAF_CHARS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    leaf: int = LEAF_CHARS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded_col: str | None = None,
 ) -> DataFrame:
     """``(id_col, ids)``: the token ids of every whole text, as little-endian unsigned 32-bit numbers in one binary.
 
     ``path`` is the tokenizer's file, at the same place on all executors. Null and empty texts have no tokens. A row
     for each row, repeated rows and null ids included; an empty table gives none. Texts of more than ``leaf``
     characters are cut into leaves that are dealt over the cluster; one text and its ids must fit in a task.
+    ``decoded_col`` adds the ids' text, as :func:`decoded` does, without a second pass.
     """
     shipped(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
+    back = decoded_col is not None
+    schema = f"id {kind}, ids binary" + ", back string" * back
+
+    def answers(coder: Encoder, found: list[np.ndarray]) -> dict[str, pa.Array]:
+        out = {"ids": pa.array([x.astype(np.uint32).tobytes() for x in found], pa.binary())}
+        return out | ({"back": pa.array([coder.decode(x) for x in found], pa.string())} if back else {})
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
             for at, to in runs_of_texts(batch.column(1)):
                 ids, borders, *_ = coder.encode_many(batch.column(1).slice(at, to - at))
-                blobs = [ids[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, to - at), pa.array(blobs, pa.binary())], ["id", "ids"]
-                )
+                found = [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
+                yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(at, to - at)} | answers(coder, found))
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
@@ -251,20 +261,21 @@ def encoded(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blobs, pa.binary())], [*batch.schema.names, "ids"])
 
     def join(group: pa.Table) -> pa.Table:
+        coder = encoder(path)
         rows = sorted(group.select(["leaf", "text", "ids"]).to_pylist(), key=lambda r: r["leaf"])
-        parts = [(r["text"], np.frombuffer(r["ids"], np.uint32)) for r in rows]
-        ids = _tree(encoder(path), parts).astype(np.uint32).tobytes()
-        return pa.table({"id": group["id"].slice(0, 1), "ids": pa.array([ids], pa.binary())})
+        ids = _tree(coder, [(r["text"], np.frombuffer(r["ids"], np.uint32)) for r in rows])
+        return pa.table({"id": group["id"].slice(0, 1)} | answers(coder, [ids]))
 
-    at_once = rows.filter(F.coalesce(F.length("text"), F.lit(0)) <= leaf).mapInArrow(short, f"id {kind}, ids binary")
+    at_once = rows.filter(F.coalesce(F.length("text"), F.lit(0)) <= leaf).mapInArrow(short, schema)
     long = rows.filter(F.length("text") > leaf).withColumn("row", F.monotonically_increasing_id())
     count = F.pow(2, F.ceil(F.log2(F.length("text") / leaf))).cast("int")
     step = F.ceil(F.length("text") / count).cast("int")
     cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(F.col("text"), i * step + 1, step))
     dealt = long.select("row", "id", F.posexplode(cut).alias("leaf", "text")).repartition("row", "leaf")
     done = dealt.mapInArrow(leaves, f"row long, id {kind}, leaf int, text string, ids binary")
-    in_parts = done.groupBy("row").applyInArrow(join, f"id {kind}, ids binary")
-    return at_once.unionByName(in_parts).withColumnRenamed("id", id_col)
+    in_parts = done.groupBy("row").applyInArrow(join, schema)
+    both = at_once.unionByName(in_parts).withColumnRenamed("id", id_col)
+    return both.withColumnRenamed("back", decoded_col) if back else both
 
 
 def decoded(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -79,8 +79,7 @@ def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    ids = bpe.encoded(table(spark, folder, "documents"), TOKENIZER)
-    return bpe.decoded(ids, TOKENIZER).select(
+    return bpe.encoded(table(spark, folder, "documents"), TOKENIZER, decoded_col="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
