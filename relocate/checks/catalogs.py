@@ -85,13 +85,14 @@ SELECT name, count(*) AS rowcount FROM (SELECT {fx.SQL_MONTH.format('o_orderdate
 GROUP BY name""",
 )
 def nonempty_partitions(spark, folder):
-    """Estimates that are zero although rows exist, and one for a partition that has no rows."""
+    """Estimates that are zero although rows exist, and two, one of them large, for partitions that have no rows."""
     known = fx.orders_catalog(spark, folder)
     estimated = known.withColumn(
         "rowcount", F.when(F.month("start") % 2 == 0, F.lit(0)).otherwise(F.col("rowcount")).cast("bigint")
     )
     empty = known.where("name = 'p199501'").withColumns({"name": F.lit("p200201"), "rowcount": F.lit(5).cast("bigint")})
-    listed = saved(estimated.unionByName(empty), "catalog")
+    large = empty.withColumns({"name": F.lit("p200202"), "rowcount": F.lit(5000).cast("bigint")})
+    listed = saved(estimated.unionByName(empty).unionByName(large), "catalog")
     rows = fx.table(spark, folder, "orders").select(fx.ORDERS.partition_column().alias("pt"))
     return select.nonempty_partitions(listed, rows).select("name", "rowcount")
 

@@ -100,7 +100,7 @@ FROM orders WHERE o_orderkey % 251 = 0
 
 
 def sql_sum(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DECIMAL(38,2))"
+    return f"CAST(sum(CAST({column} AS DECIMAL(30,6))) AS DECIMAL(38,6))"
 
 
 def sql_month_metrics(rows: str) -> str:

@@ -61,6 +61,48 @@ def reconcile_full(spark, folder):
     return reconcile.reconcile(_orders(spark, folder), fx.damaged_orders(spark, folder), _SUM, both_sides=True)
 
 
+_LINES = replace(fx.LINEITEM, metrics={"price": "l_extendedprice"})
+
+
+@query(
+    "reconcile_exact_doubles",
+    f"""
+SELECT {fx.SQL_MONTH.format('l_shipdate')} AS name, count(*) AS src_rows, count(*) AS tgt_rows,
+       CASE WHEN bool_or(l_orderkey % 5 = 0 AND l_linenumber = 1) THEN 'NOT MATCH' ELSE 'MATCH' END AS status
+FROM lineitem GROUP BY 1""",
+)
+def reconcile_exact_doubles(spark, folder):
+    """Damage in the third digit of the first line of some orders."""
+    lines = fx.table(spark, folder, "lineitem")
+    damaged = F.when((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") == 1), F.col("l_extendedprice") + 0.001)
+    target = lines.withColumn("l_extendedprice", F.coalesce(damaged, "l_extendedprice"))
+    return reconcile.reconcile(lines, target, _LINES).select("name", "src_rows", "tgt_rows", "status")
+
+
+_TYPED = replace(fx.ORDERS, metrics={"whole": "whole", "exact": "exact", "loose": "loose"})
+
+
+@query(
+    "reconcile_types",
+    f"""
+SELECT {fx.SQL_MONTH.format('o_orderdate')} AS name,
+       CASE WHEN bool_or(o_orderkey % 50 = 0 OR o_orderkey % 77 = 1 OR o_orderkey % 91 = 2) THEN 'NOT MATCH' ELSE 'MATCH' END AS status
+FROM orders GROUP BY 1""",
+)
+def reconcile_types(spark, folder):
+    """Whole numbers against doubles, decimals against longer decimals and against doubles, each with small damage."""
+    orders, key = _orders(spark, folder), F.col("o_orderkey")
+    source = orders.withColumns({"whole": key, "exact": (key / 4).cast("decimal(18,2)"), "loose": (key / 4).cast("decimal(18,2)")})
+    target = orders.withColumns(
+        {
+            "whole": key.cast("double") + F.when(key % 50 == 0, 0.4).otherwise(0.0),
+            "exact": ((key / 4).cast("decimal(20,4)") + F.when(key % 77 == 1, F.lit("0.0049")).otherwise("0").cast("decimal(5,4)")),
+            "loose": key / 4 + F.when(key % 91 == 2, 0.001).otherwise(0.0),
+        }
+    )
+    return reconcile.reconcile(source, target, _TYPED).select("name", "status")
+
+
 @query("reconcile_saved_metrics", _sql_compare("FULL"))
 def reconcile_saved_metrics(spark, folder):
     """Comparison of two metric tables that were computed apart."""

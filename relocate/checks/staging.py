@@ -10,7 +10,7 @@ from relocate.checks import query
 from relocate.functions.paths import PARTITION_FIELD
 from relocate.operators import ledger, load, stage
 from relocate.plans import job as plan
-from relocate.session import work_folder
+from relocate.session import saved, work_folder
 from relocate.sources import listing, staged
 from relocate.specs import Layout, Selector, Store, TableSpec
 
@@ -48,7 +48,7 @@ def stage_parquet_lineitem(spark, folder):
     out = work_folder(spark, "stage")
     stage.stage_rows(stage.staged_rows(lines, fx.LINEITEM), out, 1_000_000)
     rows = staged.read_staged(spark, out, lines.schema)
-    price = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)")
+    price = F.sum(F.col("l_extendedprice").cast("decimal(30,6)")).cast("decimal(38,6)")
     return rows.groupBy(F.col(PARTITION_FIELD).alias("partition")).agg(
         F.count("*").alias("row_count"), price.alias("l_extendedprice")
     )
@@ -284,3 +284,19 @@ def relocate_and_validate(spark, folder):
     plan.export_table(orders, spec, job)
     plan.import_table(spark, orders.schema, spec, job)
     return plan.validate([(spec, orders, plan.loaded_table(spark, orders.schema, spec, job))])
+
+
+@query("load_announced_files", f"SELECT {fx.SQL_MONTH.format('o_orderdate')} AS \"partition\", count(*) AS row_count FROM orders GROUP BY 1 UNION ALL SELECT 'gone', 0")
+def load_announced_files(spark, folder):
+    """Files that storage events announced, under another scheme and with encoded names, and one that is not there."""
+    orders = fx.table(spark, folder, "orders")
+    job = _job(spark, "job1")
+    plan.export_table(orders, fx.ORDERS, job)
+    raw = F.regexp_replace("task_name", "^[a-z0-9]+:/+", "")
+    names = job.ledger(spark).current().select(raw.alias("name"))
+    gone = names.limit(1).select(F.regexp_replace("name", f"{PARTITION_FIELD}=[^/]*", f"{PARTITION_FIELD}=gone").alias("name"))
+    keys = names.unionByName(gone).select(F.regexp_replace("name", "=", "%3D").alias("raw_path"))
+    done = plan.import_announced(spark, listing.landed_files(keys), orders.schema, fx.ORDERS, job)
+    partition = F.regexp_extract("task_name", f"/{PARTITION_FIELD}=([^/]*)/", 1)
+    report = done.groupBy(partition.alias("partition")).agg(F.sum("row_count").alias("row_count"))
+    return saved(report, "announced")

@@ -87,3 +87,26 @@ def sync_increments(spark, folder):
     for rows in (fx.snapshot(spark, folder), events, events):
         plan.sync_table(rows, fx.EVENTS, "ts", job, marks)
     return plan.loaded_table(spark, events.schema, fx.EVENTS, job)
+
+
+@query(
+    "sync_ties_and_nulls",
+    "SELECT event_id, value, CASE WHEN event_id % 101 <> 0 THEN date_trunc('hour', ts) END AS ts FROM events",
+)
+def sync_ties_and_nulls(spark, folder):
+    """Hourly keys and missing ones; half of the last hour, and of the rows without a key, comes a round later."""
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    events = fx.table(spark, folder, "events").select("event_id", "value", F.when(F.col("event_id") % 101 != 0, hour).alias("ts"))
+    cut = F.lit(fx.SNAPSHOT_END + " 10:00:00").cast("timestamp_ntz")
+    even = F.col("event_id") % 2 == 0
+    rounds = [
+        events.where((F.col("ts") < cut) | (((F.col("ts") == cut) | F.col("ts").isNull()) & even)),
+        events.where((F.col("ts") <= cut) | F.col("ts").isNull()),
+        events,
+        events,
+    ]
+    job = plan.Job("ties", "db", work_folder(spark, "stage"), work_folder(spark, "target"), work_folder(spark, "ledger"))
+    marks = increments.HighWater(spark, work_folder(spark, "marks"))
+    for rows in rounds:
+        plan.sync_table(rows, fx.EVENTS, "ts", job, marks)
+    return plan.loaded_table(spark, events.schema, fx.EVENTS, job)

@@ -36,6 +36,22 @@ def partition_of(path: Column | str) -> Column:
     return F.regexp_replace(segment(path, PARTITION), f"^{PARTITION_FIELD}=", "")
 
 
+def decoded(path: Column | str) -> Column:
+    """A path without percent-encoding; a text that is not encoded stays as it is."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def same_file(path: Column | str) -> Column:
+    """A text that is equal for all spellings of one file: without scheme and percent-encoding."""
+    return F.regexp_replace(decoded(path), SCHEME, "/")
+
+
+def folder_value(path: Column | str) -> Column:
+    """Partition that a staged file's folder is named after."""
+    return decoded(F.regexp_extract(path, f"/{PARTITION_FIELD}=([^/]*)/[^/]*$", 1))
+
+
 def task_fields(path: Column | str) -> list[Column]:
     """Bucket, prefix, job, db, table, partition and file of a path."""
     rest = F.regexp_extract(path, r"^(?:[^/]*/){8}(.+)$", 1)

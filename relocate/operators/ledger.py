@@ -1,11 +1,13 @@
 """The task ledger: status events per staged file, folded to the latest state.
 
 An event has ``task_name, status, update_time, seq, msg, load_id``. Events are only ever
-added; the state of a file is its latest event by ``(update_time, seq)``.
+added; the state of a file is its latest event by ``(update_time, seq)``. Times are UTC, so
+their order depends on no session zone.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +78,11 @@ def partition_files(state: DataFrame, job: str, table: str, partition: str) -> D
     )
 
 
+def folder_files(state: DataFrame, partition: str) -> DataFrame:
+    """Files in the folder of a partition, whose name may be percent-encoded in their paths."""
+    return state.where(paths.folder_value("task_name") == partition)
+
+
 def pending_files(landed: DataFrame, state: DataFrame) -> DataFrame:
     """Landed files that the ledger does not show as loaded."""
     return landed.join(state.where(F.col("status") == LOADED), "task_name", "left_anti")
@@ -151,15 +158,16 @@ class Ledger:
         """Fix the outcome of a query on the ledger before the ledger changes under it."""
         return saved(files, "ledger-hold")
 
-    def append(self, files: DataFrame, status: str, msg: str | Column = "", load_id: str | None = None) -> None:
+    def append(self, files: DataFrame, status: str, msg: str | Column = "", load_id: str | Column | None = None) -> None:
         """Add one event per file."""
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         files.select(
             "task_name",
             F.lit(status).alias("status"),
-            F.localtimestamp().alias("update_time"),
+            F.lit(now.isoformat(" ")).cast("timestamp_ntz").alias("update_time"),
             F.lit(time.time_ns()).alias("seq"),
             (F.lit(msg) if isinstance(msg, str) else msg).alias("msg"),
-            F.lit(load_id).cast("string").alias("load_id"),
+            (load_id if isinstance(load_id, Column) else F.lit(load_id)).cast("string").alias("load_id"),
         ).write.mode("append").parquet(self.folder)
 
     def purge(self, folder: str) -> None:

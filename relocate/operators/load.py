@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relocate.functions.paths import PARTITION_FIELD
+from relocate.functions.paths import PARTITION_FIELD, same_file
 from relocate.operators import ledger
 from relocate.operators.stage import partition_writer
 from relocate.session import broadcast_below, few_values
@@ -36,13 +36,30 @@ def file_counts(staged: DataFrame) -> DataFrame:
 
 
 def file_load_status(landed: DataFrame, counts: DataFrame) -> DataFrame:
-    """Outcome of each landed file. A file without rows is a success with nothing written."""
+    """Outcome of each landed file. A file without rows is a success with nothing written.
+
+    Where ``landed`` has ``found``, a file for which it is false was announced and does not exist: it failed.
+    """
     rows = F.coalesce("row_count", F.lit(0).cast("bigint"))
+    status = F.lit(ledger.LOADED)
+    if "found" in landed.columns:
+        status = F.when(F.col("found"), status).otherwise(ledger.FAILED)
     return landed.join(counts, "task_name", "left").select(
-        "task_name",
-        rows.alias("row_count"),
-        (rows > 0).alias("written"),
-        F.lit(ledger.LOADED).alias("status"),
+        "task_name", rows.alias("row_count"), (rows > 0).alias("written"), status.alias("status")
+    )
+
+
+def existing_files(landed: DataFrame, present: DataFrame) -> DataFrame:
+    """``landed`` under the names that ``present``, a listing, has for the same files, and whether they are ``found``.
+
+    Names may differ in scheme and percent-encoding.
+    """
+    listed = present.select(F.col("task_name").alias("_listed"), same_file("task_name").alias("_same"))
+    return (
+        landed.withColumn("_same", same_file("task_name"))
+        .join(listed, "_same", "left")
+        .select(F.coalesce("_listed", "task_name").alias("task_name"), F.col("_listed").isNotNull().alias("found"))
+        .distinct()
     )
 
 
@@ -128,6 +145,10 @@ def direct_copy(df: DataFrame, spec: TableSpec, target: Store, table: str | None
     target.append(spec.rows(df), table or spec.name)
 
 
+def _has_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], version: Sequence[str | Column]) -> DataFrame:
     """The row with the highest version for each key; NULL keys count as equal.
 
@@ -135,6 +156,8 @@ def latest_per_key(df: DataFrame, key: Sequence[str], version: Sequence[str | Co
     limit), so a key that holds much of the table costs one row per task.
     """
     order = [(F.col(v) if isinstance(v, str) else v).desc_nulls_last() for v in version]
+    # rows of equal version are told apart by what they hold, so that each read gives the same one
+    order.append(F.xxhash64(*[F.to_json(F.struct(f.name)) if _has_map(f.dataType) else F.col(f.name) for f in df.schema]).desc())
     ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*key).orderBy(*order)))
     return ranked.where("_rank = 1").drop("_rank")
 
@@ -204,28 +227,69 @@ def settle_open_loads(
 ) -> bool:
     """Run loads again that failed or were cut short, each with its own files under its own label.
 
-    ``unloaded`` comes from ``ledger.unloaded_files`` and is held. Tells whether there were any.
+    ``unloaded`` comes from ``ledger.unloaded_files`` and is held. All labels go in one job, which replaces the
+    partition folders that they write. Tells whether there were any.
     """
-    labels = few_values(unloaded.where(F.col("load_id").isNotNull()), "load_id", LITERAL_LIMIT)
-    if labels is None:
-        raise RuntimeError(f"more than {LITERAL_LIMIT} loads are unfinished in {record.folder}")
-    for label in sorted(labels):
-        _load(spark, unloaded.where(F.col("load_id") == label).select("task_name"), staged, folder, record, label)
-    return bool(labels)
+    begun = unloaded.where(F.col("load_id").isNotNull())
+    first = few_values(begun, "load_id", 1)
+    if first == []:
+        return False
+    if first is not None:
+        _load(spark, begun.select("task_name"), staged, folder, record, first[0])
+        return True
+    counts = record.hold(file_counts(staged).join(begun, "task_name", "left_semi"))
+    rows = with_file(staged).join(begun.select("task_name", "load_id"), "task_name").drop("task_name")
+    try:
+        (
+            rows.withColumn(LOAD_TIME, F.lit(time.time_ns()))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(LOAD_FIELD, PARTITION_FIELD)
+            .parquet(folder)
+        )
+    except Exception as error:
+        record.append(begun, ledger.FAILED, str(error), F.col("load_id"))
+        raise
+    status = file_load_status(begun.select("task_name"), counts).join(begun.select("task_name", "load_id"), "task_name")
+    record.append(status, ledger.LOADED, F.col("row_count").cast("string"), F.col("load_id"))
+    return True
 
 
 def load_files(
-    spark: SparkSession, landed: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
+    spark: SparkSession,
+    landed: DataFrame,
+    staged: DataFrame,
+    folder: str,
+    record: ledger.Ledger,
+    present: DataFrame | None = None,
 ) -> DataFrame:
     """Load the landed files that the ledger does not show as loaded, and record every outcome.
 
     ``landed`` must be listed before ``staged`` is read: a file that arrives in between is
-    then left to the next load. All files go in one job, into a folder named after the
+    then left to the next load. Where it is no listing, as with announced files, ``present``
+    is one: names are matched whatever their scheme and encoding, and a file that does not
+    exist is recorded as failed. All files go in one job, into a folder named after the
     load's label. The label is in the ledger before the rows are written; a load that was
     cut short at any point is first run again with the same files and label, so that no
     row is lost or doubled. One load per target table may run at a time. Returns the
     status of the files that were not loaded when it began.
     """
+    missing = None
+    if present is not None:
+        known = record.hold(existing_files(landed, present))
+        missing = known.where("NOT found")
+        record.append(missing, ledger.FAILED, "no such file")
+        landed = known.where("found")
+    status = _load_files(spark, landed, staged, folder, record)
+    if missing is None:
+        return status
+    nothing = missing.select("task_name", F.lit(0).cast("bigint").alias("row_count")).limit(0)
+    return status.unionByName(file_load_status(missing, nothing))
+
+
+def _load_files(
+    spark: SparkSession, landed: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
+) -> DataFrame:
     unloaded = record.hold(ledger.unloaded_files(landed, record.current()))
     if unloaded.isEmpty():
         return file_load_status(unloaded, unloaded.select("task_name", F.lit(0).cast("bigint").alias("row_count")))

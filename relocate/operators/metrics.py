@@ -8,40 +8,79 @@ from pyspark.sql import types as T
 
 from relocate.specs import TableSpec, as_column
 
-# Fraction digits kept of floating-point metrics, so that sums do not depend on the order of rows.
-METRIC_SCALE = 2
+# Fraction digits of the sums of floating-point metrics. Verdicts do not depend on it: they compare prints.
+FLOAT_SCALE = 6
 
+_PRINT = T.DecimalType(38, 0)
 
-def exact(df: DataFrame, expression: str | Column) -> Column:
-    """A metric in a type whose sums are exact."""
-    column = as_column(expression)
-    kind = df.select(column).schema[0].dataType
+
+def sum_type(kind: T.DataType) -> T.DecimalType:
+    """Type in which values of a numeric type are added without regard to their order."""
     if isinstance(kind, T.DecimalType):
-        return column
-    return column.cast("decimal(20,0)" if isinstance(kind, T.IntegralType) else f"decimal(18,{METRIC_SCALE})")
+        return kind
+    return T.DecimalType(20, 0) if isinstance(kind, T.IntegralType) else T.DecimalType(30, FLOAT_SCALE)
+
+
+def common_sum_type(one: T.DataType, other: T.DataType) -> T.DecimalType:
+    """The narrowest type that holds the values of both sum types; with whole digits given up beyond 38."""
+    one, other = sum_type(one), sum_type(other)
+    scale = max(one.scale, other.scale)
+    return T.DecimalType(min(38, scale + max(one.precision - one.scale, other.precision - other.scale)), scale)
+
+
+def common_type(one: T.DataType, other: T.DataType) -> T.DataType:
+    """Type in which equal values of both types are equal: exact where either is exact."""
+    floating = [isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) for kind in (one, other)]
+    if all(floating):
+        return T.DoubleType()
+    exact = [sum_type(kind) for kind, is_floating in zip((one, other), floating) if not is_floating]
+    return T.DecimalType(38, max(kind.scale for kind in exact))
+
+
+def value_print(value: Column, kind: T.DataType) -> Column:
+    """A number that stands for a value compared as ``kind``; NULL for NULL.
+
+    Values that ``kind`` cannot hold exactly, NaN and infinities included, stand for themselves.
+    """
+    if isinstance(kind, T.DoubleType):
+        return F.xxhash64(value.cast("double") + F.lit(0.0)).cast(_PRINT)
+    held = value.try_cast(kind)
+    exact = held.isNotNull() & (held.cast("double") == value.cast("double"))
+    return F.when(value.isNotNull(), F.when(exact, F.xxhash64(held)).otherwise(F.xxhash64(F.lit("apart"), value.cast("string")))).cast(_PRINT)
 
 
 def _total(column: Column, kind: T.DecimalType) -> Column:
-    return F.sum(column).cast(T.DecimalType(38, kind.scale))
+    """Sum of a column of any numeric type; NULL where it does not fit."""
+    return F.try_sum(column.try_cast(kind)).cast(T.DecimalType(38, kind.scale))
 
 
-def metric_columns(df: DataFrame, spec: TableSpec) -> dict[str, tuple[Column, T.DecimalType]]:
-    """Per metric of the spec: its exact column and type."""
-    columns = {metric: exact(df, expression) for metric, expression in spec.metrics.items()}
+def metric_columns(df: DataFrame, spec: TableSpec) -> dict[str, tuple[Column, T.DataType]]:
+    """Per metric of the spec: its column and type."""
+    columns = {metric: as_column(expression) for metric, expression in spec.metrics.items()}
     return {metric: (column, df.select(column).schema[0].dataType) for metric, column in columns.items()}
 
 
 def metric_sums(df: DataFrame, spec: TableSpec) -> list[Column]:
     """Aggregates of a spec: ``row_count`` and one sum per metric."""
-    sums = [_total(column, kind).alias(metric) for metric, (column, kind) in metric_columns(df, spec).items()]
+    sums = [_total(column, sum_type(kind)).alias(metric) for metric, (column, kind) in metric_columns(df, spec).items()]
     return [F.count("*").alias("row_count"), *sums]
 
 
-def partition_metrics(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Count and sums of every partition in one job; partial sums per task go through the shuffle."""
+def partition_metrics(df: DataFrame, spec: TableSpec, prints: bool = False) -> DataFrame:
+    """Count and sums of every partition in one job; partial sums per task go through the shuffle.
+
+    ``prints`` adds ``<metric>_print``, a sum over the values' prints that tells apart what equal sums hide. It is for
+    tables whose metrics have the same types.
+    """
     rows = spec.rows(df)
-    sums = rows.groupBy(spec.group_column().alias("_group")).agg(*metric_sums(rows, spec))
-    return sums.select(spec.name_of(F.col("_group")).alias("name"), "row_count", *spec.metrics)
+    extra = {
+        f"{metric}_print": F.sum(value_print(column, common_type(kind, kind)))
+        for metric, (column, kind) in metric_columns(rows, spec).items()
+        if prints
+    }
+    aggregates = [*metric_sums(rows, spec), *[value.alias(name) for name, value in extra.items()]]
+    sums = rows.groupBy(spec.group_column().alias("_group")).agg(*aggregates)
+    return sums.select(spec.name_of(F.col("_group")).alias("name"), "row_count", *spec.metrics, *extra)
 
 
 def table_metrics(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relocate.operators.metrics import fingerprint, metric_columns
+from relocate.operators.metrics import common_sum_type, common_type, fingerprint, metric_columns, value_print
 from relocate.specs import TableSpec
 
 # Verdicts on a partition.
@@ -44,42 +44,61 @@ def reconcile(source: DataFrame, target: DataFrame, spec: TableSpec, both_sides:
     Both sides are read in one pass and meet in a single aggregation by partition name:
     each task sends one partial row per partition, however large the partition, and no
     join follows. Columns: ``name, src_rows, tgt_rows, src_<metric>, tgt_<metric>, status``.
+
+    The verdict rests on the rows and on prints of the values, so it sees a difference in any
+    digit, in NULLs, NaN and infinities. Values of different types are compared in a type
+    that is exact for both. The sums are for the reader; one that does not fit is NULL.
     """
-    metrics = metric_columns(source, spec)
+    ours, theirs = metric_columns(source, spec), metric_columns(target, spec)
+    kinds = {metric: (ours[metric][1], theirs[metric][1]) for metric in ours}
 
-    def side(df: DataFrame, of_source: bool) -> DataFrame:
-        rows = spec.rows(df)
-        columns = [
-            column.cast(kind).alias(metric) for metric, (column, kind) in metrics.items()
-        ]
-        return rows.select(spec.group_column().alias("_group"), F.lit(of_source).alias("of_source"), *columns)
+    def side(df: DataFrame, metrics: dict, of_source: bool) -> DataFrame:
+        columns = []
+        for metric, (column, _) in metrics.items():
+            columns.append(column.try_cast(common_sum_type(*kinds[metric])).alias(metric))
+            columns.append(value_print(column, common_type(*kinds[metric])).alias(f"_print_{metric}"))
+        return spec.rows(df).select(spec.group_column().alias("_group"), F.lit(of_source).alias("of_source"), *columns)
+
+    def added(add, name: str, of_source: bool) -> Column:
+        return add(F.when(F.col("of_source") if of_source else ~F.col("of_source"), F.col(name)))
 
     def total(metric: str, of_source: bool) -> Column:
-        kind = T.DecimalType(38, metrics[metric][1].scale)
-        wanted = F.col("of_source") if of_source else ~F.col("of_source")
-        return F.sum(F.when(wanted, F.col(metric))).cast(kind)
-
-    both = side(source, True).union(side(target, False)).groupBy("_group")
-    sums = [
-        total(metric, of_source).alias(f"{prefix}_{metric}")
-        for metric in metrics
-        for prefix, of_source in (("src", True), ("tgt", False))
+        return added(F.try_sum, metric, of_source).cast(T.DecimalType(38, common_sum_type(*kinds[metric]).scale))
+
+    both = side(source, ours, True).union(side(target, theirs, False)).groupBy("_group")
+    sides = (("src", True), ("tgt", False))
+    sums = [total(metric, of_source).alias(f"{prefix}_{metric}") for metric in kinds for prefix, of_source in sides]
+    prints = [
+        F.struct(added(F.count, f"_print_{metric}", of_source), added(F.sum, f"_print_{metric}", of_source)).alias(
+            f"_{prefix}_print_{metric}"
+        )
+        for metric in kinds
+        for prefix, of_source in sides
     ]
     counted = both.agg(
         F.nullif(F.count_if(F.col("of_source")), F.lit(0)).alias("src_rows"),
         F.nullif(F.count_if(~F.col("of_source")), F.lit(0)).alias("tgt_rows"),
         *sums,
+        *prints,
     )
+    shown = counted.columns[1 : 3 + len(sums)]
     pairs = [(F.col("src_rows"), F.col("tgt_rows"))]
-    pairs += [(F.col(f"src_{metric}"), F.col(f"tgt_{metric}")) for metric in metrics]
+    pairs += [(F.col(f"_src_print_{metric}"), F.col(f"_tgt_print_{metric}")) for metric in kinds]
     if not both_sides:
         counted = counted.where(F.col("src_rows").isNotNull())
     status = _verdict(pairs, F.col("src_rows"), F.col("tgt_rows"))
     return counted.select(
-        spec.name_of(F.col("_group")).alias("name"), *counted.columns[1:], status.alias("status")
+        spec.name_of(F.col("_group")).alias("name"), *shown, status.alias("status")
     )
 
 
+def type_differences(source: DataFrame, target: DataFrame, spec: TableSpec) -> dict[str, tuple[str, str]]:
+    """Metrics whose types differ: the source's and the target's."""
+    ours, theirs = metric_columns(source, spec), metric_columns(target, spec)
+    kinds = {metric: (ours[metric][1].simpleString(), theirs[metric][1].simpleString()) for metric in ours}
+    return {metric: pair for metric, pair in kinds.items() if pair[0] != pair[1]}
+
+
 def reconcile_tables(
     tables: Sequence[tuple[TableSpec, DataFrame, DataFrame]], both_sides: bool = False
 ) -> DataFrame:

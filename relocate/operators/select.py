@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from relocate.specs import Selector
 
-# Catalog counts below this are estimates too small to trust and are counted again.
-TRUSTED_ROWCOUNT = 1000
-
 
 def select_partitions(catalog: DataFrame, selector: Selector) -> DataFrame:
     """Catalog rows that a selector keeps. A selector that matches nothing gives no rows."""
@@ -36,20 +33,21 @@ def sorted_catalog(catalog: DataFrame) -> DataFrame:
     return catalog.orderBy("name")
 
 
-def nonempty_partitions(catalog: DataFrame, rows: DataFrame, partition: str = "pt") -> DataFrame:
-    """Catalog entries that hold rows, with a count that can be relied on.
+def nonempty_partitions(
+    catalog: DataFrame, rows: DataFrame, partition: str = "pt", trusted: int | None = None
+) -> DataFrame:
+    """Catalog entries that hold rows, with their exact count.
 
-    Counts from ``TRUSTED_ROWCOUNT`` up are taken from the catalog. The others are counted
-    in one job over the partition column alone, whose scan is limited to those partitions
-    where ``partition`` is a partition folder.
+    All partitions are counted in one job over the partition column alone. With ``trusted``,
+    counts of the catalog from there up are taken as they are, and the scan is limited to the
+    other partitions where ``partition`` is a partition folder.
     """
-    doubtful = catalog.where(F.col("rowcount") < TRUSTED_ROWCOUNT).select(F.col("name").alias("_name"))
+    relied_on = F.lit(False) if trusted is None else F.col("rowcount") >= trusted
+    doubtful = catalog.where(~relied_on).select(F.col("name").alias("_name"))
     exact = (
         rows.join(doubtful, F.col(partition) == F.col("_name"), "left_semi")
         .groupBy(F.col(partition).alias("name"))
         .agg(F.count("*").alias("_exact"))
     )
-    count = F.when(F.col("rowcount") >= TRUSTED_ROWCOUNT, F.col("rowcount")).otherwise(
-        F.coalesce("_exact", F.lit(0).cast("bigint"))
-    )
+    count = F.when(relied_on, F.col("rowcount")).otherwise(F.coalesce("_exact", F.lit(0).cast("bigint")))
     return catalog.join(exact, "name", "left").withColumn("rowcount", count).drop("_exact").where("rowcount > 0")

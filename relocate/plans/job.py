@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relocate.functions import paths
 from relocate.functions.paths import PARTITION_FIELD, stage_folder
 from relocate.operators import ledger, load, reconcile, stage
 from relocate.sources import listing, staged
 from relocate.specs import Layout, TableSpec
-from relocate.streaming.increments import HighWater, extract_increment, high_water
+from relocate.streaming.increments import HighWater, extract_increment, high_water, late_rows
 from relocate.streaming.load import stream_load
 
 
@@ -78,6 +79,24 @@ def import_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job
     return load.load_files(spark, landed, rows, job.target(spec.name), job.ledger(spark))
 
 
+def import_announced(
+    spark: SparkSession, announced: DataFrame, schema: T.StructType, spec: TableSpec, job: Job
+) -> DataFrame:
+    """Load the staged files of a table that storage events announced, as ``listing.landed_files`` names them.
+
+    A file that was announced and is not there fails. Returns the status per file.
+    """
+    folder = job.stage(spec.name)
+    own = announced.where(F.regexp_replace(paths.same_file("task_name"), "/+", "/").contains(_tail(folder)))
+    rows = staged.read_staged(spark, folder, schema, job.stage_format)
+    return load.load_files(spark, own, rows, job.target(spec.name), job.ledger(spark), listing.list_files(spark, folder))
+
+
+def _tail(folder: str) -> str:
+    """Job, database and table of a stage folder, as they stand in the names of its files."""
+    return "/" + "/".join(folder.rstrip("/").split("/")[-3:]) + "/"
+
+
 def import_stream(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job, checkpoint: str, **limits):
     """Load staged files as they arrive; see ``stream_load``."""
     source, target = job.stage(spec.name), job.target(spec.name)
@@ -114,33 +133,45 @@ def retry(
     unloaded = record.hold(ledger.unloaded_files(known, known))
     load.settle_open_loads(spark, unloaded, rows, job.target(spec.name), record)
     if partition is not None:
-        chosen = ledger.scan(record.current(), f"{folder}/{PARTITION_FIELD}={partition}")
+        chosen = ledger.folder_files(ledger.scan(record.current(), folder), partition)
     else:
         chosen = ledger.scan(record.current(), folder, None if force else ledger.LOADED)
     files = record.hold(chosen.select("task_name"))
+    if partition is not None and files.isEmpty():
+        raise ValueError(f"{spec.name} has no files of partition {partition!r}")
     record.append(files, ledger.RETRY)
-    return load.load_files(spark, files, rows, job.target(spec.name), record)
+    present = listing.list_files(spark, folder)
+    return load.load_files(spark, files, rows, job.target(spec.name), record, present)
 
 
-def sync_table(df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks: HighWater) -> DataFrame:
+def sync_table(
+    df: DataFrame, spec: TableSpec, insert_key: str, job: Job, marks: HighWater, high: str | None = None
+) -> DataFrame:
     """Stage and load the rows inserted since the last call, then move the high-water mark.
 
-    Stage folder and load are named after the mark that the increment starts from. A run
-    that is cut short leaves the mark, so the next one replaces its files and its rows.
+    ``high`` bounds the increment from above, as text like that of ``high_water``; a bound some time in the past
+    leaves rows out that may still get company. Rows that came later with the very key of the mark, or with none, are
+    taken when the target does not hold them yet. Rows with a key below the mark are not looked for.
+
+    Stage folder and load are named after the mark and the number of syncs so far. A run
+    that is cut short leaves both, so the next one replaces its files and its rows.
     Returns rows per partition of the increment.
     """
     spark, rows = df.sparkSession, spec.rows(df)
-    low, high = marks.last(df, insert_key, spec.name), high_water(rows, insert_key)
-    step = replace(job, name=f"{job.name}-{re.sub('[^0-9A-Za-z-]', '_', str(low))}")
-    increment = extract_increment(rows, insert_key, low, high)
-    if high is None or high == low:
+    low, high = marks.last(df, insert_key, spec.name), high or high_water(rows, insert_key)
+    steps = marks.steps(spec.name)
+    done = load.read_loaded(spark, job.target(spec.name), df.schema) if steps else df.limit(0)
+    increment = extract_increment(rows, insert_key, low, high).unionByName(late_rows(rows, done, insert_key, low))
+    if high == low and increment.isEmpty():
         return increment.groupBy(spec.partition_column().alias("partition")).agg(F.count("*").alias("row_count"))
+    mark = hashlib.sha256(f"{steps} {low}".encode()).hexdigest()[:16]
+    step = replace(job, name=f"{job.name}-{mark}")
     report = export_table(increment, spec, step)
     files = staged.read_staged(spark, step.stage(spec.name), df.schema, job.stage_format)
     load.append_once(files, job.target(spec.name), step.name)
     landed = listing.list_files(spark, step.stage(spec.name))
     job.ledger(spark).append(landed, ledger.LOADED)
-    marks.advance(spec.name, high)
+    marks.advance(spec.name, high if high is not None else low)
     return report
 
 

@@ -35,6 +35,14 @@ def extract_increment(df: DataFrame, key: str, low: str | None, high: str | None
     return df if low is None else df.where(F.col(key) > _as_key(F.lit(low), kind))
 
 
+def late_rows(df: DataFrame, done: DataFrame, key: str, low: str | None) -> DataFrame:
+    """Rows with the key ``low``, or with none, that ``done`` does not hold as often."""
+    chosen = F.col(key).isNull()
+    if low is not None:
+        chosen = chosen | (F.col(key) == _as_key(F.lit(low), df.schema[key].dataType))
+    return df.where(chosen).exceptAll(done.where(chosen).select(*df.columns))
+
+
 class HighWater:
     """High-water marks per table, added to a small Parquet folder after each increment."""
 
@@ -49,6 +57,10 @@ class HighWater:
         marks = read_or_empty(self.spark, self.folder, self.SCHEMA).where(F.col("table") == table)
         return marks.agg(_as_text(F.max(_as_key(F.col("mark"), kind)), kind)).first()[0]
 
-    def advance(self, table: str, mark: str) -> None:
-        row = self.spark.range(1).select(F.lit(table).alias("table"), F.lit(mark).alias("mark"))
+    def steps(self, table: str) -> int:
+        """How often the mark was set."""
+        return read_or_empty(self.spark, self.folder, self.SCHEMA).where(F.col("table") == table).count()
+
+    def advance(self, table: str, mark: str | None) -> None:
+        row = self.spark.range(1).select(F.lit(table).alias("table"), F.lit(mark).cast("string").alias("mark"))
         row.write.mode("append").parquet(self.folder)

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = dict(checks.QUERIES)
 
 # Queries whose plan is made of stored results; building them runs streams or whole jobs.
-LONG = {"load_append", "load_append_delimited", "retry_replay", "relocate_and_validate", "sync_increments", "stream_load", "stream_rerun_noop"}
+LONG = {"sync_ties_and_nulls", "load_announced_files", "load_append", "load_append_delimited", "retry_replay", "relocate_and_validate", "sync_increments", "stream_load", "stream_rerun_noop"}
 
 
 def plan(df):

@@ -93,11 +93,11 @@ def test_metric_types(spark):
         "row_count": "bigint",
         "big": "decimal(38,0)",
         "exact": "decimal(38,3)",
-        "twice": "decimal(38,2)",
+        "twice": "decimal(38,6)",
         "n": "decimal(38,0)",
     }
     row = result.first()
-    assert [str(row[c]) for c in ("big", "exact", "twice", "n")] == ["18446744073709551614", "2.010", "10.00", "6"]
+    assert [str(row[c]) for c in ("big", "exact", "twice", "n")] == ["18446744073709551614", "2.010", "10.000000", "6"]
 
 
 def test_summary_of_several_tables(spark):
@@ -111,8 +111,8 @@ def test_summary_of_several_tables(spark):
     assert named == {"t": (2, True), "u": (3, False), "gone": (0, False)}
     wrong = reconcile.mismatches(report)
     assert {(r["name"], r["status"], r["src_metrics"], r["tgt_metrics"]) for r in wrong.collect()} == {
-        ("b", "NOT MATCH", "2.00,4.00", "3.00,6.00"),
-        ("c", "EXTRA", None, "1.00,2.00"),
+        ("b", "NOT MATCH", "2.000000,4.000000", "3.000000,6.000000"),
+        ("c", "EXTRA", None, "1.000000,2.000000"),
     }
     with pytest.raises(ValueError):
         reconcile.reconcile_tables([])
@@ -133,3 +133,53 @@ def test_stores_of_other_formats(spark, tmp_path, kind):
     }
     named = Store(format=kind, options={"path": f"{tmp_path}/{kind}/t"}, table_option="note", database="db")
     assert named.read(spark, "t", rows.schema).count() == 4
+
+
+def verdict(spark, source, target, kinds="double"):
+    kinds = kinds if isinstance(kinds, tuple) else (kinds, kinds)
+    sides = [
+        spark.createDataFrame([("a", None if v is None else str(v)) for v in values], "p string, v string").withColumn("v", F.col("v").cast(kind))
+        for values, kind in zip((source, target), kinds)
+    ]
+    return statuses(reconcile.reconcile(*sides, SPEC, both_sides=True))["a"]
+
+
+@pytest.mark.parametrize(
+    "source, target, kinds, expected",
+    [
+        ([1.001], [1.004], "double", "NOT MATCH"),
+        ([1e-12, 1.0], [2e-12, 1.0], "double", "NOT MATCH"),
+        ([float("nan"), 1.0], [None, 1.0], "double", "NOT MATCH"),
+        ([float("nan"), 1.0], [1.0, float("nan")], "double", "MATCH"),
+        ([float("inf")], [float("-inf")], "double", "NOT MATCH"),
+        ([1e17, 1e300], [1e300, 1e17], "double", "MATCH"),
+        ([1e17], [1e17 + 16], "double", "NOT MATCH"),
+        ([0.0], [-0.0], "double", "MATCH"),
+        ([1.0, 3.0], [2.0, 2.0], "double", "NOT MATCH"),
+        ([1.5], [1.5], ("float", "double"), "MATCH"),
+        ([10], [10.4], ("int", "double"), "NOT MATCH"),
+        ([10], [10.0], ("int", "double"), "MATCH"),
+        (["1.00"], ["1.0049"], ("decimal(18,2)", "decimal(18,4)"), "NOT MATCH"),
+        (["1.10"], ["1.1000"], ("decimal(18,2)", "decimal(18,4)"), "MATCH"),
+        (["1.10"], [1.1], ("decimal(18,2)", "double"), "MATCH"),
+        ([2**62 + 1], [2**62], "bigint", "NOT MATCH"),
+        ([7], [7], ("bigint", "decimal(38,0)"), "MATCH"),
+    ],
+)
+def test_verdicts_see_every_digit(spark, source, target, kinds, expected):
+    assert verdict(spark, source, target, kinds) == expected
+
+
+def test_saved_metrics_can_carry_prints(spark):
+    source, target = table(spark, [("a", 1.0), ("a", 3.0)]), table(spark, [("a", 2.0), ("a", 2.0)])
+    plain, printed = (
+        statuses(reconcile.compare_metrics(*[metrics.partition_metrics(df, SPEC, prints) for df in (source, target)]))["a"]
+        for prints in (False, True)
+    )
+    assert (plain, printed) == ("MATCH", "NOT MATCH")
+
+
+def test_differing_types_are_named(spark):
+    target = table(spark, [("a", 1.0)])
+    assert reconcile.type_differences(target.withColumn("v", F.col("v").cast("int")), target, SPEC) == {"v": ("int", "double")}
+    assert reconcile.type_differences(target, target, SPEC) == {}
