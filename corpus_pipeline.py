@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from relocate.llm import minhash, packing, pii, quality, substring
 from relocate.llm.queries import PII_KEY, TOKENIZER
@@ -13,7 +14,8 @@ from relocate.session import saved
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that fail them."""
-    judged = quality.judged(docs).filter("kept")
+    # the row number keeps the filter above the verdict, which would be worked out twice below it
+    judged = quality.judged(docs).withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0")
     return judged.select(*[judged.clean_text.alias("text") if c == "text" else judged[c] for c in docs.columns])
 
 

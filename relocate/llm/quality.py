@@ -6,6 +6,7 @@ the base rules on their whole text, are rejected.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,28 +62,38 @@ def line_passes(line: Column, rules: Rules) -> Column:
     return ~line.rlike(WORD) | (sentence & links & phrases)
 
 
-def _sorted_windows(windows: Column) -> Column:
-    """Hash and place of each window, in order of the hash, where two windows share one; else none."""
-    pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), pairs).otherwise(
-        F.array().cast("array<struct<h:bigint,i:int>>")
-    )
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for each row, wherever the optimizer puts the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeated_words(words: Column, width: int) -> Column:
+    """Words inside windows whose hash is found twice or more in the text."""
+
+    def windows(own: Column) -> Column:
+        last = F.size(own) - width
+        one = lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(width)])
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), one)).otherwise(F.array().cast("array<bigint>"))
 
+    def found_twice(pairs: Column) -> Column:
+        """Rising places of windows next to one of the same hash."""
 
-def _found_twice(pairs: Column) -> Column:
-    """Rising places of windows whose neighbour has the same hash. ``pairs`` is a stored column."""
+        def same(pair: Column, j: Column) -> Column:
+            before, after = F.get(pairs, j - 1)["h"], F.get(pairs, j + 1)["h"]
+            return F.coalesce(pair["h"] == before, F.lit(False)) | F.coalesce(pair["h"] == after, F.lit(False))
 
-    def same(pair: Column, j: Column) -> Column:
-        before, after = F.get(pairs, j - 1)["h"], F.get(pairs, j + 1)["h"]
-        return F.coalesce(pair["h"] == before, F.lit(False)) | F.coalesce(pair["h"] == after, F.lit(False))
+        return F.sort_array(F.transform(F.filter(pairs, same), lambda p: p["i"]))
 
-    return F.sort_array(F.transform(F.filter(pairs, same), lambda p: p["i"]))
+    def covered(places: Column) -> Column:
+        gaps = F.transform(places, lambda p, j: F.least(F.lit(width), F.coalesce(F.get(places, j + 1) - p, F.lit(width))))
+        return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, gap: total + gap)
 
+    def counted(hashes: Column) -> Column:
+        pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        some = _let(pairs, lambda p: _let(found_twice(p), covered))
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), some).otherwise(F.lit(0).cast("long"))
 
-def _covered(places: Column, width: int) -> Column:
-    """Words that windows at these rising places cover. ``places`` is a stored column."""
-    gaps = F.transform(places, lambda p, j: F.least(F.lit(width), F.coalesce(F.get(places, j + 1) - p, F.lit(width))))
-    return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, gap: total + gap)
+    return _let(words, lambda own: _let(windows(own), counted))
 
 
 def judged(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") -> DataFrame:
@@ -101,22 +112,13 @@ def judged(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") -> D
         _characters(text, SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_q_full") - F.size(F.array_distinct("_q_full"))).cast("long").alias("n_dup_lines"),
     )
-    at = lambda k: F.get(F.col("_q_words"), k)
-    last = F.size("_q_words") - rules.window
-    windows = F.when(
-        last >= 0,
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[at(i + k) for k in range(rules.window)])),
-    ).otherwise(F.array().cast("array<bigint>"))
     steps = (
         out.withColumn("_q_words", F.regexp_extract_all(text, F.lit(WORD), 0))
         .withColumn("_q_lines", F.split(text, "\n"))
         .withColumn("_q_full", F.filter("_q_lines", lambda line: line.rlike(WORD)))
-        .withColumn("_q_windows", windows)
         .withColumn("_q_counts", counts)
         .withColumn("_q_left", F.array_join(F.filter("_q_lines", lambda line: line_passes(line, rules)), "\n"))
-        .withColumn("_q_pairs", _sorted_windows(F.col("_q_windows")))
-        .withColumn("_q_places", _found_twice(F.col("_q_pairs")))
-        .withColumn("n_repeat_words", _covered(F.col("_q_places"), rules.window))
+        .withColumn("n_repeat_words", _repeated_words(F.col("_q_words"), rules.window))
         .select("*", "_q_counts.*")
     )
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeated * F.col("n_words"))
@@ -126,5 +128,5 @@ def judged(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") -> D
         steps.withColumn("base_failed", failed)
         .withColumn("kept", ~failed & enough & (left > 0))
         .withColumn("clean_text", F.when(docs[text_col].isNotNull(), F.col("_q_left")))
-        .drop(*[f"_q_{name}" for name in ("words", "lines", "full", "windows", "pairs", "places", "counts", "left")])
+        .drop(*[f"_q_{name}" for name in ("words", "lines", "full", "counts", "left")])
     )

@@ -105,12 +105,13 @@ def judged(
     exact = saved(named.filter("url IS NOT NULL").distinct(), "listed-urls")
     blocks = max(1, math.ceil(exact.count() * bits / (64 * WORDS)))
     table = saved(bloom_filter(exact, blocks), "url-filter")
+    table = table.select(*[F.col(c).alias(f"_u_{c}") for c in table.columns])
     if blocks <= BROADCAST_BLOCKS:
         table = F.broadcast(table)
 
     ordered = sorted(rules, key=lambda r: (-len(r.text), -len(r.host), r.text))
     url = pages[url_col]
-    out = pages.drop("host", "path", "rule", "verdict", "_u_url", "_u_block", "_u_maybe")
+    out = pages.drop("host", "path", "rule", "verdict", "_u_url", "_u_own", "_u_maybe", "_u_listed")
     out = out.withColumns({"host": host_of(url), "path": path_of(url), "_u_url": canonical(url)})
     host, path = F.col("host"), F.col("path")
     pick = lambda value: F.coalesce(F.lit(None), *[F.when(r.fits(host, path), F.lit(value(r))) for r in ordered])
@@ -120,16 +121,16 @@ def judged(
     own = F.col("_u_url")
     passes = F.lit(True)
     for k in range(WORDS):
-        passes = passes & (F.col(f"w{k}").bitwiseAND(_bit(own, k)) != 0)
+        passes = passes & (F.col(f"_u_w{k}").bitwiseAND(_bit(own, k)) != 0)
     settled = out.filter(key.isNull())
-    open_rows = out.filter(key.isNotNull()).withColumn("_u_block", _block(own, blocks))
-    probed = open_rows.join(table, F.col("_u_block") == table["block"], "left")
+    open_rows = out.filter(key.isNotNull()).withColumn("_u_own", _block(own, blocks))
+    probed = open_rows.join(table, F.col("_u_own") == F.col("_u_block"), "left")
     probed = probed.withColumn("_u_maybe", F.coalesce(passes, F.lit(False)))
     probed = saved(probed.select(*out.columns, "_u_maybe"), "url-probed")
 
     absent = probed.filter("NOT _u_maybe").withColumn("verdict", F.lit("allow"))
-    found = F.when(F.col("url_listed").isNotNull(), "block").otherwise("allow")
-    present = probed.filter("_u_maybe").join(exact.withColumnRenamed("url", "url_listed"), F.col("_u_url") == F.col("url_listed"), "left")
+    found = F.when(F.col("_u_listed").isNotNull(), "block").otherwise("allow")
+    present = probed.filter("_u_maybe").join(exact.withColumnRenamed("url", "_u_listed"), F.col("_u_url") == F.col("_u_listed"), "left")
     parts = [
         settled.withColumn("verdict", F.coalesce("verdict", F.lit("allow"))),
         absent,
