@@ -131,6 +131,22 @@ def assign_range_partition_date(spark, folder):
     return assigned.groupBy(F.col("pt").alias("name")).agg(F.count("*").alias("row_count"))
 
 
+@query(
+    "assign_range_uneven",
+    f"""
+SELECT CASE WHEN l_shipdate < TIMESTAMP '1999-01-01' THEN {fx.SQL_MONTH.format('l_shipdate')} ELSE 'pmax' END AS name,
+       count(*) AS row_count
+FROM lineitem GROUP BY 1""",
+)
+def assign_range_uneven(spark, folder):
+    """Months of lineitem, and one range that holds all later dates up to the year 9999."""
+    months = fx.lineitem_catalog(spark, folder).where(Selector.parse("ENDWITH(p199901)").keeps("name"))
+    last = spark.sql("SELECT 'pmax' AS name, TIMESTAMP_NTZ'1999-01-01' AS start, TIMESTAMP_NTZ'9999-01-01' AS end")
+    ranges = saved(months.select("name", "start", "end").unionByName(last), "catalog")
+    assigned = assign.assign_ranges(fx.table(spark, folder, "lineitem"), "l_shipdate", ranges)
+    return assigned.groupBy(F.col("pt").alias("name")).agg(F.count("*").alias("row_count"))
+
+
 @query(
     "assign_list_partition",
     """

@@ -48,8 +48,11 @@ def same_file(path: Column | str) -> Column:
 
 
 def folder_value(path: Column | str) -> Column:
-    """Partition that a staged file's folder is named after."""
-    return decoded(F.regexp_extract(path, f"/{PARTITION_FIELD}=([^/]*)/[^/]*$", 1))
+    """Partition that a staged file's folder is named after.
+
+    The writer escapes some characters in folder names, and a path is encoded as a whole after that.
+    """
+    return decoded(decoded(F.regexp_extract(path, f"/{PARTITION_FIELD}=([^/]*)/[^/]*$", 1)))
 
 
 def task_fields(path: Column | str) -> list[Column]:

@@ -14,46 +14,65 @@ BROADCAST_ROWS = 100_000
 
 
 def _position(value: Column, kind: T.DataType) -> Column:
-    """A bound or key as a whole number: itself, or days since 1970 for dates and times."""
+    """A bound or key as a whole number in the same order: itself, days, or seconds since 1970."""
     if isinstance(kind, T.IntegralType):
         return value.cast("bigint")
-    if isinstance(kind, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-        return F.unix_date(F.to_date(value)).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(value)
+    if isinstance(kind, T.TimestampNTZType):
+        # from its fields, as no session zone has a part in it
+        clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+        return F.unix_date(F.to_date(value)).cast("bigint") * 86400 + clock
     raise TypeError(f"range partitions need an integer, date or time key, not {kind.simpleString()}")
 
 
+def listed_ranges(bounds: DataFrame, kind: T.DataType) -> DataFrame:
+    """Ranges ``_name, _start, _end`` under the buckets they touch: ``_level`` and ``_bucket``.
+
+    The buckets of a level are ``2 ** level`` wide. A range is listed in the level whose buckets are as wide as itself
+    or up to twice as wide, so it touches at most three, and a bucket holds few ranges, however uneven they are.
+    """
+    low, high = _position(F.col("_start"), kind), _position(F.col("_end"), kind)
+    span = F.try_subtract(high, low)
+    level = F.when(span <= 1, 0).otherwise(F.coalesce(F.ceil(F.log2(span)), F.lit(63))).cast("int")
+    levelled = bounds.withColumns({"_level": level, "_low": low, "_high": high})
+    touched = F.expr("sequence(shiftright(_low, _level), shiftright(_high, _level))")
+    return levelled.withColumn("_bucket", F.explode(touched)).select("_name", "_start", "_end", "_level", "_bucket")
+
+
 def assign_ranges(df: DataFrame, key: str, catalog: DataFrame, name: str = "pt") -> DataFrame:
     """Add the name of the range partition ``start <= key < end`` that holds each row.
 
-    Ranges must not overlap. Every range is listed under the equal-width buckets it
-    touches, so the match is an equality join on the bucket with the bounds as further
-    condition; no row is compared with the whole catalog. The width is the covered span
-    divided by the number of ranges, which keeps the listing within three times the
-    catalog. Rows outside every range, or without a key, are named ``unassigned``.
+    Ranges must not overlap. Every range is listed under buckets of about its own width, so
+    the match is one equality join for each width that occurs, with the bounds as further
+    condition; no row is compared with more than a few ranges. Widths are powers of two:
+    catalogs of even ranges have one or two, and none has more than 64. Rows outside every
+    range, or without a key, are named ``unassigned``.
     """
     kind = df.schema[key].dataType
     bounds = catalog.select(
         F.col("name").alias("_name"), F.col("start").cast(kind).alias("_start"), F.col("end").cast(kind).alias("_end")
     )
-    low, high = _position(F.col("_start"), kind), _position(F.col("_end"), kind)
-    ranges, first, last = bounds.agg(F.count("*"), F.min(low), F.max(high)).first()
-    if not ranges:
-        return df.withColumn(name, F.lit(UNASSIGNED))
-    width = max(1, -(-(last - first) // ranges))
-
-    def bucket(position: Column) -> Column:
-        return F.call_function("div", position, F.lit(width).cast("bigint"))
-
-    listed = bounds.withColumn("_bucket", F.explode(F.sequence(bucket(low), bucket(high))))
-    listed = broadcast_below(listed, 3 * ranges, BROADCAST_ROWS)
-    matches = (
-        (bucket(_position(F.col(key), kind)) == F.col("_bucket"))
-        & (F.col(key) >= F.col("_start"))
-        & (F.col(key) < F.col("_end"))
-    )
-    return df.join(listed, matches, "left").select(
-        *[F.col(column) for column in df.columns], F.coalesce("_name", F.lit(UNASSIGNED)).alias(name)
-    )
+    listed = listed_ranges(bounds, kind)
+    sizes = sorted(tuple(row) for row in listed.groupBy("_level").agg(F.count("*")).collect())
+    found, out = [], df
+    for level, entries in sizes:
+        own = listed.where(F.col("_level") == level).select(
+            F.col("_name").alias(f"_name_{level}"),
+            F.col("_start").alias(f"_start_{level}"),
+            F.col("_end").alias(f"_end_{level}"),
+            F.col("_bucket").alias(f"_bucket_{level}"),
+        )
+        matches = (
+            (F.shiftright(_position(F.col(key), kind), level) == F.col(f"_bucket_{level}"))
+            & (F.col(key) >= F.col(f"_start_{level}"))
+            & (F.col(key) < F.col(f"_end_{level}"))
+        )
+        out = out.join(broadcast_below(own, entries, BROADCAST_ROWS), matches, "left")
+        found.append(F.col(f"_name_{level}"))
+    return out.select(*[F.col(column) for column in df.columns], F.coalesce(*found, F.lit(UNASSIGNED)).alias(name))
 
 
 def assign_lists(df: DataFrame, key: str, catalog: DataFrame, name: str = "pt") -> DataFrame:

@@ -63,6 +63,18 @@ def test_times_within_a_day(spark, strategy):
     check(spark, keys, "timestamp_ntz", ranges, strategy)
 
 
+def test_far_end_and_hourly_ranges_meet_few_rows(spark, strategy):
+    start = dt.datetime(2020, 1, 1)
+    cuts = [start + dt.timedelta(hours=h) for h in range(400)] + [dt.datetime(9999, 1, 1)]
+    ranges = [(f"p{i}", low, high) for i, (low, high) in enumerate(zip(cuts, cuts[1:]))]
+    keys = [start + dt.timedelta(minutes=17 * m) for m in range(-10, 1500)] + [dt.datetime(5000, 1, 1), None]
+    check(spark, keys, "timestamp_ntz", ranges, strategy)
+    bounds = spark.createDataFrame(ranges, "_name string, _start timestamp_ntz, _end timestamp_ntz")
+    listed = assign.listed_ranges(bounds, bounds.schema["_start"].dataType)
+    assert listed.count() <= 3 * len(ranges)
+    assert max(row["count"] for row in listed.groupBy("_level", "_bucket").count().collect()) <= 3
+
+
 def test_empty_catalog_assigns_nothing(spark):
     rows = spark.range(3)
     listed = spark.createDataFrame([], "name string, start bigint, end bigint")

@@ -293,3 +293,56 @@ def test_upsert_rewrites_touched_partitions_only(spark, rows, tmp_path, monkeypa
     untouched = {p: t for p, t in before.items() if not any(f"pt=p{i}/" in p for i in (1, 2))}
     assert untouched.items() <= after.items()
     load.upsert_table(spark, out, stage.staged_rows(increment.limit(0), SPEC), ["id"])
+
+
+def test_announced_file_that_is_missing_fails(spark, rows, job):
+    plan.export_table(rows, SPEC, job)
+    names = job.ledger(spark).current().select("task_name")
+    gone = names.limit(1).select(F.concat("task_name", F.lit(".gone.parquet")).alias("task_name"))
+    foreign = names.unionByName(gone).select(F.regexp_replace("task_name", "^file:", "s3:").alias("task_name"))
+    status = {r["task_name"][-13:]: r["status"] for r in plan.import_announced(spark, foreign, rows.schema, SPEC, job).collect()}
+    assert status.pop(".gone.parquet") == "IMPORTED FAILED" and set(status.values()) == {"IMPORTED SUCCESSFULLY"}
+    assert plan.loaded_table(spark, rows.schema, SPEC, job).count() == rows.count()
+
+
+def test_retry_finds_names_that_are_encoded(spark, job):
+    rows = spark.createDataFrame([(i, f"{i % 2} - NOT %SPECIFIED") for i in range(10)], "id int, p string")
+    spec = TableSpec("odd", partition="p", unique_key=("id",))
+    plan.export_table(rows, spec, job)
+    plan.import_table(spark, rows.schema, spec, job)
+    assert plan.retry(spark, rows.schema, spec, job, partition="1 - NOT %SPECIFIED").count() >= 1
+    with pytest.raises(ValueError):
+        plan.retry(spark, rows.schema, spec, job, partition="2 - NOT %SPECIFIED")
+
+
+def test_ledger_order_is_free_of_the_zone(spark, rows, job):
+    plan.export_table(rows, SPEC, job)
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+    try:
+        plan.import_table(spark, rows.schema, SPEC, job)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    plan.import_table(spark, rows.schema, SPEC, job)
+    assert plan.loaded_table(spark, rows.schema, SPEC, job).count() == rows.count()
+    assert {r["status"] for r in job.ledger(spark).current().collect()} == {"IMPORTED SUCCESSFULLY"}
+
+
+def test_many_open_loads_run_in_one_job(spark, rows, job):
+    plan.export_table(rows, SPEC, job)
+    record = job.ledger(spark)
+    files = record.hold(record.current().select("task_name"))
+    record.append(files, ledger.FAILED, load_id=F.concat(F.lit("load-"), F.xxhash64("task_name").cast("string")))
+    plan.import_table(spark, rows.schema, SPEC, job)
+    assert plan.loaded_table(spark, rows.schema, SPEC, job).count() == rows.count()
+    assert {r["status"] for r in record.current().collect()} == {"IMPORTED SUCCESSFULLY"}
+
+
+def test_reserved_names_are_refused(spark, job):
+    with pytest.raises(ValueError, match="pt"):
+        plan.export_table(spark.createDataFrame([(1, "a")], "id int, pt string"), TableSpec("t", partition="id"), job)
+
+
+def test_equal_versions_give_the_same_row_each_time(spark):
+    rows = spark.createDataFrame([(1, 5, f"v{i}") for i in range(50)], "k int, version int, v string")
+    first = {r["v"] for n in (1, 3, 7) for r in load.latest_per_key(rows.repartition(n, "v"), ["k"], ["version"]).collect()}
+    assert len(first) == 1
