@@ -128,9 +128,10 @@ def test_quality_of_odd_rows(spark):
 
 def test_lines_that_fail_go(spark):
     good = "This is a sentence that says something worth keeping for later."
-    text = f"Home | News | About\n{good}\nAll rights reserved.\nno end here\n{good[:-1]} once more!\n### $$$ %%% now."
+    other = "Another statement follows, quite unlike the first one, and ends with a mark!"
+    text = f"Home | News | About\n{good}\nAll rights reserved.\nno end here\n{other}\n### $$$ %%% now."
     row = quality.judged(brute.documents(spark, [(1, text)])).first()
-    assert row.kept and row.clean_text == f"{good}\n{good[:-1]} once more!"
+    assert row.kept and row.clean_text == f"{good}\n{other}"
 
 
 def check_groups(rows, got, size):
