@@ -28,7 +28,7 @@ from relocate.llm import shipped, words
 
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 64
-WORDS_KEPT, PIECES_KEPT = 500_000, 500_000
+WORDS_KEPT, PIECES_KEPT = 200_000, 300_000
 #: So many letters on both sides of a place show that no special token or contraction lies across it.
 CLEAR = 16
 
@@ -253,6 +253,7 @@ def encoded(
                 ids, borders, *_ = coder.encode_many(batch.column(1).slice(at, to - at))
                 found = [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(at, to - at)} | answers(coder, found))
+        pa.default_memory_pool().release_unused()
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)

@@ -160,6 +160,7 @@ def packed(
                         yield out
         if waiting is not None:
             yield drained(waiting, last=True)[0]
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
