@@ -2,7 +2,8 @@
 
 Two codebooks, one for each half of the vectors, make a grid of cells. A vector is posted in the cell of its two nearest
 codewords. As a query it visits cells in the order of how close they can be to it, by multi-sequence traversal of its
-two sorted lists, and stops where the target recall is reached. What it meets there is verified by exact cosine.
+two sorted lists, and stops where no link can lie that is not also met from its other side. What it meets there is
+verified by exact cosine.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ class Index:
             gaps = np.sqrt(((book[:, None, :] - book[None, :, :]) ** 2).sum(2))
             # distance to the plane half-way between the own codeword and the other
             apart = np.maximum(gaps[nearest], 1e-12)
-            low.append(np.where(gaps[nearest] > 1e-12, (far - far.min(axis=1)[:, None]) / (2 * apart), 0).clip(0))
+            # less than what rounding can add, which close codewords would make large
+            low.append(np.where(gaps[nearest] > 1e-12, (far - far.min(axis=1)[:, None] - 1e-12) / (2 * apart), 0).clip(0))
             own.append(nearest)
         return low, own[0] * self.width + own[1]
 
@@ -93,29 +95,17 @@ def _codebook(points: np.ndarray, size: int, random: np.random.Generator) -> np.
 
 
 def fitted(sample: np.ndarray, labels: np.ndarray, codewords: int, cosine: float, recall: float, seed: int = 1) -> Index:
-    """Codebooks and reach from a sample of unit vectors.
+    """Codebooks from a sample of unit vectors, and a reach that finds every link, so any ``recall`` is met.
 
-    A pair as alike as ``cosine`` is at most ``sqrt(2 - 2 * cosine)`` apart, so a traversal up to there finds all. The
-    pairs in the sample tell how much of that is needed for ``recall``; with fewer than 100 pairs all of it is used.
+    Vectors as alike as ``cosine`` are at most ``r = sqrt(2 - 2 * cosine)`` apart. The plane between their codewords in
+    a half lies between them, so what the two sides need to reach each other's cell adds up to their distance there at
+    most. Over both halves the squares of the two ways add up to ``r ** 2`` at most, and one way is within
+    ``r / sqrt(2)``. Nothing is read off the pairs of the sample (``labels``): large groups have nearly all of them.
     """
     random = np.random.Generator(np.random.PCG64(seed))
     middle = sample.shape[1] // 2
     halves = tuple(_codebook(part, codewords, random) for part in (sample[:, :middle], sample[:, middle:]))
-    index = Index(halves, math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9)
-    needed = []
-    for label in np.unique(labels):
-        own = sample[labels == label]
-        (first, second), cells = index.bounds(own)
-        for at in range(0, len(own), 1024):
-            x, y = np.nonzero(own[at : at + 1024] @ own.T >= cosine)
-            x += at
-            x, y = x[x < y], y[x < y]
-            way = lambda q, m: first[q, cells[m] // index.width] ** 2 + second[q, cells[m] % index.width] ** 2
-            needed.append(np.minimum(way(x, y), way(y, x)))
-    needed = np.sqrt(np.concatenate(needed)) if needed else np.zeros(0)
-    if len(needed) >= 100:
-        index.reach = min(index.reach, float(np.quantile(needed, recall)) + 1e-9)
-    return index
+    return Index(halves, math.sqrt(max(0.0, 1 - cosine)) + 1e-6)
 
 
 def near_vectors(
@@ -130,7 +120,7 @@ def near_vectors(
     """``(id_col, n_links, component_id, kept)``: groups of vectors of equal labels with a cosine of ``cosine`` or more.
 
     The index is fitted on ``sample`` vectors, those with the least hashes of their ids; every vector is posted and is
-    a query. ``n_links`` counts the other ids linked directly, ``component_id`` is the smallest id reachable. Vectors
+    a query. Every link is found, whatever ``recall`` asks for. ``n_links`` counts the other ids linked directly, ``component_id`` is the smallest id reachable. Vectors
     that are null, empty, zero or hold a null or a number that is not finite, and those without label, are linked with
     nothing, as are vectors of different lengths. Equal vectors are compared once. Repeated rows get the same answer.
     Rows with a null id have a null component and are kept. An empty table gives no rows; other columns are ignored.

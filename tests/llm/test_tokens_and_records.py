@@ -287,6 +287,16 @@ def test_recall_of_the_index():
     assert np.mean([len(v) for v in visits]) < 0.5 * 144
 
 
+def test_links_of_small_groups_beside_a_large_one(spark):
+    draw = np.random.default_rng(6)
+    near = lambda v: v + draw.normal(size=v.shape) * 0.02
+    pairs = draw.normal(size=(300, 16))
+    points = np.concatenate([near(np.repeat(draw.normal(size=(1, 16)), 600, axis=0)), near(pairs), near(pairs)])
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(points)]
+    got = neighbours.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == vector_answer(rows, 0.98)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{brute.FOLDER}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
