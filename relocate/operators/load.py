@@ -124,8 +124,9 @@ def read_loaded(
     key: Sequence[str] = (),
     version: Sequence[str] = (),
     partitions: Selector | None = None,
+    without: str | None = None,
 ) -> DataFrame:
-    """Rows of a table that was filled by ``append_once``, or of some of its partitions.
+    """Rows of a table that was filled by ``append_once``, or of some of its partitions; those of load ``without`` not.
 
     With a key the table shows one row per key: the highest version, and of equal ones
     the row that was loaded last.
@@ -135,6 +136,8 @@ def read_loaded(
     rows = spark.read.schema(T.StructType([*schema.fields, *fields])).parquet(folder)
     if partitions is not None and partitions != Selector():
         rows = rows.where(partitions.keeps(PARTITION_FIELD) & (F.col(PARTITION_FIELD) != UNASSIGNED))
+    if without is not None:
+        rows = rows.where(F.col(LOAD_FIELD) != without)
     if key:
         rows = latest_per_key(rows, key, [*version, LOAD_TIME])
     return rows.select(*schema.names)

@@ -160,12 +160,13 @@ def sync_table(
     spark, rows = df.sparkSession, spec.rows(df)
     low, high = marks.last(df, insert_key, spec.name), high or high_water(rows, insert_key)
     steps = marks.steps(spec.name)
-    done = load.read_loaded(spark, job.target(spec.name), df.schema) if steps else df.limit(0)
+    mark = hashlib.sha256(f"{steps} {low}".encode()).hexdigest()[:16]
+    step = replace(job, name=f"{job.name}-{mark}")
+    # what a cut-short run of this very step loaded is replaced below
+    done = load.read_loaded(spark, job.target(spec.name), df.schema, without=step.name) if steps else df.limit(0)
     increment = extract_increment(rows, insert_key, low, high).unionByName(late_rows(rows, done, insert_key, low))
     if high == low and increment.isEmpty():
         return increment.groupBy(spec.partition_column().alias("partition")).agg(F.count("*").alias("row_count"))
-    mark = hashlib.sha256(f"{steps} {low}".encode()).hexdigest()[:16]
-    step = replace(job, name=f"{job.name}-{mark}")
     report = export_table(increment, spec, step)
     files = staged.read_staged(spark, step.stage(spec.name), df.schema, job.stage_format)
     load.append_once(files, job.target(spec.name), step.name)

@@ -249,6 +249,20 @@ def test_sync_takes_each_row_once(spark, job, tmp_path, monkeypatch):
     assert loaded(spark, table, job) == list(range(100))
 
 
+def test_late_rows_of_a_sync_that_was_cut_short_stay(spark, job, tmp_path, monkeypatch):
+    marks = increments.HighWater(spark, f"{tmp_path}/marks")
+    table = spark.range(100).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("k"), F.lit("a").alias("p"))
+    first, late = (F.col("k") < 1) | (F.col("k") == 1) & (F.col("id") < 50), (F.col("k") <= 1) | F.col("k").isNull()
+    plan.sync_table(table.where(first), SPEC, "k", job, marks)
+    with monkeypatch.context() as broken:
+        broken.setattr(increments.HighWater, "advance", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            plan.sync_table(table.where(late), SPEC, "k", job, marks)
+    plan.sync_table(table, SPEC, "k", job, marks)
+    assert plan.sync_table(table, SPEC, "k", job, marks).count() == 0
+    assert loaded(spark, table, job) == list(range(100))
+
+
 def brute_latest(rows):
     best = {}
     for key, version, value in rows:
