@@ -20,9 +20,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that resembles each other in four of five words in a row or more."""
-    groups = minhash.near_duplicates(docs, shingle=5, percent=80).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group that resembles each other in four of five words in a row or more.
+
+    Rows are grouped, not ids: of rows with equal ids, or without, one stays like of any others. It is that of the least
+    id. Documents without words stay.
+    """
+    row, own = "_row", docs.columns
+    # saved, so that a row has the same number whenever it is read
+    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    groups = minhash.near_duplicates(rows, shingle=5, percent=80, id_col=row).select(row, "component_id")
+    named = groups.join(rows.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row)).alias("first")
+    kept = named.groupBy("component_id").agg(first).select(F.col(f"first.{row}").alias(row))
+    return rows.join(kept, row, "left_semi").select(*own)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -317,6 +317,19 @@ def test_pipeline_stages_take_odd_rows(spark):
         got.collect()
 
 
+def test_one_row_of_each_group_of_copies_stays_whole(spark):
+    texts = {c: " ".join(f"{c}{i}" for i in range(80)) for c in "abcd"}
+    rows = [(7, texts["a"]), (7, texts["a"]), (None, texts["b"]), (None, texts["b"]), (9, texts["c"]), (None, texts["c"]), (4, texts["c"])]
+    rows += [(3, texts["d"]), (3, "another text of the same id"), (5, None), (5, ""), (5, None)]
+    docs = brute.documents(spark, rows).repartition(4)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near_duplicates"](spark, docs, brute.FOLDER)
+    got = stages["repeated_passages"](spark, kept, brute.FOLDER)
+    assert got.columns == docs.columns
+    want = [(7, texts["a"]), (None, texts["b"]), (4, texts["c"]), *rows[7:]]
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter(want)
+
+
 def test_arrow_slices_of_strings():
     from relocate.llm import words
 
