@@ -21,7 +21,7 @@ from relocate.llm.blocks import saved_blocks, unpacked
 from relocate.session import saved
 
 BROADCAST_BYTES = 32 << 20
-#: From this draw on, replacements grow longer, so that short formats cannot run out.
+#: From this draw on, replacements grow longer, so that short formats cannot run out. Keys and IBANs have 10**12 or more.
 LOOSE = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -167,19 +167,21 @@ def _luhn(digits: str) -> int:
 def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
     """The ``turn``-th replacement of an entity; of the same type, script, gender and format."""
     draw = _Draws(key, kind, entity, turn)
-    longer = "".join(draw.of("abcdefghijklmnopqrstuvwxyz") for _ in range(max(0, turn - LOOSE + 1)))
+    extra = max(0, turn - LOOSE + 1)
+    longer = "".join(draw.of("abcdefghijklmnopqrstuvwxyz") for _ in range(extra))
+    digits = "".join(draw.of("0123456789") for _ in range(extra))
     if kind == "email":
         local, _, domain = entity.partition("@")
         labels = domain.split(".")
         new = _like(".".join(labels[:-1]), _Draws(key, "domain", domain))
         return f"{_like(local, draw)}{longer}@{new}.{labels[-1]}"
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        return ".".join(str(1 + draw.below(254)) for _ in range(4 + extra))
     if kind == "phone":
         code, space, rest = entity.rpartition(" ")
-        return code + space + _like(rest, draw)
+        return code + space + _like(rest, draw) + digits
     if kind == "card":
-        body = entity[0] + _like(entity[1:], draw)
+        body = entity[0] + _like(entity[1:], draw) + digits
         if _luhn(entity) == 0:
             body = next(body[:-1] + d for d in "0123456789" if _luhn(body[:-1] + d) == 0)
         return body
@@ -196,7 +198,7 @@ def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
     if kind.startswith("family"):
         return _name(draw, kind.rpartition("-")[2], 3 + max(0, turn - LOOSE))
     letters = "abcdef" if re.fullmatch(r"[0-9a-f]+", entity) else "abcdefghijklmnopqrstuvwxyz"
-    return _like(entity, draw, letters) + (longer if kind == "secret" else "")
+    return _like(entity, draw, letters) + {"secret": longer, "ssn": digits}.get(kind, "")
 
 
 def _name(draw: _Draws, script: str, syllables: int) -> str:
@@ -204,11 +206,11 @@ def _name(draw: _Draws, script: str, syllables: int) -> str:
 
 
 def written(mention: Mention, replacement: str) -> str:
-    """The replacement in the spelling of the mention."""
+    """The replacement in the spelling of the mention; what it has more goes to the end."""
     text = mention.text
     if mention.kind in ("phone", "card", "ssn", "iban"):
         sources = iter(replacement.replace("+", "").replace(" ", ""))
-        return "".join(next(sources) if c.isalnum() else c for c in text)
+        return "".join(next(sources) if c.isalnum() else c for c in text) + "".join(sources)
     if "-" in mention.kind:
         return replacement.upper() if text.isupper() and len(text) > 1 else replacement.capitalize() if text[0].isupper() else replacement
     return replacement.upper() if mention.kind == "email" and text.isupper() else replacement

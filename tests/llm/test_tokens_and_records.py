@@ -157,6 +157,23 @@ def test_replacements_are_distinct(spark, monkeypatch):
     assert len(set(new)) == len(kinds) and not set(new) & {(k.split("-")[0], e) for k, e in kinds}
 
 
+def test_short_phones_do_not_run_out(spark):
+    rows = [(i, f"call +100{i} now") for i in range(10)] + [(10 + i, f"+123{i}") for i in range(1, 6)]
+    got = {r.doc_id: r.text for r in pii.with_surrogates(brute.documents(spark, rows), b"k").collect()}
+    found = {i: [m.entity for m in pii.mentions(t)] for i, t in got.items()}
+    assert len(got) == 15 and len({e for (e,) in found.values()}) == 15
+    assert not {e for (e,) in found.values()} & {m.entity for _, t in rows for m in pii.mentions(t)}
+    assert all(got[i].startswith("call +100") and got[i].endswith(" now") for i in range(10))
+
+
+@pytest.mark.parametrize("kind, entity", [("phone", "+100 0"), ("phone", "6085553598"), ("card", "4012888888881881"), ("ssn", "123456789"), ("ip", "1.2.3.4")])
+def test_late_draws_grow(kind, entity):
+    sizes = [len(pii._digits(pii.surrogate(b"k", kind, entity, pii.LOOSE + turn))) for turn in (-1, 20)]
+    assert sizes[1] >= sizes[0] + 10
+    new = pii.surrogate(b"k", kind, entity, pii.LOOSE + 3)
+    assert pii._digits(pii.written(pii.Mention(0, 0, kind, entity, entity), new)) == pii._digits(new)
+
+
 def test_surrogates_of_odd_rows(spark):
     rows = [*brute.TEXTS, (20, PRIVATE), (21, "x " * 30_000 + PRIVATE), (20, PRIVATE)]
     docs = brute.documents(spark, rows)
