@@ -61,7 +61,8 @@ _PERSON = re.compile(
     rf"\b(?P<title>{'|'.join(_TITLES)})\.? (?P<first>(?=[A-ZÀ-ÞА-Я]){_NAME})(?: (?P<last>(?=[A-ZÀ-ÞА-Я]){_NAME}))?"
     rf"|\b(?P<given>{'|'.join(n for names in _GIVEN.values() for n in names)}) (?P<family>(?=[A-ZÀ-ÞА-Я]){_NAME})"
 )
-_SIGNS = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api.?key)[ ]?[=:]")
+#: One of these is in every text that the pattern matches.
+_SIGNS = re.compile(r"[\d@]|AKIA|(?:sk|ghp)[-_]|[a-f]{32}|(?i:password|passwd|pwd|secret|token|api.?key)[ ]?[=:]")
 
 
 @dataclass(frozen=True)

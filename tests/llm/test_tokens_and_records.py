@@ -174,6 +174,13 @@ def test_late_draws_grow(kind, entity):
     assert pii._digits(pii.written(pii.Mention(0, 0, kind, entity, entity), new)) == pii._digits(new)
 
 
+@pytest.mark.parametrize("text", ["sk-" + "aB" * 12, "ghp_" + "x" * 20, "AKIA" + "Q" * 16, "abcdef" * 6, "１２３-４５-６７８９", "+٩٦٦ ٥٥ ١٢٣ ٤٥٦٧"])
+def test_data_without_ascii_digits_is_found(text):
+    (alone,), (beside, *_) = pii.mentions(text), pii.mentions(f"{text} 7")
+    assert alone == beside and alone.text == text
+    assert pii._replaced(text, [alone], b"k", {}) != text
+
+
 def test_surrogates_of_odd_rows(spark):
     rows = [*brute.TEXTS, (20, PRIVATE), (21, "x " * 30_000 + PRIVATE), (20, PRIVATE)]
     docs = brute.documents(spark, rows)
