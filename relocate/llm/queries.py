@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import bpe, hmm, minhash, neighbours, packing, pii, quality, query, substring, table, urls, warc
+from relocate.llm import (
+    align,
+    bpe,
+    curriculum,
+    hmm,
+    minhash,
+    neighbours,
+    packing,
+    periods,
+    pii,
+    quality,
+    query,
+    shipped,
+    substring,
+    table,
+    urls,
+    warc,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER, PIECE_TOKENIZER = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 PHRASES = "|".join(quality.Rules().boilerplate)
 
@@ -159,6 +181,99 @@ def vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, folder, "embeddings"), cosine=0.98)
 
 
+def going_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids and texts; one text in ten, by its id, repeats a part of itself from some word on."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        for i, number in enumerate(batch.column(0).to_pylist()):
+            drawn = zlib.crc32(b"" if number is None else str(number).encode())
+            own = (texts[i] or "").encode().split() if drawn % 10 == 0 else []
+            if own:
+                first = drawn // 10 % len(own)
+                period = 1 + (len(own) - first) // (3 + drawn // 10 % 8)
+                again = own[first : first + period] * (1 + (len(own) - first) // period)
+                texts[i] = b" ".join(own[:first] + again[: len(own) - first]).decode()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(shipped(spark), folder, "documents").select(F.col("doc_id").cast("long"), "text")
+    found = periods.collapsed(docs.mapInArrow(going_round, "doc_id long, text string"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
+MIX_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, CASE WHEN source IS NULL THEN 'b' ELSE 'a' || source END AS source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')) AS key
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source) - 1 AS rank,
+        [3, 1, 2][1 + (row_number() OVER (ORDER BY source) - 1) % 3] AS weight
+    FROM docs GROUP BY source
+), levels AS (
+    SELECT *, row_number() OVER by_ratio AS place, sum(2 * source_size) OVER by_ratio AS held,
+        sum(weight) OVER () - sum(weight) OVER by_ratio AS free, sum(source_size) OVER () AS whole
+    FROM sources
+    WINDOW by_ratio AS (ORDER BY source_size::DOUBLE / weight, source ROWS UNBOUNDED PRECEDING)
+), stopped AS (
+    -- a source stops when it does so at the level that those before it leave
+    SELECT coalesce(max(place), 0) AS places FROM levels
+    WHERE 2 * source_size * 100 * (free + weight) <= weight * (150 * whole - 100 * (held - 2 * source_size))
+), shared AS (
+    SELECT 150 * any_value(whole) - 100 * coalesce(sum(2 * source_size) FILTER (place <= places), 0) AS rest,
+        100 * greatest(1, coalesce(sum(weight) FILTER (place > places), 0)) AS among
+    FROM levels, stopped
+), aims AS (
+    SELECT source, source_size, rank, CASE WHEN place <= places THEN (2 * source_size)::DOUBLE
+        ELSE weight::DOUBLE * rest::DOUBLE / among::DOUBLE END AS target
+    FROM levels, stopped, shared
+), placed AS (
+    SELECT doc_id, size, source_size, target, round(target)::BIGINT AS aim, rank,
+        sum(size) OVER (PARTITION BY source ORDER BY key, size, doc_id ROWS UNBOUNDED PRECEDING) - size AS begin
+    FROM docs JOIN aims USING (source)
+), takes AS (
+    SELECT *, greatest(least(size, aim - begin), 0)::BIGINT AS first, greatest(least(size, aim - begin - source_size), 0)::BIGINT AS second
+    FROM placed
+), shares AS (
+    SELECT *, CASE WHEN first > 0 THEN (begin::DOUBLE + first / 2.0::DOUBLE) / aim END AS share FROM takes
+)
+SELECT doc_id, size, source_size, target, first + second AS taken, round(CASE rank % 3
+    WHEN 0 THEN 2 * (1.5 * share) / (2 + sqrt(4 - 2 * (1.5 * share)))
+    WHEN 1 THEN share
+    WHEN 2 THEN CASE WHEN share < 0.25 THEN CASE WHEN share > 0 THEN 2 * share / sqrt(4 * share) ELSE 0 END
+        ELSE 0.5 + 2 * (share - 0.25) / (1 + sqrt(1 + 4 * (share - 0.25))) END END, 6) AS position
+FROM shares
+"""
+
+
+@query("op12_curriculum_mix", MIX_SQL)
+def curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = curriculum.mixed(table(spark, folder, "documents"), weights=(3, 1, 2), percent=150, most=2)
+    first = F.round(F.get("takes", F.lit(0))["position"], 6).alias("position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", first).orderBy("position", "doc_id")
+
+
+@query("op13_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = align.aligned(table(spark, folder, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
