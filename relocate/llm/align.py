@@ -2,7 +2,8 @@
 
 Both encode each whole text. Where a token of each ends at the same byte and the next token of each starts with a
 blank, the text is cut into windows: some ids of one tokenizer, some of the other, over the same bytes. The alignment
-of a window depends on its ids alone, so each different window is aligned once and remembered.
+of a window depends on its ids alone, so each different tuple of ids of a block is aligned once, and texts are put
+together from numbers of windows.
 
 Counts of linked id pairs are added up over the whole corpus by :mod:`relocate.llm.exchange` and handed back to each block.
 """
@@ -17,6 +18,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +27,11 @@ from relocate.llm import exchange, shipped, words
 from relocate.session import saved
 
 BLOCK_BYTES = 8 << 20
+BROADCAST_BYTES = 32 << 20
 #: Longer texts are encoded in parts of about so many characters, cut where neither tokenizer can merge across.
 PART_CHARS = 1 << 18
-WINDOWS_KEPT, WINDOW_KEPT_BYTES = 200_000, 512
 _CUT = re.compile("[A-Za-z0-9](?= [A-Za-z0-9])")
-_SPLIT = np.uint32(2**32 - 1)
+_MARK = 2**32 - 1
 
 #: Fixed value: the pattern by which byte-level tokenizers of this kind split a text before merging.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -128,39 +130,47 @@ def tokenizers(byte_path: str, piece_path: str) -> tuple[ByteTokens, PieceTokens
 
 
 class Aligner:
-    """Alignments of windows, remembered by their ids."""
+    """Cuts texts into windows and aligns windows."""
 
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = tokenizers(byte_path, piece_path)
-        self._known: dict[bytes, tuple[str, list[int]]] = {}
-
-    def window(self, ids: bytes) -> tuple[str, list[int]]:
-        """Groups of a window as text, and its links as numbers ``a << 32 | b``, of its ids, a mark between them."""
-        found = self._known.get(ids)
-        if found is None:
-            every = np.frombuffer(ids, np.uint32)
-            middle = int(np.flatnonzero(every == _SPLIT)[0])
-            found = self._aligned(every[:middle], every[middle + 1 :])
-            if len(ids) <= WINDOW_KEPT_BYTES:
-                if len(self._known) >= WINDOWS_KEPT:
-                    self._known.clear()
-                self._known[ids] = found
-        return found
-
-    def _aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[str, list[int]]:
+
+    def aligned(self, windows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Groups of each window as text, how many links it has, and all links as numbers ``a << 32 | b``.
+
+        All windows are laid out one behind the other, so that bytes at which tokens of both end are found for all at
+        once; no group reaches over the end of a window, as that is such a byte.
+        """
+        _, offsets, data = windows.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[windows.offset : windows.offset + len(windows) + 1] // 4
+        ids = np.frombuffer(data, np.uint32)[bounds[0] : bounds[-1]] if len(windows) else np.zeros(0, np.uint32)
+        mark = np.flatnonzero(ids == _MARK)
+        window = np.repeat(np.arange(len(windows)), np.diff(bounds))
+        first = np.arange(len(ids)) < mark[window]
+        second = np.arange(len(ids)) > mark[window]
+        a, b = ids[first], ids[second]
         ends_a, ends_b = np.cumsum(self.a.widths[a]), np.cumsum(self.b.widths[b])
-        if len(a) == 1 or len(b) == 1:
-            cuts_a, cuts_b = [len(a)], [len(b)]
-        else:
-            _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-            cuts_a, cuts_b = (at_a + 1).tolist(), (at_b + 1).tolist()
-        names_a, names_b, groups, links = a.tolist(), b.tolist(), [], []
-        i = j = 0
-        for to_a, to_b in zip(cuts_a, cuts_b):
-            groups.append(",".join(map(str, names_a[i:to_a])) + "|" + ",".join(map(str, names_b[j:to_b])))
-            links.append(names_a[to_a - 1] << 32 | names_b[to_b - 1])
-            i, j = to_a, to_b
-        return ";".join(groups), links
+        ending = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.int8)
+        ending[ends_a] = 1
+        ending[ends_b] += 2
+        shared = np.flatnonzero(ending == 3)
+        last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
+        links = a[last_a].astype(np.uint64) << np.uint64(32) | b[last_b].astype(np.uint64)
+        of_link = window[first][last_a]
+        # ids in the order in which they are written: those of A, then those of B, group by group
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        place_a = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[group_a]
+        place_b = np.arange(len(b)) + (last_a + 1)[group_b]
+        written, after = np.zeros(len(a) + len(b), np.uint32), np.zeros(len(a) + len(b), np.int8)
+        written[place_a], written[place_b] = a, b
+        after[place_a[last_a]] = 1
+        after[place_b[last_b]] = 2
+        ends = np.cumsum(np.diff(bounds) - 1)
+        after[ends - 1] = 3
+        spelt = pc.cast(pa.array(written), pa.string())
+        spelt = pc.binary_join_element_wise(spelt, pa.array([",", "|", ";", ""]).take(pa.array(after)), "")
+        rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), spelt)
+        return pc.binary_join(rows, ""), np.bincount(of_link, minlength=len(windows)).astype(np.uint32), links
 
     def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
         """Tokens of each text by both, windows of each text, the different windows, and which of them each one is."""
@@ -185,7 +195,7 @@ class Aligner:
         # ids of each window in a row: those of the one, a mark, those of the other
         sizes = sizes_a + sizes_b + 1
         begins = np.cumsum(sizes) - sizes
-        rows = np.full(int(sizes.sum()), _SPLIT, np.uint32)
+        rows = np.full(int(sizes.sum()), _MARK, np.uint32)
         rows[np.arange(len(a)) + np.repeat(begins - from_a, sizes_a)] = a
         rows[np.arange(len(b)) + np.repeat(begins + sizes_a + 1 - from_b, sizes_b)] = b
         offsets = np.append(begins, len(rows)).astype(np.int32) * 4
@@ -225,22 +235,21 @@ def _unmixed(x: np.ndarray) -> np.ndarray:
 
 def _block(number: int, ids: pa.Array, texts: pa.Array, aligner: Aligner) -> pa.RecordBatch:
     n_a, n_b, n_windows, different, places = aligner.windows(texts.to_pylist())
-    found = [aligner.window(w) for w in different.to_pylist()]
-    sizes = np.array([len(links) for _, links in found], np.uint32)
-    links = np.array([x for _, own in found for x in own], np.uint64)
-    weights = np.repeat(np.bincount(places, minlength=len(found)), sizes)
-    keys, counts = exchange.packed(words.mixed(links), weights)
+    groups, sizes, links = aligner.aligned(different)
+    weights = np.repeat(np.bincount(places, minlength=len(groups)), sizes)
+    distinct, pair = np.unique(words.mixed(links), return_inverse=True)
+    counts = np.bincount(pair, weights=weights, minlength=len(distinct)).astype(np.uint32)
     row = {
         "ids": pa.array([ids.to_pylist()], pa.list_(ids.type)),
         "n_a": pa.array([n_a]),
         "n_b": pa.array([n_b]),
         "n_windows": pa.array([n_windows]),
         "places": _squeezed(places.astype(np.uint32)),
-        "groups": _squeezed(np.frombuffer("\n".join(g for g, _ in found).encode(), np.uint8)),
+        "groups": _squeezed(np.frombuffer("\n".join(groups.to_pylist()).encode(), np.uint8)),
         "sizes": _squeezed(sizes),
-        "links": _squeezed(links),
-        "keys": keys,
-        "counts": counts,
+        "links": _squeezed(pair.astype(np.uint32)),
+        "keys": distinct.tobytes(),
+        "counts": counts.tobytes(),
     }
     columns = {k: v if isinstance(v, pa.Array) else pa.array([v], pa.binary()) for k, v in row.items()}
     return pa.RecordBatch.from_pydict({"block_id": pa.array([number], pa.int64())} | columns)
@@ -307,7 +316,9 @@ def aligned(
     each = totals.filter("block_id IS NULL").select(F.explode(F.arrays_zip("second", "most")).alias("x")).select("x.*")
     most = {row[0]: row[1] for row in each.groupBy("second").agg(F.max("most")).collect()}
     parts = exchange.gathered(totals.filter("block_id IS NOT NULL"), "totals")
-    joined = state.drop("keys", "counts").join(parts, "block_id", "left")
+    # a few bytes for each different pair of a block
+    parts = F.broadcast(parts) if 2 * 8 * size <= BROADCAST_BYTES else parts
+    joined = state.drop("counts").join(parts, "block_id", "left")
     counted = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
     return joined.mapInArrow(_finish(ranges, most), f"id {kind}, {counted}").withColumnRenamed("id", id_col)
 
@@ -325,17 +336,17 @@ def _finish(ranges: int, most: dict[int, int]):
 
 
 def _counted(row: dict, type_of_id: pa.DataType, ranges: int, highest: np.ndarray) -> pa.RecordBatch:
-    links = _restored(row["links"], np.uint64)
-    keys, at = np.unique(words.mixed(links), return_inverse=True)
-    count = exchange.totals_of(keys, ranges, row["parts"] or [])[at]
-    best = count == highest[(links & np.uint64(2**32 - 1)).astype(np.int64)] if len(links) else np.zeros(0, bool)
+    links, keys = _restored(row["links"], np.uint32), np.frombuffer(row["keys"], np.uint64)
+    totals = exchange.totals_of(keys, ranges, row["parts"] or [])
+    count = totals[links]
+    best = (totals == highest[(_unmixed(keys) & np.uint64(2**32 - 1)).astype(np.int64)])[links]
     # numbers of each different window, then of each text
     sizes = _restored(row["sizes"], np.uint32).astype(np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     counts = np.zeros(len(sizes), np.int64)
     np.add.at(counts, owner, count)
     bests = np.bincount(owner[best], minlength=len(sizes))
-    names = _restored(row["groups"], np.uint8).tobytes().decode().split("\n")
+    names = pa.array(_restored(row["groups"], np.uint8).tobytes().decode().split("\n"))
     places = _restored(row["places"], np.uint32)
     ends = np.cumsum(row["n_windows"])
     begins = ends - np.array(row["n_windows"], np.int64)
@@ -345,8 +356,8 @@ def _counted(row: dict, type_of_id: pa.DataType, ranges: int, highest: np.ndarra
         return sums[ends] - sums[begins]
 
     n_links = of_texts(sizes)
-    order = places.tolist()
-    groups = [";".join([names[w] for w in order[x:y]]) for x, y in zip(begins.tolist(), ends.tolist())]
+    rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), names.take(pa.array(places)))
+    groups = pc.binary_join(rows, ";")
     return pa.RecordBatch.from_pydict(
         {
             "id": pa.array(row["ids"], type_of_id),
@@ -356,6 +367,6 @@ def _counted(row: dict, type_of_id: pa.DataType, ranges: int, highest: np.ndarra
             "n_links": pa.array(n_links),
             "n_best": pa.array(of_texts(bests)),
             "count_sum": pa.array(of_texts(counts)),
-            "groups": pa.array(groups, pa.string()),
+            "groups": groups,
         }
     )
