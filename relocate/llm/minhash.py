@@ -28,28 +28,31 @@ _STEP = 0x9E3779B97F4A7C15
 _DIRECT = 4
 
 
-def shingle_sets(found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of each text's runs of ``size`` lower-cased words, and borders by text.
+def shingle_sets(found: words.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of each text's runs of ``size`` lower-cased words, their second hashes, and borders by text.
 
     A text of fewer words is one run; one without words has none.
     """
-    hashes = found.hashes(lower=True)
     counts = np.diff(found.bounds)
-    runs = words.runs_of(hashes, size)
-    inside = words.starts_inside(found.bounds, size, len(hashes))
     sizes = np.maximum(counts - size + 1, (counts > 0).astype(np.int64))
     borders = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.empty(borders[-1], np.uint64)
-    long = np.repeat(counts >= size, sizes)
-    out[long] = runs[inside]
-    for i in np.flatnonzero((counts > 0) & (counts < size)):
-        out[borders[i]] = words.runs_of(hashes[found.bounds[i] : found.bounds[i + 1]], int(counts[i]))[0]
+    long, short = np.repeat(counts >= size, sizes), np.flatnonzero((counts > 0) & (counts < size))
+    halves = []
+    for second in (False, True):
+        hashes = found.hashes(lower=True, second=second)
+        out = np.empty(borders[-1], np.uint64)
+        out[long] = words.runs_of(hashes, size)[words.starts_inside(found.bounds, size, len(hashes))]
+        for i in short:
+            out[borders[i]] = words.runs_of(hashes[found.bounds[i] : found.bounds[i + 1]], int(counts[i]))[0]
+        halves.append(out)
+    first, other = halves
     for a, b in zip(borders[:-1], borders[1:]):
-        out[a:b].sort()
-    fresh = np.ones(len(out), bool)
-    fresh[1:] = out[1:] != out[:-1]
+        order = np.argsort(first[a:b])
+        first[a:b], other[a:b] = first[a:b][order], other[a:b][order]
+    fresh = np.ones(len(first), bool)
+    fresh[1:] = first[1:] != first[:-1]
     fresh[borders[:-1][sizes > 0]] = True
-    return out[fresh], np.concatenate([[0], np.cumsum(fresh)])[borders]
+    return first[fresh], other[fresh], np.concatenate([[0], np.cumsum(fresh)])[borders]
 
 
 def superminhash(elements: np.ndarray, borders: np.ndarray, size: int) -> np.ndarray:
@@ -102,11 +105,11 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return words.mixed(keys + np.arange(bands, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
-def _sums(elements: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers that stand for a set."""
+def _sums(first: np.ndarray, second: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers that stand for a set, one of each half of its members' hashes."""
     out = []
-    for salt in (1, 2):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(words.mixed(elements + np.uint64(salt * _STEP % 2**64)))])
+    for half in (first, second):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(words.mixed(half))])
         out.append((sums[borders[1:]] - sums[borders[:-1]]).view(np.int64))
     return out[0], out[1]
 
@@ -115,10 +118,10 @@ def _signed(shingle: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, found in words.slices(batch.column(1)):
-                elements, borders = shingle_sets(found, shingle)
+                elements, second, borders = shingle_sets(found, shingle)
                 keys = band_keys(superminhash(elements, borders, bands * rows), bands, rows)
                 offsets = pa.array(np.arange(to - at + 1, dtype=np.int32) * bands)
-                set_a, set_b = _sums(elements, borders)
+                set_a, set_b = _sums(elements, second, borders)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch.column(0).slice(at, to - at),
@@ -136,8 +139,8 @@ def _listed(shingle: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, found in words.slices(batch.column(1)):
-                elements, borders = shingle_sets(found, shingle)
-                set_a, set_b = _sums(elements, borders)
+                elements, second, borders = shingle_sets(found, shingle)
+                set_a, set_b = _sums(elements, second, borders)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch.column(0).slice(at, to - at),
@@ -284,7 +287,8 @@ def _compared(percent: int):
             spans = last - first
             hit = np.repeat(first - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
             common = np.bincount(owners[hit], minlength=len(left))
-            alike = (100 * common >= percent * (sizes[left] + sizes[j] - common)) & (found[left] != found[j])
+            union = sizes[left] + sizes[j] - common
+            alike = (100 * common >= percent * union) & ((100 - percent) * union >= 100) & (found[left] != found[j])
             for i in left[alike]:
                 forest.join(int(ids[i]), int(ids[j]))
         edges = forest.edges()
@@ -294,9 +298,14 @@ def _compared(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are alike enough."""
+    """The pairs ``(a, b)`` whose full sets are alike enough.
+
+    Equal sets are one class already, so a pair needs a union in which one member more or less leaves it alike enough;
+    below that, only a clash of hashes could make it seem so.
+    """
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     both = both.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).alias("total"))
-    return both.filter(f"100 * common >= {percent} * (total - common)").select("a", "b")
+    alike = f"100 * common >= {percent} * (total - common) AND (100 - {percent}) * (total - common) >= 100"
+    return both.filter(alike).select("a", "b")

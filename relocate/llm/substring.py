@@ -4,6 +4,8 @@ A window is a run of ``min_words`` words of one text. Runs of about a quarter of
 window is represented by the run inside it with the least hash, so equal windows are represented by equal runs, and
 only about one run in ten has to be counted. Windows whose run occurs once in the whole corpus are dropped. The others
 go on with runs of twice the length, and so on until the runs are the windows themselves or no candidate survives.
+Windows that are left are then counted once more by hashes independent of the first, so that text goes only where 128
+bits agree.
 """
 
 from __future__ import annotations
@@ -24,12 +26,12 @@ SHORTEST = 10
 BROADCAST_BYTES = 32 << 20
 
 
-def levels(min_words: int) -> list[int]:
-    """Run lengths, each at most twice the one before; the last is ``min_words``."""
+def levels(min_words: int) -> list[tuple[int, bool]]:
+    """Run lengths, each at most twice the one before up to ``min_words``, and whether second hashes are used: at last."""
     found = [min_words]
     while found[0] > SHORTEST:
         found.insert(0, (found[0] + 1) // 2)
-    return found
+    return [(length, False) for length in found] + [(min_words, True)]
 
 
 class _Level:
@@ -40,9 +42,6 @@ class _Level:
         self.width = min_words - length + 1
         self.keys = words.windowed(runs, self.width, np.minimum)
 
-    def next(self, length: int) -> _Level:
-        return _Level(words.longer(self.runs, self.length, length), length, self.min_words)
-
     def occurrences(self, alive: np.ndarray) -> np.ndarray:
         """Hashes of the runs that represent a live window, once for each place in the block."""
         if not len(self.keys):
@@ -60,13 +59,13 @@ class _Level:
         return alive & again[where]
 
 
-def _first(found: words.Words, length: int, min_words: int) -> tuple[_Level, np.ndarray]:
-    level = _Level(words.runs_of(found.hashes(), length), length, min_words)
-    return level, words.starts_inside(found.bounds, min_words, len(found.starts))
+def _level(found: words.Words, level: tuple[int, bool], min_words: int) -> _Level:
+    length, second = level
+    return _Level(words.runs_of(found.hashes(second=second), length), length, min_words)
 
 
 def _bits(alive: np.ndarray) -> bytes:
-    return zlib.compress(np.packbits(alive).tobytes(), 1)
+    return zlib.compress(np.packbits(alive).tobytes(), 1) if alive.any() else b""
 
 
 def _alive(bits: bytes, count: int) -> np.ndarray:
@@ -81,11 +80,13 @@ def _words_of(payload: bytes, text_col: str) -> tuple[pa.RecordBatch, words.Word
 _STATE = "block_id long, alive binary, keys binary, counts binary"
 
 
-def _state(block: int, level: _Level, alive: np.ndarray) -> pa.RecordBatch:
-    keys, counts = exchange.packed(level.occurrences(alive), most=2)
+def _state(block: int, level: _Level | None = None, alive: np.ndarray | None = None) -> pa.RecordBatch:
+    """A block's live windows and the runs to count for them; without a level, none are left."""
+    bits = b"" if level is None else _bits(alive)
+    keys, counts = exchange.packed(level.occurrences(alive), most=2) if bits else (b"", b"")
     return pa.RecordBatch.from_pydict(
         {"block_id": pa.array([block], pa.int64())}
-        | {k: pa.array([v], pa.binary()) for k, v in (("alive", _bits(alive)), ("keys", keys), ("counts", counts))}
+        | {k: pa.array([v], pa.binary()) for k, v in (("alive", bits), ("keys", keys), ("counts", counts))}
     )
 
 
@@ -107,12 +108,13 @@ def without_repeats(
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch["block_id"].to_pylist(), batch["payload"]):
-                level, alive = _first(_words_of(payload.as_py(), text_col)[1], lengths[0], min_words)
-                yield _state(block, level, alive)
+                found = _words_of(payload.as_py(), text_col)[1]
+                alive = words.starts_inside(found.bounds, min_words, len(found.starts))
+                yield _state(block, _level(found, lengths[0], min_words), alive)
 
     state = saved(blocks.mapInArrow(begin, _STATE), "substring-state")
     joined = ranges = None
-    for k, length in enumerate(lengths):
+    for k in range(len(lengths)):
         size = state.agg(
             F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)).alias("keys"),
             F.coalesce(F.sum(F.octet_length("alive")), F.lit(0)).alias("alive"),
@@ -130,31 +132,39 @@ def without_repeats(
     schema = docs.select(*[docs[c] for c in names]).schema
     if counts is not None:
         schema = schema.add(counts[0], "long").add(counts[1], "long")
-    finish = _finish(text_col, min_words, ranges, names, counts)
+    finish = _finish(text_col, min_words, lengths[-1], ranges, names, counts)
     return joined.mapInArrow(finish, schema)
 
 
-def _step(text_col: str, min_words: int, lengths: list[int], k: int, ranges: int):
+def _step(text_col: str, min_words: int, lengths: list[tuple[int, bool]], k: int, ranges: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                block, payload, bits, parts = (batch[c][row].as_py() for c in ("block_id", "payload", "alive", "parts"))
-                level, alive = _first(_words_of(payload, text_col)[1], lengths[k], min_words)
-                alive = level.surviving(_alive(bits, len(alive)), ranges, parts or [])
-                yield _state(block, level.next(lengths[k + 1]), alive)
+                block, bits, parts = (batch[c][row].as_py() for c in ("block_id", "alive", "parts"))
+                if not bits:
+                    yield _state(block)
+                    continue
+                found = _words_of(batch["payload"][row].as_py(), text_col)[1]
+                level = _level(found, lengths[k], min_words)
+                alive = level.surviving(_alive(bits, len(level.keys)), ranges, parts or [])
+                yield _state(block, _level(found, lengths[k + 1], min_words), alive) if alive.any() else _state(block)
 
     return step
 
 
-def _finish(text_col: str, min_words: int, ranges: int, names: list[str], counts: tuple[str, str] | None):
+def _finish(
+    text_col: str, min_words: int, last: tuple[int, bool], ranges: int, names: list[str], counts: tuple[str, str] | None
+):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for row in range(rows.num_rows):
                 payload, bits, parts = (rows[c][row].as_py() for c in ("payload", "alive", "parts"))
                 batch, found = _words_of(payload, text_col)
-                level, alive = _first(found, min_words, min_words)
-                alive = level.surviving(_alive(bits, len(alive)), ranges, parts or [])
-                texts, removed = _kept(batch[text_col], found, alive, min_words)
+                texts, removed = batch[text_col], np.zeros(batch.num_rows, np.int64)
+                if bits:
+                    level = _level(found, last, min_words)
+                    alive = level.surviving(_alive(bits, len(level.keys)), ranges, parts or [])
+                    texts, removed = _kept(texts, found, alive, min_words)
                 columns = {c: texts if c == text_col else batch[c] for c in names}
                 if counts is not None:
                     columns |= {counts[0]: pa.array(np.diff(found.bounds)), counts[1]: pa.array(removed)}

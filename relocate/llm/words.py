@@ -1,38 +1,26 @@
-"""Words of many texts at once, as arrays: borders, 64-bit hashes, and hashes of runs of words.
+"""Words of many texts at once, as arrays: borders, hashes, and hashes of runs of words.
 
-A word is a run of bytes other than 0x20 and 0x09-0x0D. Equal words have equal hashes on every machine; two different
-words share a hash with a chance of about 2**-64.
+A word is a run of bytes other than 0x20 and 0x09-0x0D. Words are told apart by their bytes; each different one has two
+64-bit hashes, halves of a BLAKE2b digest, the same on every machine. So two words that differ share one half with a
+chance of 2**-64, whatever they are made of, and both with one of 2**-128. Hashes of runs are mixed from those of their
+words, one half at a time, and so are as independent of each other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
-_HASH_BYTES = 1 << 20
 
-_rng = np.random.Generator(np.random.PCG64(20240607))
-_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_LOWER_CODES = _CODES[_LOWER]
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
-
-
-def _powers_of(base: int, count: int) -> np.ndarray:
-    if len(_powers[base]) < count:
-        factors = np.full(max(count, _HASH_BYTES), base, np.uint64)
-        factors[0] = 1
-        _powers[base] = np.cumprod(factors, dtype=np.uint64)
-    return _powers[base]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -53,22 +41,19 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
-
-    def hashes(self, lower: bool = False) -> np.ndarray:
-        codes = _LOWER_CODES if lower else _CODES
-        out = np.empty(len(self.starts), np.uint64)
-        at = 0
-        while at < len(out):
-            first = int(self.starts[at])
-            to = max(at + 1, int(np.searchsorted(self.ends, first + _HASH_BYTES, "right")))
-            last = int(self.ends[to - 1])
-            sums = np.zeros(last - first + 1, np.uint64)
-            np.multiply(codes[self.data[first:last]], _powers_of(_BASE, last - first)[: last - first], out=sums[1:])
-            np.cumsum(sums, out=sums)
-            begin, end = self.starts[at:to] - first, self.ends[at:to] - first
-            out[at:to] = (sums[end] - sums[begin]) * _powers_of(_INVERSE, last - first)[begin]
-            at = to
-        return mixed(out)
+    _found: dict[bool, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+
+    def hashes(self, lower: bool = False, second: bool = False) -> np.ndarray:
+        """The first or second hash of each word, as it stands or with A-Z lower-cased."""
+        if lower not in self._found:
+            content = self.data[~_BLANK[self.data]]
+            offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)]).astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[content] if lower else content)]
+            coded = pa.Array.from_buffers(pa.binary(), len(self.starts), buffers).dictionary_encode()
+            digests = b"".join([blake2b(word, digest_size=16).digest() for word in coded.dictionary.to_pylist()])
+            self._found[lower] = coded.indices.to_numpy(), np.frombuffer(digests, "<u8").reshape(-1, 2)
+        words, halves = self._found[lower]
+        return halves[words, int(second)]
 
     def texts_of(self) -> np.ndarray:
         """The text each word belongs to."""
