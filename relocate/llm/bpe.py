@@ -10,6 +10,7 @@ each different word is encoded once per task and remembered within bounds.
 from __future__ import annotations
 
 import json
+import math
 import re
 import unicodedata
 from array import array
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from relocate.llm import shipped, words
 
 LEAF_CHARS = 16_384
+LEAVES_AT_ONCE = 64
 FIRST_WINDOW = 64
 WORDS_KEPT, PIECES_KEPT = 200_000, 300_000
 #: So many letters on both sides of a place show that no special token or contraction lies across it.
@@ -255,6 +257,22 @@ def encoded(
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(at, to - at)} | answers(coder, found))
         pa.default_memory_pool().release_unused()
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch["text"].to_pylist()):
+                pieces = 1 << math.ceil(math.log2(len(text) / leaf))
+                step = -(-len(text) // pieces)
+                for first in range(0, pieces, LEAVES_AT_ONCE):
+                    some = range(first, min(first + LEAVES_AT_ONCE, pieces))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch[c].slice(i, 1).take(pa.array([0] * len(some))) for c in ("row", "id")),
+                            pa.array(some, pa.int32()),
+                            pa.array([text[j * step : (j + 1) * step] for j in some], pa.string()),
+                        ],
+                        ["row", "id", "leaf", "text"],
+                    )
+
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
@@ -269,10 +287,8 @@ def encoded(
 
     at_once = rows.filter(F.coalesce(F.length("text"), F.lit(0)) <= leaf).mapInArrow(short, schema)
     long = rows.filter(F.length("text") > leaf).withColumn("row", F.monotonically_increasing_id())
-    count = F.pow(2, F.ceil(F.log2(F.length("text") / leaf))).cast("int")
-    step = F.ceil(F.length("text") / count).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(F.col("text"), i * step + 1, step))
-    dealt = long.select("row", "id", F.posexplode(cut).alias("leaf", "text")).repartition("row", "leaf")
+    dealt = long.select("row", "id", "text").mapInArrow(cut, f"row long, id {kind}, leaf int, text string")
+    dealt = dealt.repartition("row", "leaf")
     done = dealt.mapInArrow(leaves, f"row long, id {kind}, leaf int, text string, ids binary")
     in_parts = done.groupBy("row").applyInArrow(join, schema)
     both = at_once.unionByName(in_parts).withColumnRenamed("id", id_col)

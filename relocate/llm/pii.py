@@ -21,7 +21,8 @@ from relocate.llm.blocks import saved_blocks, unpacked
 from relocate.session import saved
 
 BROADCAST_BYTES = 32 << 20
-#: From this draw on, replacements grow longer, so that short formats cannot run out. Keys and IBANs have 10**12 or more.
+#: From this draw on, replacements of free length grow, so that short ones cannot run out: names, phones, secrets, local
+#: parts. Formats of a fixed length stay; each has 10**8 places or more to draw from.
 LOOSE = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -46,7 +47,7 @@ _NAME = r"[^\W\d_][\w'’-]*"
 _PATTERN = re.compile(
     "|".join(
         [
-            r"(?P<email>(?<![\w.+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)+)",
+            r"(?P<email>(?<![\w.%+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)+)",
             r"(?P<secret>(?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?(?P<value>[^\s,;]{4,}))",
             r"(?P<key>(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|(?:sk|ghp)[-_][0-9A-Za-z]{20,})(?![0-9A-Za-z]))",
             r"(?P<iban>(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))",
@@ -177,12 +178,12 @@ def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
         new = _like(".".join(labels[:-1]), _Draws(key, "domain", domain))
         return f"{_like(local, draw)}{longer}@{new}.{labels[-1]}"
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4 + extra))
+        return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "phone":
         code, space, rest = entity.rpartition(" ")
         return code + space + _like(rest, draw) + digits
     if kind == "card":
-        body = entity[0] + _like(entity[1:], draw) + digits
+        body = entity[0] + _like(entity[1:], draw)
         if _luhn(entity) == 0:
             body = next(body[:-1] + d for d in "0123456789" if _luhn(body[:-1] + d) == 0)
         return body
@@ -199,7 +200,7 @@ def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
     if kind.startswith("family"):
         return _name(draw, kind.rpartition("-")[2], 3 + max(0, turn - LOOSE))
     letters = "abcdef" if re.fullmatch(r"[0-9a-f]+", entity) else "abcdefghijklmnopqrstuvwxyz"
-    return _like(entity, draw, letters) + {"secret": longer, "ssn": digits}.get(kind, "")
+    return _like(entity, draw, letters) + (longer if kind == "secret" else "")
 
 
 def _name(draw: _Draws, script: str, syllables: int) -> str:

@@ -13,7 +13,9 @@ import html
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -27,21 +29,20 @@ RECORD = (
     "record_type string, record_id string, refers_to string, concurrent_to string, target_uri string, date string, "
     "content_type string, content_length long, block_digest string, content string"
 )
-_UNSEEN = "script|style|noscript|template"
-_TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<unseen>{_UNSEEN})\b.*?(?:</(?P=unseen)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+# Elements whose content is not shown, and those that end a line.
+_UNSEEN = frozenset("script style noscript template".split())
 _BREAKS = frozenset(
     "address article aside blockquote body br dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 head header hr html li "
     "main nav ol p pre section table td th title tr ul".split()
 )
-_LINK = re.compile(r"<(?:a|area)\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in (*_UNSEEN, "title")}
+_QUOTE_OR_END = re.compile("[\"'>]")
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w-]+)", re.I)
 _BLANKS = re.compile(r"[^\S\n]+")
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
+_CHUNK = re.compile(rb"(?:\r?\n)?([0-9a-fA-F]{1,12})(?:;[^\r\n]*)?\r?\n")
 
 
 def digest(data: bytes) -> str:
@@ -53,20 +54,152 @@ def record_id(*what: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(chr(31).join(what).encode()).digest()[:16], version=5)}>"
 
 
-def plain_text(page: str) -> str:
+@dataclass(frozen=True)
+class Tag:
+    """``page[start:end]``: a tag, or something that is not shown, which has no name."""
+
+    start: int
+    end: int
+    name: str = ""
+    closing: bool = False
+    inside: str = ""  # what follows the name
+
+    def attribute(self, name: str) -> str | None:
+        for m in _ATTRIBUTE.finditer(self.inside):
+            if m[1].lower() == name:
+                return html.unescape(m[2] or m[3] or m[4] or "")
+        return None
+
+
+def tags(page: str) -> Iterator[Tag]:
+    """Tags of a page in order, comments, declarations and unseen elements among them as nameless ones.
+
+    Reads forwards only. A tag ends at the first ``>`` outside quotes; a quote that is never closed is an ordinary
+    character. Where nothing ends a tag any more, the rest of the page is text. An unclosed comment or unseen element
+    goes on to the end of the page.
+    """
+    at, quoting = 0, True
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            yield Tag(start, at := len(page) if end < 0 else end + 3)
+            continue
+        if page.startswith(("<!", "<?"), start):
+            end = page.find(">", start)
+            if end < 0:
+                return
+            yield Tag(start, at := end + 1)
+            continue
+        named = _NAME.match(page, start + 1)
+        if not named:
+            at = start + 1
+            continue
+        end = _tag_end(page, named.end()) if quoting else -1
+        if end < 0:
+            # no tag from here on ends outside quotes: they are no quotes
+            quoting, end = False, page.find(">", named.end())
+            if end < 0:
+                return
+        name, closing = named[1].lower(), page[start + 1] == "/"
+        at = end + 1
+        if name in _UNSEEN and not closing:
+            over = _CLOSING[name].search(page, at)
+            at = over.end() if over else len(page)
+            yield Tag(start, at)
+        else:
+            yield Tag(start, at, name, closing, page[named.end() : end])
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Place of the first ``>`` outside quotes, -1 if there is none."""
+    open_quotes = set()
+    while found := _QUOTE_OR_END.search(page, at):
+        if found[0] == ">":
+            return found.start()
+        at = found.end()
+        if found[0] not in open_quotes:
+            close = page.find(found[0], at)
+            if close < 0:
+                open_quotes.add(found[0])
+            else:
+                at = close + 1
+    return -1
+
+
+def plain_text(page: str, found: list[Tag] | None = None) -> str:
     """The words of a page, a line for each block; scripts, styles and comments are left out."""
-    shown = html.unescape(_TAG.sub(lambda m: "\n" if (m["name"] or "").lower() in _BREAKS else "", page))
+    pieces, at = [], 0
+    for tag in tags(page) if found is None else found:
+        pieces += [page[at : tag.start], "\n" if tag.name in _BREAKS else ""]
+        at = tag.end
+    shown = html.unescape("".join(pieces) + page[at:])
     lines = (_BLANKS.sub(" ", line).strip() for line in shown.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def described(page: str, found: list[Tag], url: str) -> list[tuple[str, str]]:
+    """What a page says of itself: title, language and outlinks, in order."""
+    fields = []
+    title = next((t for t in found if t.name == "title" and not t.closing), None)
+    over = _CLOSING["title"].search(page, title.end) if title else None
+    if over:
+        fields.append(("title", " ".join(html.unescape(page[title.end : over.start()]).split())))
+    lang = next((t.attribute("lang") for t in found if t.name == "html" and not t.closing), None)
+    fields += [("language", lang)] if lang else []
+    for tag in found:
+        if tag.name in ("a", "area") and not tag.closing and (link := tag.attribute("href")) is not None:
+            fields.append(("outlink", _joined(url, link)))
+    return fields
+
+
 def split_response(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """Status line, headers and payload of an HTTP response; without a header block all of it is payload."""
-    head, mark, payload = block.partition(b"\r\n\r\n")
-    if not head.startswith(b"HTTP/") or not mark:
+    over = _HEAD_END.search(block)
+    if not block.startswith(b"HTTP/") or not over:
         return "", [], block
-    status, *lines = head.decode("latin-1").split("\r\n")
-    return status, [(n.strip(), v.strip()) for n, c, v in (line.partition(":") for line in lines) if c], payload
+    status, *lines = re.split("\r?\n", block[: over.start()].decode("latin-1"))
+    return status, [(n.strip(), v.strip()) for n, c, v in (line.partition(":") for line in lines) if c], block[over.end() :]
+
+
+def content_of(payload: bytes, headers: dict[str, str]) -> bytes | None:
+    """The payload without its transfer and content encodings; None where one is unknown.
+
+    What is not encoded as the headers say, as in records whose encodings were undone, stays as it is.
+    """
+    if "chunked" in headers.get("transfer-encoding", "").lower():
+        payload = _unchunked(payload)
+    for encoding in reversed([e.strip().lower() for e in headers.get("content-encoding", "").split(",")]):
+        if encoding in ("gzip", "x-gzip", "deflate"):
+            payload = _inflated(payload, encoding)
+        elif encoding not in ("", "identity"):
+            return None
+    return payload
+
+
+def _unchunked(payload: bytes) -> bytes:
+    out, at = [], 0
+    while size := _CHUNK.match(payload, at):
+        begin, length = size.end(), int(size[1], 16)
+        if not length:
+            return b"".join(out)
+        out.append(payload[begin : begin + length])
+        at = begin + length
+    return b"".join(out) if out and at >= len(payload) else payload
+
+
+def _inflated(payload: bytes, encoding: str) -> bytes:
+    for bits in (47,) if encoding != "deflate" else (47, -15):
+        unpack, rest, out = zlib.decompressobj(bits), payload, []
+        try:
+            while rest:
+                out.append(unpack.decompress(rest))
+                # further gzip members follow one another
+                rest, unpack = unpack.unused_data, zlib.decompressobj(bits)
+            return b"".join(out)
+        except zlib.error:
+            if out:
+                return b"".join(out)
+    return payload
 
 
 def _decoded(payload: bytes, content_type: str) -> tuple[str, str]:
@@ -79,30 +212,28 @@ def _decoded(payload: bytes, content_type: str) -> tuple[str, str]:
 
 
 def derivatives(source: dict) -> list[dict]:
-    """Metadata and conversion of one response. A payload that is no text has metadata alone."""
+    """Metadata and conversion of one response. A payload that is no text, or in an unknown encoding, has metadata alone."""
     status, headers, payload = split_response(source["block"] or b"")
     of_name = {n.lower(): v for n, v in headers}
     kind = of_name.get("content-type", "text/html")
     url, own = source["target_uri"] or "", source["record_id"] or ""
     ids = record_id("metadata", own, url), record_id("conversion", own, url)
     textual = kind.lower().startswith(("text/", "application/xhtml"))
-    page, charset = _decoded(payload, kind) if textual else ("", "")
+    content = content_of(payload, of_name) if textual else None
+    textual = content is not None
+    page, charset = _decoded(content, kind) if textual else ("", "")
     marked = textual and not kind.lower().startswith("text/plain")
     fields = [("source-record-id", own), ("source-block-digest", digest(source["block"] or b""))]
     fields.append(("source-payload-digest", source["payload_digest"] or digest(payload)))
     fields += [("http-status", status)] if status else []
     fields += [(f"http-header-{n.lower()}", v) for n, v in headers]
     fields += [("charset", charset)] if charset else []
-    if marked:
-        title, lang = _TITLE.search(page), _LANG.search(page)
-        fields += [("title", " ".join(html.unescape(title[1]).split()))] if title else []
-        fields += [("language", lang[1])] if lang else []
-        for found in _LINK.finditer(page):
-            fields.append(("outlink", _joined(url, html.unescape(next(g for g in found.groups() if g is not None)))))
-    described = "".join(f"{n}: {_BLANKS.sub(' ', v.replace(chr(10), ' '))}\r\n" for n, v in fields)
-    out = [_record("metadata", ids[0], ids[1] if textual else None, source, "application/warc-fields", described)]
+    found = list(tags(page)) if marked else []
+    fields += described(page, found, url) if marked else []
+    lines = "".join(f"{n}: {_BLANKS.sub(' ', v.replace(chr(10), ' '))}\r\n" for n, v in fields)
+    out = [_record("metadata", ids[0], ids[1] if textual else None, source, "application/warc-fields", lines)]
     if textual:
-        out.append(_record("conversion", ids[1], ids[0], source, "text/plain; charset=UTF-8", plain_text(page) if marked else page))
+        out.append(_record("conversion", ids[1], ids[0], source, "text/plain; charset=UTF-8", plain_text(page, found) if marked else page))
     return out
 
 
@@ -178,7 +309,11 @@ def derived(sources: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def as_text(records: DataFrame) -> DataFrame:
     """One column ``warc``: each record as it stands in a file, but for its last line end."""
-    line = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))).otherwise("")
+    def line(name, value):
+        # a line end in a value would begin another header
+        value = F.regexp_replace(value.cast("string"), "[\r\n]+", " ")
+        return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise("")
+
     column = F.col
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
