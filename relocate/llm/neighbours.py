@@ -12,6 +12,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,18 @@ class Index:
     def width(self) -> int:
         return len(self.halves[1])
 
+    @cached_property
+    def gaps(self) -> list[np.ndarray]:
+        """Distances between the codewords of a half."""
+        return [np.array([np.sqrt(((book - word) ** 2).sum(1)) for word in book]) for book in self.halves]
+
     def bounds(self, vectors: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Least possible distance to the cells of each codeword, by half; and the own cell."""
         low, own = [], []
         middle = self.halves[0].shape[1]
-        for part, book in zip((vectors[:, :middle], vectors[:, middle:]), self.halves):
+        for part, book, gaps in zip((vectors[:, :middle], vectors[:, middle:]), self.halves, self.gaps):
             far = ((part**2).sum(1)[:, None] - 2 * part @ book.T + (book**2).sum(1)[None, :]).clip(0)
             nearest = far.argmin(axis=1)
-            gaps = np.sqrt(((book[:, None, :] - book[None, :, :]) ** 2).sum(2))
             # distance to the plane half-way between the own codeword and the other
             apart = np.maximum(gaps[nearest], 1e-12)
             # less than what rounding can add, which close codewords would make large
@@ -80,6 +85,16 @@ class Index:
         return found
 
 
+def _unit(points: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; those whose squares are out of range are brought into it first."""
+    with np.errstate(over="ignore", under="ignore"):
+        size = np.linalg.norm(points, axis=1, keepdims=True)
+        odd = ((size < 1e-140) | (size > 1e140))[:, 0]
+        points[odd] /= np.abs(points[odd]).max(axis=1, keepdims=True)
+        size[odd] = np.linalg.norm(points[odd], axis=1, keepdims=True)
+    return points / size
+
+
 def _codebook(points: np.ndarray, size: int, random: np.random.Generator) -> np.ndarray:
     """k-means with ten rounds."""
     points = np.unique(points, axis=0)
@@ -169,7 +184,7 @@ def _linked(spark, classes: DataFrame, total: int, labels: int, cosine: float, r
     for size in {len(r["v"]) for r in drawn}:
         some = [r for r in drawn if len(r["v"]) == size]
         points = np.array([r["v"] for r in some])
-        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        points = _unit(points)
         names = np.unique([str(r["label"]) for r in some], return_inverse=True)[1]
         indexes[size] = fitted(points, names, codewords, cosine, recall)
 
@@ -180,7 +195,7 @@ def _linked(spark, classes: DataFrame, total: int, labels: int, cosine: float, r
                 at = np.flatnonzero(sizes == size)
                 part = batch.take(pa.array(at))
                 points = np.array(part["v"].to_pylist())
-                points /= np.linalg.norm(points, axis=1, keepdims=True)
+                points = _unit(points)
                 # a length that the sample lacks has one cell
                 index = indexes.get(int(size))
                 cells, visits = index.visits(points) if index else (np.zeros(len(at), int), [[0]] * len(at))

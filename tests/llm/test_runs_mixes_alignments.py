@@ -262,9 +262,15 @@ def plain_alignment(rows, libraries):
         ends = lambda ids, of: np.cumsum([len(of(x)) for x in ids]).tolist()
         ends_a, ends_b = ends(a, bytes_a), ends(b, bytes_b)
         shared = sorted(set(ends_a) & set(ends_b))
-        cut = lambda ids, ends, low, high: ",".join(str(x) for x, e in zip(ids, ends) if low < e <= high)
-        groups = ";".join(f"{cut(a, ends_a, x, y)}|{cut(b, ends_b, x, y)}" for x, y in zip([0, *shared], shared))
-        links = [(a[ends_a.index(e)], b[ends_b.index(e)]) for e in shared]
+        sides = []
+        for ids, own in ((a, ends_a), (b, ends_b)):
+            groups_of = collections.defaultdict(list)
+            for x, e in zip(ids, own):
+                groups_of[next(s for s in shared[len(groups_of) - 1 if groups_of else 0 :] if e <= s)].append(str(x))
+            sides.append([",".join(groups_of[s]) for s in shared])
+        groups = ";".join(f"{x}|{y}" for x, y in zip(*sides))
+        at_a, at_b = dict(zip(ends_a, a)), dict(zip(ends_b, b))
+        links = [(at_a[e], at_b[e]) for e in shared]
         counts.update(links)
         out.append((i, len(a), len(b), len(shared), links, groups))
     highest = collections.Counter()

@@ -224,3 +224,55 @@ def test_other_columns_and_blanks_stay(spark):
     assert {r.doc_id: (r.text, r.payload) for r in got.collect()} == {
         1: ("Head\tof  it\n\nand the  tail", 1), 2: ("end", 1), 3: ("as\tit  is ", 1)
     }
+
+
+def test_scores_do_not_depend_on_the_layout_of_files(spark):
+    docs = spark.read.parquet(f"{brute.FOLDER}/documents.parquet").select("doc_id", "text")
+    layouts = [hmm.scored(docs.repartition(n).sortWithinPartitions("text")).collect() for n in (1, 7)]
+    one, two = ({r.doc_id: r for r in rows} for rows in layouts)
+    # counts are added up in single precision, in another order
+    assert all(two[i].score == pytest.approx(r.score, rel=1e-4) and two[i].base_score == pytest.approx(r.base_score, rel=1e-9) for i, r in one.items())
+
+
+def test_training_covers_texts_longer_than_the_start(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "START_TOKENS", 500)
+    rows = [(i, " ".join(f"w{(i + k) % 7} and" for k in range(2000))) for i in range(12)]
+    got = hmm.scored(brute.documents(spark, rows)).collect()
+    check_scores(rows, got)
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    """The likelihood of each text by one multiplication a token, with the trained model."""
+    import numpy as np
+
+    rows = given(spark)[:40]
+    docs = brute.documents(spark, rows)
+    models = []
+    plain = hmm._scoring
+    hmm._scoring = lambda model, ranges, chain: models.append(model) or plain(model, ranges, 64)
+    try:
+        got = {r.doc_id: r for r in hmm.scored(docs).collect()}
+    finally:
+        hmm._scoring = plain
+    (model,) = models
+    texts = [(i, brute.words(brute.lower(t))) for i, t in rows]
+    counts = collections.Counter(w for i, own in texts if not got[i].held_out for w in own)
+    for i, own in texts:
+        state, log = None, 0.0
+        for word in [*own, None]:
+            if word is None:
+                place, inside = model.end, 1.0
+            else:
+                import pyarrow as pa
+
+                from relocate.llm import words
+
+                found = words.split_words(*words.layout(pa.array([word])))
+                key, bucket = found.hashes(lower=True), hmm._buckets(found, np.array([0]))
+                place = int(model.classes(key, bucket)[0])
+                inside = 10 ** float(model.inside(np.array([place]), np.array([counts[word]]))[0])
+            state = (model.start if state is None else state @ model.move) * model.emit[place]
+            log += math.log10(state.sum() * inside)
+            state = state / state.sum()
+        assert got[i].score == pytest.approx(log, rel=1e-9)

@@ -1,7 +1,11 @@
 """Encoding, packing, personal data, WARC records, URLs, vectors and the pipeline."""
 
 import collections
+import gzip
+import html
 import random
+import re
+import time
 import zlib
 
 import brute
@@ -166,14 +170,35 @@ def test_short_phones_do_not_run_out(spark):
     assert all(got[i].startswith("call +100") and got[i].endswith(" now") for i in range(10))
 
 
-@pytest.mark.parametrize("kind, entity", [("phone", "+100 0"), ("phone", "6085553598"), ("card", "4012888888881881"), ("ssn", "123456789"), ("ip", "1.2.3.4")])
-def test_late_draws_grow(kind, entity):
+@pytest.mark.parametrize("kind, entity", [("phone", "+100 0"), ("phone", "6085553598")])
+def test_late_draws_of_free_length_grow(kind, entity):
     sizes = [len(pii._digits(pii.surrogate(b"k", kind, entity, pii.LOOSE + turn))) for turn in (-1, 20)]
     assert sizes[1] >= sizes[0] + 10
     new = pii.surrogate(b"k", kind, entity, pii.LOOSE + 3)
     assert pii._digits(pii.written(pii.Mention(0, 0, kind, entity, entity), new)) == pii._digits(new)
 
 
+@pytest.mark.parametrize("kind, entity", [("card", "4012888888881881"), ("ssn", "123456789"), ("ip", "1.2.3.4"), ("iban", "DE89370400440532013000")])
+def test_late_draws_of_fixed_formats_stay(kind, entity):
+    drawn = {pii.surrogate(b"k", kind, entity, turn) for turn in range(200)}
+    assert len(drawn) == 200
+    for new in drawn:
+        assert new.count(".") == entity.count(".") and (kind == "ip" or len(new) == len(entity))
+        assert kind != "ip" or all(0 < int(octet) < 256 for octet in new.split("."))
+        assert kind != "card" or pii._luhn(new) == 0
+
+
+@pytest.mark.parametrize("text", ["%D0%BF%D1%80%D0%B8" * 60_000, "a%" * 500_000, "%" * 1_000_000, "a.b-c+d" * 150_000])
+def test_long_encoded_texts_are_searched_in_linear_time(text):
+    begin = time.process_time()
+    assert pii.mentions(text + " 7") == []
+    assert time.process_time() - begin < 5
+
+
+def test_mail_after_encoded_text_is_found():
+    assert [m.text for m in pii.mentions("x%20 to=%3Cjo@ex.org%3E a%b@ex.org")] == ["%3Cjo@ex.org", "a%b@ex.org"]
+
+
 @pytest.mark.parametrize("text", ["sk-" + "aB" * 12, "ghp_" + "x" * 20, "AKIA" + "Q" * 16, "abcdef" * 6, "１２３-４５-６７８９", "+٩٦٦ ٥٥ ١٢٣ ٤٥٦٧"])
 def test_data_without_ascii_digits_is_found(text):
     (alone,), (beside, *_) = pii.mentions(text), pii.mentions(f"{text} 7")
@@ -219,6 +244,107 @@ def test_derivatives_of_pages(spark):
     assert warc.derived(warc.responses(pages.limit(0), "x")).collect() == []
 
 
+def plain_page(page):
+    """Tags and shown text of a page, one character at a time."""
+    out, links, i = [], [], 0
+    while i < len(page):
+        rest = page[i:]
+        if page[i] != "<" or not re.match(r"<(!|\?|/?[a-zA-Z])", rest):
+            out.append(page[i])
+            i += 1
+            continue
+        if rest.startswith("<!--"):
+            i = len(page) if "-->" not in rest[4:] else i + 4 + rest[4:].index("-->") + 3
+            continue
+        j, quote = 1, None
+        while j < len(rest) and (quote or rest[j] != ">"):
+            if quote and rest[j] == quote:
+                quote = None
+            elif not quote and rest[j] in "\"'" and rest[1] not in "!?" and rest[j] in rest[j + 1 :]:
+                quote = rest[j]
+            j += 1
+        if j == len(rest):
+            out.append(rest)
+            break
+        tag = re.match(r"</?([a-zA-Z][^\s/>]*)", rest)
+        name = tag[1].lower() if tag else ""
+        i += j + 1
+        if name in ("script", "style", "noscript", "template") and rest[1] != "/":
+            over = re.search(rf"</{name}\s*>", page[i:], re.I)
+            i = i + over.end() if over else len(page)
+        elif name in warc._BREAKS:
+            out.append("\n")
+        elif name == "a" and rest[1] != "/":
+            own = re.search(r"\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", rest[:j], re.I)
+            links += [html.unescape(next(g for g in own.groups() if g is not None))] if own else []
+    shown = html.unescape("".join(out)).split("\n")
+    lines = [re.sub(r"[^\S\n]+", " ", line).strip() for line in shown]
+    return "\n".join(line for line in lines if line), links
+
+
+ODD_PAGES = [
+    PAGE, "", "a < b > c <1> <p", "<p title='a>b'>x</p><p title=\"it's\">y", "<!-- <a href=no> --><a href=yes>1</a><!doctype html>z",
+    "<script>if (a<b) '</p>'</SCRIPT ><style>x", "<a href='u?a=1&amp;b=2'>l</a><A HREF = \"v w\" id=q>m</A><a name=n>k<area href=no>",
+    "<ul><li>one<li>two</ul>&lt;b&gt; &eacute;&#233; <br/>end<?php echo ?>", "x<template><p>hidden</template><noscript>n</noscript>y<!-- open",
+    "it's <b class=it's>bold</b> and \"<i>quoted</i>\"",
+]
+
+
+@pytest.mark.parametrize("page", ODD_PAGES)
+def test_pages_read_like_one_character_at_a_time(page):
+    text, links = plain_page(page)
+    assert warc.plain_text(page) == text
+    assert [t.attribute("href") for t in warc.tags(page) if t.name == "a" and not t.closing and t.attribute("href")] == links
+
+
+def test_pages_of_the_table_read_like_one_character_at_a_time(spark):
+    for (page,) in spark.read.parquet(f"{brute.FOLDER}/pages.parquet").select("html").limit(60).collect():
+        assert warc.plain_text(page or "") == plain_page(page or "")[0]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a '", "<!", "<!--", "<a href=", "<title>", "<html ", "<script>", '<a ">" ', "</script", "<a x='\">", "&amp", "<a b='"])
+def test_long_odd_pages_end_in_linear_time(piece):
+    page, begin = piece * (1_000_000 // len(piece)), time.process_time()
+    source = {"record_id": "<urn:uuid:1>", "target_uri": "http://a.org/", "date": "d", "payload_digest": None, "block": page.encode()}
+    assert len(warc.derivatives(source)) == 2
+    assert time.process_time() - begin < 8
+
+
+def response(head, payload):
+    return {"record_id": "<urn:uuid:1>", "target_uri": "u", "date": "d", "payload_digest": None, "block": head + payload}
+
+
+@pytest.mark.parametrize("end", [b"\r\n", b"\n"])
+def test_encodings_are_undone(end):
+    body = "<p>héllo</p><p>wörld</p>".encode()
+    head = end.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8"])
+    raw = zlib.compressobj(wbits=-15)
+    cases = {
+        b"": body,
+        b"Content-Encoding: gzip": gzip.compress(body[:9]) + gzip.compress(body[9:]),
+        b"Content-Encoding: deflate": zlib.compress(body),
+        b"Content-encoding: Deflate": raw.compress(body) + raw.flush(),
+        b"Transfer-Encoding: chunked": b"5;x=1" + end + body[:5] + end + b"%x" % (len(body) - 5) + end + body[5:] + end + b"0" + end + end,
+        b"Content-Encoding: x-gzip": body,
+    }
+    both = gzip.compress(body)
+    cases[b"Transfer-Encoding: chunked" + end + b"Content-Encoding: gzip"] = b"%x" % len(both) + end + both + end + b"0" + end + end
+    for header, payload in cases.items():
+        full = head + (end + header if header else b"") + end + end
+        _, text = warc.derivatives(response(full, payload))
+        assert text["content"] == "héllo\nwörld", header
+    (only,) = warc.derivatives(response(head + end + b"Content-Encoding: br" + end + end, b"\x01\x02"))
+    assert only["record_type"] == "metadata"
+    _, cut = warc.derivatives(response(head + end + b"Content-Encoding: gzip" + end + end, gzip.compress(body * 500)[:60]))
+    assert cut["content"] == "" or cut["content"].startswith("héllo")
+
+
+def test_line_ends_in_values_begin_no_header(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/\r\nX-Bad: 1", "<p>x")], "page_id long, url string, html string")
+    for row in warc.as_text(warc.derived(warc.responses(pages, "d"))).collect():
+        assert "WARC-Target-URI: http://a.org/ X-Bad: 1\r\n" in row.warc
+
+
 def test_files_can_be_read_again(spark, tmp_path):
     records = llm.QUERIES["op7_warc_derivatives"](spark, brute.FOLDER)
     warc.write(records, str(tmp_path / "files"))
@@ -298,6 +424,13 @@ def test_near_vectors_of_odd_rows(spark, monkeypatch):
     assert neighbours.near_vectors(table.limit(0)).collect() == []
 
 
+def test_vectors_out_of_range_of_their_squares(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [1.0, 2.0]), (4, [-1e300, 1e300]), (5, [5e-324, 0.0]), (6, [1e308, 0.0])]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_vectors(table).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
 def test_recall_of_the_index():
     draw = np.random.default_rng(8)
     centres = draw.normal(size=(300, 32))
@@ -354,6 +487,44 @@ def test_one_row_of_each_group_of_copies_stays_whole(spark):
     assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter(want)
 
 
+CLASHING = "doc_id long, text string, n_words string, kept string, _row long, clean_text string, component_id string, id int, block_id string"
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    good = "\n".join(" ".join(f"{w}{i}" for i in range(9)) + "." for w in ("one", "two", "three", "four"))
+    rows = [(1, good, "mine", "keepme", 99, "ct", "c", 7, "b"), (None, good + "\nAnother line is here.", None, "k", None, None, "d", 8, None)]
+    docs = spark.createDataFrame(rows, CLASHING)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, brute.FOLDER)
+        assert got.columns == docs.columns, name
+        left = {r.n_words: tuple(r)[2:] for r in got.collect()}
+        assert left.items() <= {r[2]: r[2:] for r in rows}.items() and "mine" in left, name
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    """All stages over odd rows, and what plain versions of the stages leave."""
+    texts = {i: "\n".join(" ".join(f"{w}{i}x{k}" for k in range(9)) + "." for w in ("a", "b", "c", "d", "e")) for i in range(9)}
+    shared = " ".join(f"shared{i}" for i in range(60)) + "."
+    rows = [(i, t) for i, t in texts.items()] + [(20, texts[0]), (None, texts[1]), (3, texts[3]), (21, "too short"), (22, None), (23, "")]
+    rows += [(24 + i, f"Own words start text number {i} here so.\n{shared}\n" + "\n".join(" ".join(f"{w}{i}x{k}" for k in range(9)) + "." for w in "pqrstuvw")) for i in range(2)]
+    folder = tmp_path / "sf"
+    docs = brute.documents(spark, rows)
+    docs.coalesce(2).write.parquet(f"{folder}/documents.parquet")
+    pieces = corpus_pipeline.run(spark, str(folder)).collect()
+    library, kept = Tokenizer.from_file(PATH), {}
+    for i, t in rows:
+        if len(brute.words(t)) >= 10:
+            kept.setdefault(t, []).append(i)
+    named = {t: min(i for i in ids if i is not None) for t, ids in kept.items()}
+    plain = [(i, t) for t, i in named.items()]
+    covered = brute.repeats(plain, 50)
+    want = collections.Counter(
+        (i, len(ids_of(library, " ".join(w for w, gone in zip(own, lost) if not gone))) + 1) for (i, _), (own, lost) in zip(plain, covered)
+    )
+    assert want == collections.Counter({(r.doc_id, r.doc_tokens): 1 for r in pieces})
+    assert sum(r.length for r in pieces) == sum(n for _, n in want)
+
+
 def test_arrow_slices_of_strings():
     from relocate.llm import words
 
