@@ -12,11 +12,18 @@ from relocate.llm.queries import PII_KEY, TOKENIZER
 from relocate.session import saved
 
 
+def _private(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no operator uses, and which name each column has now."""
+    names = [f"_own_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that fail them."""
+    own, name = _private(docs)
     # the row number keeps the filter above the verdict, which would be worked out twice below it
-    judged = quality.judged(docs).withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0")
-    return judged.select(*[judged.clean_text.alias("text") if c == "text" else judged[c] for c in docs.columns])
+    judged = quality.judged(own, text_col=name["text"]).withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0")
+    return judged.select(*[judged["clean_text" if c == name["text"] else c] for c in own.columns]).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,14 +32,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are grouped, not ids: of rows with equal ids, or without, one stays like of any others. It is that of the least
     id. Documents without words stay.
     """
-    row, own = "_row", docs.columns
+    own, name = _private(docs)
+    number, text = name["doc_id"], name["text"]
     # saved, so that a row has the same number whenever it is read
-    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
-    groups = minhash.near_duplicates(rows, shingle=5, percent=80, id_col=row).select(row, "component_id")
-    named = groups.join(rows.select(row, "doc_id"), row)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row)).alias("first")
-    kept = named.groupBy("component_id").agg(first).select(F.col(f"first.{row}").alias(row))
-    return rows.join(kept, row, "left_semi").select(*own)
+    rows = saved(own.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    groups = minhash.near_duplicates(rows, shingle=5, percent=80, id_col="_row", text_col=text).select("_row", "component_id")
+    named = groups.join(rows.select("_row", number), "_row")
+    first = F.min(F.struct(F.col(number).isNull().alias("unnamed"), number, "_row")).alias("first")
+    kept = named.groupBy("component_id").agg(first).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*own.columns).toDF(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
