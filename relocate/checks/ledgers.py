@@ -6,6 +6,7 @@ from relocate.checks import fixtures as fx
 from relocate.checks import query
 from relocate.functions import messages
 from relocate.operators import ledger, load
+from relocate.session import work_folder
 
 _JOB = "split_part(task_name, '/', 5)"
 
@@ -34,7 +35,10 @@ def ledger_scan(spark, folder):
     f"SELECT task_name, status, update_time, seq FROM ({fx.SQL_LEDGER}) WHERE {_JOB} <> 'job1'",
 )
 def ledger_purge(spark, folder):
-    return ledger.purge_job(fx.ledger_events(spark, folder), "job1").drop("msg", "load_id")
+    record = ledger.Ledger(spark, work_folder(spark, "ledger"))
+    fx.ledger_events(spark, folder).write.parquet(record.folder)
+    record.purge("s3://b/stage/job1")
+    return record.history().drop("msg", "load_id")
 
 
 @query(
@@ -68,7 +72,8 @@ SELECT task_name FROM ({fx.SQL_STATE})
 WHERE {_JOB} = 'job1' AND split_part(task_name, '/', 7) = 'tb' AND split_part(task_name, '/', 8) = 'p20240115'""",
 )
 def retry_partition(spark, folder):
-    return ledger.partition_files(_state(spark, folder), "job1", "tb", "p20240115").select("task_name")
+    files = ledger.scan(_state(spark, folder), "s3://b/stage/job1/db/tb")
+    return ledger.folder_files(files, "p20240115").select("task_name")
 
 
 @query(

@@ -34,7 +34,8 @@ def _orders(spark, folder):
     f"SELECT 'orders_' || name AS name, row_count, o_totalprice FROM ({_SRC})",
 )
 def partition_metrics(spark, folder):
-    return metrics.named_for_table(metrics.partition_metrics(_orders(spark, folder), fx.ORDERS), "orders")
+    rows = metrics.partition_metrics(_orders(spark, folder), fx.ORDERS, prints=False)
+    return metrics.named_for_table(rows, "orders")
 
 
 @query(

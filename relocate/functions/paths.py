@@ -48,11 +48,16 @@ def same_file(path: Column | str) -> Column:
 
 
 def folder_value(path: Column | str) -> Column:
-    """Partition that a staged file's folder is named after.
+    """Partition that a staged file's folder is named after, with or without ``pt=`` in front.
 
     The writer escapes some characters in folder names, and a path is encoded as a whole after that.
     """
-    return decoded(decoded(F.regexp_extract(path, f"/{PARTITION_FIELD}=([^/]*)/[^/]*$", 1)))
+    return decoded(decoded(F.regexp_extract(path, f"/(?:{PARTITION_FIELD}=)?([^/]*)/[^/]*$", 1)))
+
+
+def parent_folder(path: Column | str) -> Column:
+    """Folder of a file."""
+    return F.regexp_replace(path, "/[^/]*$", "")
 
 
 def task_fields(path: Column | str) -> list[Column]:

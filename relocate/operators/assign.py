@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relocate.operators.intervals import assign_by_bounds
 from relocate.session import broadcast_below
 from relocate.specs import UNASSIGNED
 
 # Largest catalog that is sent to every executor; beyond it the join shuffles and AQE splits hot keys.
 BROADCAST_ROWS = 100_000
 
+# Level of ranges without a start or an end.
+OPEN = -1
+
 
 def _position(value: Column, kind: T.DataType) -> Column:
     """A bound or key as a whole number in the same order: itself, days, or seconds since 1970."""
@@ -33,12 +37,15 @@ def listed_ranges(bounds: DataFrame, kind: T.DataType) -> DataFrame:
 
     The buckets of a level are ``2 ** level`` wide. A range is listed in the level whose buckets are as wide as itself
     or up to twice as wide, so it touches at most three, and a bucket holds few ranges, however uneven they are.
+    Reversed and empty ranges hold nothing and are left out; ranges with an open end are listed at level ``OPEN``.
     """
     low, high = _position(F.col("_start"), kind), _position(F.col("_end"), kind)
     span = F.try_subtract(high, low)
-    level = F.when(span <= 1, 0).otherwise(F.coalesce(F.ceil(F.log2(span)), F.lit(63))).cast("int")
+    is_open = F.col("_start").isNull() | F.col("_end").isNull()
+    level = F.when(is_open, OPEN).when(span <= 1, 0).otherwise(F.coalesce(F.ceil(F.log2(span)), F.lit(63))).cast("int")
+    bounds = bounds.where(is_open | (F.col("_start") < F.col("_end")))
     levelled = bounds.withColumns({"_level": level, "_low": low, "_high": high})
-    touched = F.expr("sequence(shiftright(_low, _level), shiftright(_high, _level))")
+    touched = F.expr(f"IF(_level = {OPEN}, array(0L), sequence(shiftright(_low, _level), shiftright(_high, _level)))")
     return levelled.withColumn("_bucket", F.explode(touched)).select("_name", "_start", "_end", "_level", "_bucket")
 
 
@@ -49,7 +56,9 @@ def assign_ranges(df: DataFrame, key: str, catalog: DataFrame, name: str = "pt")
     the match is one equality join for each width that occurs, with the bounds as further
     condition; no row is compared with more than a few ranges. Widths are powers of two:
     catalogs of even ranges have one or two, and none has more than 64. Rows outside every
-    range, or without a key, are named ``unassigned``.
+    range, or without a key, are named ``unassigned``; reversed and empty ranges hold none. A
+    catalog with an open end, a NULL bound, is left to ``intervals.assign_by_bounds``, which also
+    takes keys of other types; here they raise.
     """
     kind = df.schema[key].dataType
     bounds = catalog.select(
@@ -57,6 +66,8 @@ def assign_ranges(df: DataFrame, key: str, catalog: DataFrame, name: str = "pt")
     )
     listed = listed_ranges(bounds, kind)
     sizes = sorted(tuple(row) for row in listed.groupBy("_level").agg(F.count("*")).collect())
+    if any(level == OPEN for level, _ in sizes):
+        return assign_by_bounds(df, [key], catalog, name)
     found, out = [], df
     for level, entries in sizes:
         own = listed.where(F.col("_level") == level).select(

@@ -48,9 +48,10 @@ def scan(ledger: DataFrame, prefix: str, without: str | None = None) -> DataFram
     return ledger.where(kept)
 
 
-def purge_job(ledger: DataFrame, job: str) -> DataFrame:
-    """The ledger without the entries of one job."""
-    return ledger.where(~paths.job_of("task_name").eqNullSafe(F.lit(job)))
+def loaded_by(events: DataFrame) -> DataFrame:
+    """``(task_name, load_id)``: the last load that took each file, whatever happened to the file since."""
+    done = events.where((F.col("status") == LOADED) & F.col("load_id").isNotNull())
+    return done.groupBy("task_name").agg(F.max_by("load_id", F.struct("update_time", "seq")).alias("load_id"))
 
 
 def progress(state: DataFrame) -> DataFrame:
@@ -71,13 +72,6 @@ def failed_files(state: DataFrame, job: str) -> DataFrame:
     return job_files(state, job).where(~F.col("status").eqNullSafe(F.lit(LOADED)))
 
 
-def partition_files(state: DataFrame, job: str, table: str, partition: str) -> DataFrame:
-    """Files of one partition of a table, loaded or not."""
-    return job_files(state, job).where(
-        (paths.segment("task_name", paths.TABLE) == table) & (paths.partition_of("task_name") == partition)
-    )
-
-
 def folder_files(state: DataFrame, partition: str) -> DataFrame:
     """Files in the folder of a partition, whose name may be percent-encoded in their paths."""
     return state.where(paths.folder_value("task_name") == partition)
@@ -154,6 +148,11 @@ class Ledger:
     def current(self) -> DataFrame:
         return current_state(self.events()).where(F.col("status") != PURGED)
 
+    def history(self) -> DataFrame:
+        """All events of files that are not purged."""
+        gone = current_state(self.events()).where(F.col("status") == PURGED)
+        return self.events().join(gone, "task_name", "left_anti")
+
     def hold(self, files: DataFrame) -> DataFrame:
         """Fix the outcome of a query on the ledger before the ledger changes under it."""
         return saved(files, "ledger-hold")

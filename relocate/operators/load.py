@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relocate.functions.paths import PARTITION_FIELD, same_file
+from relocate.functions.paths import PARTITION_FIELD, folder_value, parent_folder, same_file
 from relocate.operators import ledger
+from relocate.operators.loads import LoadLog
 from relocate.operators.stage import partition_writer
 from relocate.session import broadcast_below, few_values
 from relocate.sources.staged import with_file
@@ -128,21 +130,47 @@ def read_loaded(
 ) -> DataFrame:
     """Rows of a table that was filled by ``append_once``, or of some of its partitions; those of load ``without`` not.
 
-    With a key the table shows one row per key: the highest version, and of equal ones
-    the row that was loaded last.
+    What the table's log hides is left out, by folder. With a key the table shows one row per key: the highest
+    version, and of equal ones the row that was loaded last. A table that was compacted by that key, and not loaded
+    since, needs no shuffle for it.
     """
-    fields = [T.StructField(LOAD_TIME, T.LongType())]
-    fields += [T.StructField(name, T.StringType()) for name in (LOAD_FIELD, PARTITION_FIELD)]
-    rows = spark.read.schema(T.StructType([*schema.fields, *fields])).parquet(folder)
+    log = LoadLog(spark, folder)
+    rows = counting_rows(raw_rows(spark, folder, schema), log)
     if partitions is not None and partitions != Selector():
         rows = rows.where(partitions.keeps(PARTITION_FIELD) & (F.col(PARTITION_FIELD) != UNASSIGNED))
     if without is not None:
         rows = rows.where(F.col(LOAD_FIELD) != without)
-    if key:
+    if key and not log.is_settled():
         rows = latest_per_key(rows, key, [*version, LOAD_TIME])
     return rows.select(*schema.names)
 
 
+def raw_rows(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """All rows in the folders of a table's loads, with load time, load and partition."""
+    fields = [T.StructField(LOAD_TIME, T.LongType())]
+    fields += [T.StructField(name, T.StringType()) for name in (LOAD_FIELD, PARTITION_FIELD)]
+    return spark.read.schema(T.StructType([*schema.fields, *fields])).parquet(folder)
+
+
+def counting_rows(rows: DataFrame, log: LoadLog) -> DataFrame:
+    """Rows of loads without those that the log hides. A short list is pruned by folder, a longer one joined."""
+    hidden = log.hidden()
+    first = hidden.limit(LITERAL_LIMIT + 1).collect()
+    if len(first) <= LITERAL_LIMIT:
+        whole = [row["load_id"] for row in first if row["pt"] is None]
+        parts = [f"{row['load_id']}/{row['pt']}" for row in first if row["pt"] is not None]
+        if whole:
+            rows = rows.where(~F.col(LOAD_FIELD).isin(*whole))
+        if parts:
+            rows = rows.where(~F.concat_ws("/", LOAD_FIELD, PARTITION_FIELD).isin(*parts))
+        return rows
+    whole = hidden.where("pt IS NULL").select(F.col("load_id").alias(LOAD_FIELD))
+    parts = hidden.where("pt IS NOT NULL").select(F.col("load_id").alias(LOAD_FIELD), F.col("pt").alias(PARTITION_FIELD))
+    count = hidden.count()
+    rows = rows.join(broadcast_below(whole, count, BROADCAST_FILES), LOAD_FIELD, "left_anti")
+    return rows.join(broadcast_below(parts, count, BROADCAST_FILES), [LOAD_FIELD, PARTITION_FIELD], "left_anti")
+
+
 def direct_copy(df: DataFrame, spec: TableSpec, target: Store, table: str | None = None) -> None:
     """Copy the rows a spec covers straight into another store, without staging."""
     target.append(spec.rows(df), table or spec.name)
@@ -202,59 +230,93 @@ def upsert_table(
     partition_writer(merged, max_rows_per_file).parquet(folder)
 
 
-def _load(
-    spark: SparkSession,
-    pending: DataFrame,
-    staged: DataFrame,
-    folder: str,
-    record: ledger.Ledger,
-    label: str | None = None,
-) -> DataFrame:
-    marked = record.hold(wanted_files(file_counts(staged), pending))
+@dataclass(frozen=True)
+class _Target:
+    """Where files are loaded to, and what their loads replace: rows of ``replaced`` ``(load_id, pt, place)``."""
+
+    spark: SparkSession
+    staged: DataFrame
+    folder: str
+    record: ledger.Ledger
+    replaced: DataFrame | None = None
+
+    @property
+    def log(self) -> LoadLog:
+        return LoadLog(self.spark, self.folder)
+
+    def instead_of(self, files: DataFrame, labels: DataFrame) -> DataFrame | None:
+        """What is withdrawn when the files are published under the labels."""
+        if self.replaced is None:
+            return None
+        places = files.select(parent_folder("task_name").alias("place")).distinct()
+        return self.replaced.join(places, "place", "left_semi").join(labels, "load_id", "left_anti").select("load_id", "pt")
+
+
+def _load(pending: DataFrame, target: _Target, label: str | None = None) -> DataFrame:
+    record, log = target.record, target.log
+    marked = record.hold(wanted_files(file_counts(target.staged), pending))
     own_label, taken, left_out = load_plan(marked)
     label = label or own_label
     record.append(pending, ledger.LOADING, load_id=label)
+    log.begin(log.named(label))
     try:
-        rows = rows_of_files(staged, marked, taken, left_out)
-        append_once(rows.drop("task_name"), folder, label)
+        rows = rows_of_files(target.staged, marked, taken, left_out)
+        append_once(rows.drop("task_name"), target.folder, label)
     except Exception as error:
         record.append(pending, ledger.FAILED, str(error), label)
         raise
+    log.publish(log.named(label), target.instead_of(pending, log.named(label)))
     status = file_load_status(pending, marked.select("task_name", "row_count"))
     record.append(status, ledger.LOADED, F.col("row_count").cast("string"), label)
     return status
 
 
-def settle_open_loads(
-    spark: SparkSession, unloaded: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
-) -> bool:
-    """Run loads again that failed or were cut short, each with its own files under its own label.
+def _record_published(begun: DataFrame, target: _Target) -> None:
+    """Outcomes of loads that were published before their record was written in full."""
+    counts = file_counts(target.staged).join(begun, "task_name", "left_semi")
+    status = file_load_status(begun.select("task_name"), counts).join(begun.select("task_name", "load_id"), "task_name")
+    target.record.append(target.record.hold(status), ledger.LOADED, F.col("row_count").cast("string"), F.col("load_id"))
+
+
+def settle_open_loads(unloaded: DataFrame, target: _Target) -> bool:
+    """Finish loads that failed or were cut short, each with its own files under its own label.
 
-    ``unloaded`` comes from ``ledger.unloaded_files`` and is held. All labels go in one job, which replaces the
-    partition folders that they write. Tells whether there were any.
+    ``unloaded`` comes from ``ledger.unloaded_files`` and is held. Loads that were published are only recorded; the
+    others run again, all labels in one job, which replaces the partition folders that they write. Tells whether there
+    were any.
     """
     begun = unloaded.where(F.col("load_id").isNotNull())
+    if few_values(begun, "load_id", 1) == []:
+        return False
+    published = target.log.published().select("load_id")
+    finished = target.record.hold(begun.join(published, "load_id", "left_semi"))
+    if not finished.isEmpty():
+        _record_published(finished, target)
+        begun = target.record.hold(begun.join(finished, "task_name", "left_anti").select(*begun.columns))
     first = few_values(begun, "load_id", 1)
     if first == []:
-        return False
+        return True
     if first is not None:
-        _load(spark, begun.select("task_name"), staged, folder, record, first[0])
+        _load(begun.select("task_name"), target, first[0])
         return True
-    counts = record.hold(file_counts(staged).join(begun, "task_name", "left_semi"))
-    rows = with_file(staged).join(begun.select("task_name", "load_id"), "task_name").drop("task_name")
+    counts = target.record.hold(file_counts(target.staged).join(begun, "task_name", "left_semi"))
+    rows = with_file(target.staged).join(begun.select("task_name", "load_id"), "task_name").drop("task_name")
+    labels = begun.select("load_id").distinct()
+    target.log.begin(labels)
     try:
         (
             rows.withColumn(LOAD_TIME, F.lit(time.time_ns()))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(LOAD_FIELD, PARTITION_FIELD)
-            .parquet(folder)
+            .parquet(target.folder)
         )
     except Exception as error:
-        record.append(begun, ledger.FAILED, str(error), F.col("load_id"))
+        target.record.append(begun, ledger.FAILED, str(error), F.col("load_id"))
         raise
+    target.log.publish(labels, target.instead_of(begun, labels))
     status = file_load_status(begun.select("task_name"), counts).join(begun.select("task_name", "load_id"), "task_name")
-    record.append(status, ledger.LOADED, F.col("row_count").cast("string"), F.col("load_id"))
+    target.record.append(status, ledger.LOADED, F.col("row_count").cast("string"), F.col("load_id"))
     return True
 
 
@@ -265,6 +327,7 @@ def load_files(
     folder: str,
     record: ledger.Ledger,
     present: DataFrame | None = None,
+    replaces: bool = False,
 ) -> DataFrame:
     """Load the landed files that the ledger does not show as loaded, and record every outcome.
 
@@ -272,34 +335,59 @@ def load_files(
     then left to the next load. Where it is no listing, as with announced files, ``present``
     is one: names are matched whatever their scheme and encoding, and a file that does not
     exist is recorded as failed. All files go in one job, into a folder named after the
-    load's label. The label is in the ledger before the rows are written; a load that was
-    cut short at any point is first run again with the same files and label, so that no
-    row is lost or doubled. One load per target table may run at a time. Returns the
-    status of the files that were not loaded when it began.
+    load's label. The label is in the ledger before the rows are written, and they are shown
+    all at once when they are written; a load that was cut short at any point is first
+    finished with the same files and label, so that no row is lost or doubled. One load per
+    target table may run at a time. Returns the status of the files that were not loaded
+    when it began.
+
+    With ``replaces``, for tables without a unique key, a load takes the place of what was
+    loaded before from the same partition folders of the stage and is no longer there, or is
+    loaded again: those rows are withdrawn in the step that shows the new ones. Files that
+    were loaded together with them, and still exist, are loaded again as well.
     """
-    missing = None
+    missing, listed = None, landed
     if present is not None:
         known = record.hold(existing_files(landed, present))
         missing = known.where("NOT found")
         record.append(missing, ledger.FAILED, "no such file")
-        landed = known.where("found")
-    status = _load_files(spark, landed, staged, folder, record)
+        landed, listed = known.where("found"), present
+    status = _load_files(landed, listed if replaces else None, _Target(spark, staged, folder, record))
     if missing is None:
         return status
     nothing = missing.select("task_name", F.lit(0).cast("bigint").alias("row_count")).limit(0)
     return status.unionByName(file_load_status(missing, nothing))
 
 
-def _load_files(
-    spark: SparkSession, landed: DataFrame, staged: DataFrame, folder: str, record: ledger.Ledger
-) -> DataFrame:
+def _load_files(landed: DataFrame, listed: DataFrame | None, target: _Target) -> DataFrame:
+    record = target.record
     unloaded = record.hold(ledger.unloaded_files(landed, record.current()))
     if unloaded.isEmpty():
         return file_load_status(unloaded, unloaded.select("task_name", F.lit(0).cast("bigint").alias("row_count")))
-    if not settle_open_loads(spark, unloaded, staged, folder, record):
-        return _load(spark, unloaded.select("task_name"), staged, folder, record)
+    if listed is not None:
+        unloaded, target = _replacing(unloaded, listed, target)
+    if not settle_open_loads(unloaded, target):
+        return _load(unloaded.select("task_name"), target)
     pending = unloaded.where(F.col("load_id").isNull()).select("task_name")
     if not pending.isEmpty():
-        _load(spark, pending, staged, folder, record)
+        _load(pending, target)
     counts = record.current().select("task_name", F.col("msg").cast("bigint").alias("row_count"))
     return record.hold(file_load_status(unloaded.select("task_name"), counts.join(unloaded, "task_name", "left_semi")))
+
+
+def _replacing(unloaded: DataFrame, listed: DataFrame, target: _Target) -> tuple[DataFrame, _Target]:
+    """The files to load, with those that have to be loaded again beside them, and the target with what they replace."""
+    record = target.record
+    places = unloaded.select(parent_folder("task_name").alias("place")).distinct()
+    earlier = ledger.loaded_by(record.events()).withColumn("place", parent_folder("task_name"))
+    earlier = record.hold(earlier.join(places, "place", "left_semi"))
+    if earlier.isEmpty():
+        return unloaded, target
+    again = unloaded.select("task_name", F.lit(True).alias("again"))
+    here = listed.select("task_name", F.lit(True).alias("here"))
+    judged = earlier.join(again, "task_name", "left").join(here, "task_name", "left")
+    stale = judged.where("again OR here IS NULL").select("load_id", "place", folder_value("task_name").alias("pt")).distinct()
+    stale = record.hold(stale)
+    beside = judged.where("again IS NULL AND here").join(stale, ["load_id", "place"], "left_semi").select("task_name")
+    more = beside.select("task_name", F.lit(None).cast("string").alias("load_id"))
+    return record.hold(unloaded.unionByName(more)), replace(target, replaced=stale)

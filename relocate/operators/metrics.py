@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relocate.functions.prints import joined_sum, limb_sums
 from relocate.specs import TableSpec, as_column
 
 # Fraction digits of the sums of floating-point metrics. Verdicts do not depend on it: they compare prints.
 FLOAT_SCALE = 6
 
-_PRINT = T.DecimalType(38, 0)
-
 
 def sum_type(kind: T.DataType) -> T.DecimalType:
     """Type in which values of a numeric type are added without regard to their order."""
@@ -43,15 +42,16 @@ def value_print(value: Column, kind: T.DataType) -> Column:
     Values that ``kind`` cannot hold exactly, NaN and infinities included, stand for themselves.
     """
     if isinstance(kind, T.DoubleType):
-        return F.xxhash64(value.cast("double") + F.lit(0.0)).cast(_PRINT)
+        return F.when(value.isNotNull(), F.xxhash64(value.cast("double") + F.lit(0.0)))
     held = value.try_cast(kind)
     exact = held.isNotNull() & (held.cast("double") == value.cast("double"))
-    return F.when(value.isNotNull(), F.when(exact, F.xxhash64(held)).otherwise(F.xxhash64(F.lit("apart"), value.cast("string")))).cast(_PRINT)
+    return F.when(value.isNotNull(), F.when(exact, F.xxhash64(held)).otherwise(F.xxhash64(F.lit("apart"), value.cast("string"))))
 
 
 def _total(column: Column, kind: T.DecimalType) -> Column:
-    """Sum of a column of any numeric type; NULL where it does not fit."""
-    return F.try_sum(column.try_cast(kind)).cast(T.DecimalType(38, kind.scale))
+    """Sum of a column of any numeric type; NULL where the sum, or one of the values, does not fit."""
+    held = column.try_cast(kind)
+    return F.when(F.count(column) == F.count(held), F.try_sum(held)).cast(T.DecimalType(38, kind.scale))
 
 
 def metric_columns(df: DataFrame, spec: TableSpec) -> dict[str, tuple[Column, T.DataType]]:
@@ -66,15 +66,15 @@ def metric_sums(df: DataFrame, spec: TableSpec) -> list[Column]:
     return [F.count("*").alias("row_count"), *sums]
 
 
-def partition_metrics(df: DataFrame, spec: TableSpec, prints: bool = False) -> DataFrame:
+def partition_metrics(df: DataFrame, spec: TableSpec, prints: bool = True) -> DataFrame:
     """Count and sums of every partition in one job; partial sums per task go through the shuffle.
 
-    ``prints`` adds ``<metric>_print``, a sum over the values' prints that tells apart what equal sums hide. It is for
-    tables whose metrics have the same types.
+    ``prints`` adds ``<metric>_print``, a sum over the values' prints that tells apart what equal sums hide, or what
+    does not fit a sum. Tables saved at different times are compared by it; their metrics must have the same types.
     """
     rows = spec.rows(df)
     extra = {
-        f"{metric}_print": F.sum(value_print(column, common_type(kind, kind)))
+        f"{metric}_print": joined_sum(limb_sums(value_print(column, common_type(kind, kind)), F.lit(1)))
         for metric, (column, kind) in metric_columns(rows, spec).items()
         if prints
     }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relocate.functions.prints import limb_sums
 from relocate.operators.metrics import common_sum_type, common_type, fingerprint, metric_columns, value_print
 from relocate.specs import TableSpec
 
@@ -23,19 +24,26 @@ def _verdict(pairs: Sequence[tuple[Column, Column]], src_rows: Column, tgt_rows:
     )
 
 
-def compare_metrics(source: DataFrame, target: DataFrame, both_sides: bool = False) -> DataFrame:
+def compare_metrics(
+    source: DataFrame, target: DataFrame, both_sides: bool = False, sums_only: bool = False
+) -> DataFrame:
     """Match two metric tables by name, such as ones saved at different times.
 
     Columns: ``name, src_<column>, tgt_<column>, status``. Partitions of the target alone
-    are reported (EXTRA) with ``both_sides``.
+    are reported (EXTRA) with ``both_sides``. The verdict rests on the prints of the values;
+    tables without them raise, as equal sums may hide differences, unless ``sums_only``.
     """
     values = [column for column in source.columns if column != "name"]
+    shown = [column for column in values if not column.endswith("_print")]
+    if not sums_only and (bare := [c for c in shown if c != "row_count" and f"{c}_print" not in {*values} & {*target.columns}]):
+        raise ValueError(f"no prints of {', '.join(bare)}: equal sums prove nothing")
     src = source.select("name", *[F.col(column).alias(f"src_{column}") for column in values])
     tgt = target.select("name", *[F.col(column).alias(f"tgt_{column}") for column in values])
     pairs = [(F.col(f"src_{column}"), F.col(f"tgt_{column}")) for column in values]
-    return src.join(tgt, "name", "full_outer" if both_sides else "left").withColumn(
-        "status", _verdict(pairs, F.col("src_row_count"), F.col("tgt_row_count"))
-    )
+    both = src.join(tgt, "name", "full_outer" if both_sides else "left")
+    status = _verdict(pairs, F.col("src_row_count"), F.col("tgt_row_count")).alias("status")
+    sides = [f"{side}_{column}" for side in ("src", "tgt") for column in shown]
+    return both.select("name", *sides, status)
 
 
 def reconcile(source: DataFrame, target: DataFrame, spec: TableSpec, both_sides: bool = False) -> DataFrame:
@@ -57,33 +65,28 @@ def reconcile(source: DataFrame, target: DataFrame, spec: TableSpec, both_sides:
         for metric, (column, _) in metrics.items():
             columns.append(column.try_cast(common_sum_type(*kinds[metric])).alias(metric))
             columns.append(value_print(column, common_type(*kinds[metric])).alias(f"_print_{metric}"))
-        return spec.rows(df).select(spec.group_column().alias("_group"), F.lit(of_source).alias("of_source"), *columns)
+        weight = F.lit(1 if of_source else -1).cast("bigint")
+        return spec.rows(df).select(spec.group_column().alias("_group"), weight.alias("_weight"), *columns)
 
-    def added(add, name: str, of_source: bool) -> Column:
-        return add(F.when(F.col("of_source") if of_source else ~F.col("of_source"), F.col(name)))
+    def total(metric: str, own: Column) -> Column:
+        unfit = F.coalesce(F.bool_or(own & F.col(f"_print_{metric}").isNotNull() & F.col(metric).isNull()), F.lit(False))
+        return F.when(~unfit, F.try_sum(F.when(own, F.col(metric)))).cast(T.DecimalType(38, common_sum_type(*kinds[metric]).scale))
 
-    def total(metric: str, of_source: bool) -> Column:
-        return added(F.try_sum, metric, of_source).cast(T.DecimalType(38, common_sum_type(*kinds[metric]).scale))
+    def surplus(metric: str) -> list[Column]:
+        """What the source has more than the target, in values and in their prints: all 0 where both hold the same."""
+        value, weight = F.col(f"_print_{metric}"), F.col("_weight")
+        return [F.sum(F.when(value.isNotNull(), weight)), *limb_sums(value, weight)]
 
     both = side(source, ours, True).union(side(target, theirs, False)).groupBy("_group")
-    sides = (("src", True), ("tgt", False))
-    sums = [total(metric, of_source).alias(f"{prefix}_{metric}") for metric in kinds for prefix, of_source in sides]
-    prints = [
-        F.struct(added(F.count, f"_print_{metric}", of_source), added(F.sum, f"_print_{metric}", of_source)).alias(
-            f"_{prefix}_print_{metric}"
-        )
-        for metric in kinds
-        for prefix, of_source in sides
-    ]
+    sides = (("src", F.col("_weight") > 0), ("tgt", F.col("_weight") < 0))
+    sums = [total(metric, own).alias(f"{prefix}_{metric}") for metric in kinds for prefix, own in sides]
+    prints = [F.array(*[F.coalesce(s, F.lit(0).cast("bigint")) for s in surplus(metric)]).alias(f"_off_{metric}") for metric in kinds]
     counted = both.agg(
-        F.nullif(F.count_if(F.col("of_source")), F.lit(0)).alias("src_rows"),
-        F.nullif(F.count_if(~F.col("of_source")), F.lit(0)).alias("tgt_rows"),
-        *sums,
-        *prints,
+        *[F.nullif(F.count_if(own), F.lit(0)).alias(f"{prefix}_rows") for prefix, own in sides], *sums, *prints
     )
     shown = counted.columns[1 : 3 + len(sums)]
     pairs = [(F.col("src_rows"), F.col("tgt_rows"))]
-    pairs += [(F.col(f"_src_print_{metric}"), F.col(f"_tgt_print_{metric}")) for metric in kinds]
+    pairs += [(F.array_max(F.transform(f"_off_{metric}", F.abs)), F.lit(0).cast("bigint")) for metric in kinds]
     if not both_sides:
         counted = counted.where(F.col("src_rows").isNotNull())
     status = _verdict(pairs, F.col("src_rows"), F.col("tgt_rows"))

@@ -13,6 +13,9 @@ from relocate.specs import Layout, TableSpec
 FIXED_PIECES = 16
 
 
+# Column that holds a row's partition by a catalog; it is not staged.
+CATALOG_FIELD = "_catalog_partition"
+
 # Names of columns that staging and loading add themselves.
 RESERVED = {PARTITION_FIELD, "task_name", "load_id", "loaded_at", "_rank", "_newer", "_group"}
 
@@ -21,7 +24,7 @@ def staged_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that the spec covers, with their partition name in ``pt``. A table with a reserved column name raises."""
     if clash := sorted(RESERVED & {column.lower() for column in df.columns}):
         raise ValueError(f"{spec.name} has columns of reserved names: {', '.join(clash)}")
-    return spec.rows(df).withColumn(PARTITION_FIELD, spec.partition_column())
+    return spec.rows(df).withColumn(PARTITION_FIELD, spec.partition_column()).drop(CATALOG_FIELD)
 
 
 def gathered(df: DataFrame, *columns: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from relocate.functions import paths
 from relocate.functions.paths import PARTITION_FIELD, stage_folder
 from relocate.operators import ledger, load, reconcile, stage
+from relocate.operators.loads import LoadLog
 from relocate.sources import listing, staged
 from relocate.specs import Layout, TableSpec
 from relocate.streaming.increments import HighWater, extract_increment, high_water, late_rows
@@ -36,9 +38,14 @@ class Job:
     layout: Layout = Layout()
     gather: bool = True
     stage_format: staged.StageFormat = staged.PARQUET
+    step: str = ""  # of a sync, which stages beside the table's own files
+
+    @property
+    def folder(self) -> str:
+        return f"{self.stage_root.rstrip('/')}/{self.name}"
 
     def stage(self, table: str) -> str:
-        return stage_folder(self.stage_root, self.name, self.db, table)
+        return stage_folder(self.stage_root, self.name, self.db, f"{table}@{self.step}" if self.step else table)
 
     def target(self, table: str) -> str:
         return f"{self.target_root.rstrip('/')}/{self.db}/{table}"
@@ -62,7 +69,7 @@ def export_table(df: DataFrame, spec: TableSpec, job: Job) -> DataFrame:
     record.append(files.join(known, "task_name", "left_anti"), ledger.UPLOADED)
     replaced = known.where(~F.col("status").eqNullSafe(F.lit(ledger.LOADED))).join(files, "task_name", "left_anti")
     record.append(replaced, ledger.PURGED)
-    return staged_counts(df.sparkSession, df.schema, spec, job)
+    return staged_counts(df.sparkSession, df.drop(stage.CATALOG_FIELD).schema, spec, job)
 
 
 def staged_counts(spark: SparkSession, schema: T.StructType, spec: TableSpec, job: Job) -> DataFrame:
@@ -76,7 +83,7 @@ def import_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job
     folder = job.stage(spec.name)
     landed = listing.list_files(spark, folder)
     rows = staged.read_staged(spark, folder, schema, job.stage_format)
-    return load.load_files(spark, landed, rows, job.target(spec.name), job.ledger(spark))
+    return load.load_files(spark, landed, rows, job.target(spec.name), job.ledger(spark), replaces=not spec.unique_key)
 
 
 def import_announced(
@@ -89,7 +96,8 @@ def import_announced(
     folder = job.stage(spec.name)
     own = announced.where(F.regexp_replace(paths.same_file("task_name"), "/+", "/").contains(_tail(folder)))
     rows = staged.read_staged(spark, folder, schema, job.stage_format)
-    return load.load_files(spark, own, rows, job.target(spec.name), job.ledger(spark), listing.list_files(spark, folder))
+    present, target = listing.list_files(spark, folder), job.target(spec.name)
+    return load.load_files(spark, own, rows, target, job.ledger(spark), present, replaces=not spec.unique_key)
 
 
 def _tail(folder: str) -> str:
@@ -121,17 +129,18 @@ def retry(
 ) -> DataFrame:
     """Load files again: those not loaded, all of them (``force``), or all of one partition.
 
-    Files keep their rows apart by load, so a file that was loaded before is loaded again as
-    a further copy; tables with a unique key show each row once.
+    Files keep their rows apart by load. A file that was loaded before is loaded again as a further copy; tables with a
+    unique key show each row once, and in others the earlier copy is withdrawn in the step that shows the new one.
     """
-    if (partition is not None or force) and not spec.unique_key:
-        raise ValueError(f"{spec.name} has no unique key: loading a loaded file again would double its rows")
     folder = job.stage(spec.name)
     record = job.ledger(spark)
     rows = staged.read_staged(spark, folder, schema, job.stage_format)
     known = ledger.scan(record.current(), folder)
-    unloaded = record.hold(ledger.unloaded_files(known, known))
-    load.settle_open_loads(spark, unloaded, rows, job.target(spec.name), record)
+    present = listing.list_files(spark, folder)
+    target, replaces = job.target(spec.name), not spec.unique_key
+    begun = record.hold(ledger.unloaded_files(known, known).where(F.col("load_id").isNotNull()).select("task_name"))
+    if not begun.isEmpty():
+        load.load_files(spark, begun, rows, target, record, present, replaces)
     if partition is not None:
         chosen = ledger.folder_files(ledger.scan(record.current(), folder), partition)
     else:
@@ -140,8 +149,7 @@ def retry(
     if partition is not None and files.isEmpty():
         raise ValueError(f"{spec.name} has no files of partition {partition!r}")
     record.append(files, ledger.RETRY)
-    present = listing.list_files(spark, folder)
-    return load.load_files(spark, files, rows, job.target(spec.name), record, present)
+    return load.load_files(spark, files, rows, target, record, present, replaces)
 
 
 def sync_table(
@@ -161,15 +169,18 @@ def sync_table(
     low, high = marks.last(df, insert_key, spec.name), high or high_water(rows, insert_key)
     steps = marks.steps(spec.name)
     mark = hashlib.sha256(f"{steps} {low}".encode()).hexdigest()[:16]
-    step = replace(job, name=f"{job.name}-{mark}")
+    step, label, target = replace(job, step=mark), f"{job.name}-{mark}", job.target(spec.name)
     # what a cut-short run of this very step loaded is replaced below
-    done = load.read_loaded(spark, job.target(spec.name), df.schema, without=step.name) if steps else df.limit(0)
+    done = load.read_loaded(spark, target, df.schema, without=label) if steps else df.limit(0)
     increment = extract_increment(rows, insert_key, low, high).unionByName(late_rows(rows, done, insert_key, low))
     if high == low and increment.isEmpty():
         return increment.groupBy(spec.partition_column().alias("partition")).agg(F.count("*").alias("row_count"))
     report = export_table(increment, spec, step)
     files = staged.read_staged(spark, step.stage(spec.name), df.schema, job.stage_format)
-    load.append_once(files, job.target(spec.name), step.name)
+    log = LoadLog(spark, target)
+    log.begin(log.named(label))
+    load.append_once(files, target, label)
+    log.publish(log.named(label))
     landed = listing.list_files(spark, step.stage(spec.name))
     job.ledger(spark).append(landed, ledger.LOADED)
     marks.advance(spec.name, high if high is not None else low)
@@ -182,5 +193,15 @@ def validate(tables: Sequence[tuple[TableSpec, DataFrame, DataFrame]]) -> DataFr
 
 
 def purge(spark: SparkSession, job: Job) -> None:
-    """Take a job's files out of the ledger."""
-    job.ledger(spark).purge(f"{job.stage_root.rstrip('/')}/{job.name}")
+    """Take a job's files out of the ledger, and the rows that it imported out of the target tables.
+
+    The rows are withdrawn first, so that files that are imported again never double them. A job that was cut short in
+    between is purged again. Rows that a sync loaded stay, as does its high-water mark.
+    """
+    record = job.ledger(spark)
+    loads = ledger.loaded_by(record.events()).join(ledger.scan(record.current(), job.folder), "task_name", "left_semi")
+    table = F.regexp_extract(paths.same_file("task_name"), f"/{re.escape(job.name)}/{re.escape(job.db)}/([^/]+)/", 1)
+    loads = record.hold(loads.select(table.alias("table"), "load_id").distinct())
+    for row in loads.select("table").distinct().collect():
+        LoadLog(spark, job.target(row["table"])).withdraw(loads.where(F.col("table") == row["table"]).select("load_id"))
+    record.purge(job.folder)

@@ -51,12 +51,12 @@ def numeric_catalog(df: DataFrame, key: str, width: int, origin: int = 0) -> Dat
     )
 
 
-def parsed_catalog(listing: DataFrame) -> DataFrame:
+def parsed_catalog(listing: DataFrame, compound: bool = False) -> DataFrame:
     """Catalog from a partition listing with texts.
 
     ``listing`` has ``name, key, rowcount`` and the texts ``range`` and ``list``, of which
     one is filled. Entries with neither are skipped. Bounds stay text; ``dtype`` says
-    whether they are numbers.
+    whether they are numbers. A key of several columns raises unless ``compound``.
     """
     text = F.coalesce(F.nullif(F.col("range"), F.lit("")), F.nullif(F.col("list"), F.lit("")))
     is_range = F.length(F.coalesce("range", F.lit(""))) > 0
@@ -64,7 +64,9 @@ def parsed_catalog(listing: DataFrame) -> DataFrame:
     unsupported = F.raise_error(F.concat(F.lit("partition key of several columns: "), "key"))
     return listing.where(text.isNotNull()).select(
         "name",
-        F.when(F.contains("key", F.lit(",")), unsupported.cast("string")).otherwise(F.col("key")).alias("key"),
+        F.col("key")
+        if compound
+        else F.when(F.contains("key", F.lit(",")), unsupported.cast("string")).otherwise(F.col("key")).alias("key"),
         F.when(is_range, "range").otherwise("list").alias("ptype"),
         bounds.bound_type(text).alias("dtype"),
         F.when(is_range, lower).alias("start"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from relocate.operators import ledger
 from relocate.operators.load import append_once
+from relocate.operators.loads import LoadLog
 from relocate.sources.staged import PARQUET, StageFormat, staged_schema, with_file
 
 
@@ -29,7 +30,7 @@ def stream_load(
 
     The checkpoint remembers which files were read. Each micro-batch writes into a folder
     named after the checkpoint and the batch, so a batch that is replayed after a failure
-    replaces its own rows. Files are recorded as loaded after their rows are written.
+    replaces its own rows; they are shown all at once. Files are recorded as loaded after that.
     """
     reader = spark.readStream.format(stage_format.name).schema(staged_schema(schema)).options(**stage_format.options)
     if max_bytes_per_trigger is not None:
@@ -40,7 +41,10 @@ def stream_load(
     stream_name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_once(batch.drop("task_name"), target_folder, f"{stream_name}-{batch_id}")
+        log, label = LoadLog(spark, target_folder), f"{stream_name}-{batch_id}"
+        log.begin(log.named(label))
+        append_once(batch.drop("task_name"), target_folder, label)
+        log.publish(log.named(label))
         if record is not None:
             counts = batch.groupBy("task_name").agg(F.count("*").alias("row_count"))
             record.append(counts, ledger.LOADED, F.col("row_count").cast("string"))

@@ -13,6 +13,7 @@ QUERIES = dict(checks.QUERIES)
 
 # Queries whose plan is made of stored results; building them runs streams or whole jobs.
 LONG = {"sync_ties_and_nulls", "load_announced_files", "load_append", "load_append_delimited", "retry_replay", "relocate_and_validate", "sync_increments", "stream_load", "stream_rerun_noop"}
+LONG |= {"relocate_by_catalog", "purge_and_reload", "export_again_without_key", "compact_by_size", "apply_changes", "apply_late_changes"}
 
 
 def plan(df):
@@ -66,5 +67,15 @@ def test_filter_is_pushed_with_two_columns(spark):
     assert "o_custkey" not in text
 
 
+def test_compacted_table_is_read_by_key_without_a_shuffle(spark):
+    text = plan(QUERIES["read_after_compaction"](spark, FOLDER))
+    assert "Exchange" not in text and "Window" not in text
+
+
+def test_bounds_are_found_by_hash_joins_without_a_shuffle(spark):
+    text = plan(QUERIES["assign_many_text_ranges"](spark, FOLDER))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_bucketed_table_needs_no_shuffle(spark):
     assert "Exchange" not in plan(QUERIES["stage_bucketed"](spark, FOLDER))

@@ -86,7 +86,7 @@ def test_missing_side_raises(spark):
 def test_metric_types(spark):
     rows = spark.sql("SELECT 'a' AS p, 9223372036854775807L AS big, CAST(1.005 AS DECIMAL(10,3)) AS exact, 2.5D AS v, 3 AS n")
     spec = TableSpec("t", partition="p", metrics={"big": "big", "exact": "exact", "twice": F.col("v") * 2, "n": "n"})
-    result = metrics.partition_metrics(rows.union(rows), spec)
+    result = metrics.partition_metrics(rows.union(rows), spec, prints=False)
     types = {f.name: f.dataType.simpleString() for f in result.schema}
     assert types == {
         "name": "string",
@@ -170,13 +170,44 @@ def test_verdicts_see_every_digit(spark, source, target, kinds, expected):
     assert verdict(spark, source, target, kinds) == expected
 
 
-def test_saved_metrics_can_carry_prints(spark):
-    source, target = table(spark, [("a", 1.0), ("a", 3.0)]), table(spark, [("a", 2.0), ("a", 2.0)])
-    plain, printed = (
-        statuses(reconcile.compare_metrics(*[metrics.partition_metrics(df, SPEC, prints) for df in (source, target)]))["a"]
-        for prints in (False, True)
-    )
-    assert (plain, printed) == ("MATCH", "NOT MATCH")
+def saved_verdict(spark, source, target, **how):
+    tables = [table(spark, [("a", v) for v in values]) for values in (source, target)]
+    prints = not how.get("sums_only", False)
+    return statuses(reconcile.compare_metrics(*[metrics.partition_metrics(df, SPEC, prints) for df in tables], **how))["a"]
+
+
+@pytest.mark.parametrize(
+    "source, target, expected",
+    [
+        ([1.0, 3.0], [2.0, 2.0], "NOT MATCH"),
+        ([1e25, 1.0], [2e25, 1.0], "NOT MATCH"),
+        ([float("nan"), 1.0], [5e30, 1.0], "NOT MATCH"),
+        ([1e-7], [2e-7], "NOT MATCH"),
+        ([float("nan"), 1.0], [1.0, float("nan")], "MATCH"),
+        ([None, 1.0], [1.0], "NOT MATCH"),
+        ([None, None], [None, None], "MATCH"),
+    ],
+)
+def test_saved_metrics_see_every_digit(spark, source, target, expected):
+    assert saved_verdict(spark, source, target) == expected
+
+
+def test_saved_sums_alone_give_no_verdict(spark):
+    bare = metrics.partition_metrics(table(spark, [("a", 1.0)]), SPEC, prints=False)
+    with pytest.raises(ValueError, match="no prints of v"):
+        reconcile.compare_metrics(bare, bare)
+    assert saved_verdict(spark, [1.0, 3.0], [2.0, 2.0], sums_only=True) == "MATCH"
+
+
+def test_sum_with_a_value_that_does_not_fit_is_null(spark):
+    for values in ([1e25, 1.0], [float("nan"), 1.0], [float("inf"), 1.0]):
+        rows = table(spark, [("a", v) for v in values])
+        assert metrics.partition_metrics(rows, SPEC).first()["v"] is None
+        assert metrics.table_metrics(rows, SPEC).first()["v"] is None
+        row = reconcile.reconcile(rows, rows, SPEC).first()
+        assert (row["src_v"], row["tgt_v"], row["status"]) == (None, None, "MATCH")
+    fits = table(spark, [("a", None), ("a", 2.5)])
+    assert str(metrics.partition_metrics(fits, SPEC).first()["v"]) == "2.500000"
 
 
 def test_differing_types_are_named(spark):
