@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
@@ -30,6 +31,9 @@ BLOCK_BYTES = 8 << 20
 BROADCAST_BYTES = 32 << 20
 #: Longer texts are encoded in parts of about so many characters, cut where neither tokenizer can merge across.
 PART_CHARS = 1 << 18
+WORDS_KEPT = 300_000
+#: A blank beside other white space or at an end of a text.
+_UNEVEN = re.compile(r"\s | $|^ ")
 _CUT = re.compile("[A-Za-z0-9](?= [A-Za-z0-9])")
 _MARK = 2**32 - 1
 
@@ -94,8 +98,13 @@ class ByteTokens(_Tokenizer):
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a blank and the text."""
-        found = [self._coding.encode_to_numpy(" " + p if i == 0 else p, disallowed_special=()) for i, p in enumerate(_parts(text))]
-        return np.concatenate(found).astype(np.uint32)
+        found = [self._coding.encode_ordinary(" " + p if i == 0 else p) for i, p in enumerate(_parts(text))]
+        return np.concatenate([np.array(f, np.uint32) for f in found])
+
+    def each(self, words: list[str]) -> list[bytes]:
+        """Ids of a blank and each word, as bytes."""
+        encode = self._coding.encode_ordinary
+        return [array("I", encode(" " + w)).tobytes() for w in words]
 
 
 class PieceTokens(_Tokenizer):
@@ -113,13 +122,17 @@ class PieceTokens(_Tokenizer):
             ]
         )
         # no piece goes on across a blank, so parts that start with one are encoded as they are within the whole
-        self._apart = not any("▁" in n.lstrip("▁") for n in names)
+        self.apart = not any("▁" in n.lstrip("▁") for n in names)
 
     def encode(self, text: str) -> np.ndarray:
-        parts = list(_parts(text)) if self._apart else [text]
+        parts = list(_parts(text)) if self.apart else [text]
         found = self._model.encode([p if i == 0 else p[1:] for i, p in enumerate(parts)], num_threads=1)
         return np.concatenate([np.array(f, np.uint32) for f in found])
 
+    def each(self, words: list[str]) -> list[bytes]:
+        """Ids of a blank and each word, as bytes; words are not empty."""
+        return [array("I", f).tobytes() for f in self._model.encode(words, num_threads=1)] if words else []
+
 
 @cache
 def tokenizers(byte_path: str, piece_path: str) -> tuple[ByteTokens, PieceTokens]:
@@ -134,6 +147,31 @@ class Aligner:
 
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = tokenizers(byte_path, piece_path)
+        self._known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+
+    def encoded(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of a blank and each whole text by both; none of null and empty texts.
+
+        No token of either reaches over a blank that follows any other character, so words between such blanks are
+        encoded by themselves, once, and remembered within bounds. Texts with other white space beside a blank, or a
+        blank at an end, are encoded at once.
+        """
+        split = [t.split(" ") if t and self.b.apart and not _UNEVEN.search(t) else None for t in texts]
+        out = []
+        for coder, known in zip((self.a, self.b), self._known):
+            if len(known) > WORDS_KEPT:
+                known.clear()
+            new = list({w for words in split if words for w in words if w not in known})
+            known.update(zip(new, coder.each(new)))
+            find = known.__getitem__
+            none = np.zeros(0, np.uint32)
+            out.append(
+                [
+                    np.frombuffer(b"".join(map(find, words)), np.uint32) if words else coder.encode(t) if t else none
+                    for t, words in zip(texts, split)
+                ]
+            )
+        return out[0], out[1]
 
     def aligned(self, windows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Groups of each window as text, how many links it has, and all links as numbers ``a << 32 | b``.
@@ -174,8 +212,7 @@ class Aligner:
 
     def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
         """Tokens of each text by both, windows of each text, the different windows, and which of them each one is."""
-        ids_a = [self.a.encode(t) if t else np.zeros(0, np.uint32) for t in texts]
-        ids_b = [self.b.encode(t) if t else np.zeros(0, np.uint32) for t in texts]
+        ids_a, ids_b = self.encoded(texts)
         for i, text in enumerate(texts):
             if text:
                 whole = np.frombuffer(b" " + text.encode(), np.uint8)

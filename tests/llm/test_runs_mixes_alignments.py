@@ -306,8 +306,16 @@ def test_alignment_of_odd_rows(spark, libraries, monkeypatch):
 def test_parts_of_long_texts_are_encoded_as_the_whole(libraries, monkeypatch):
     monkeypatch.setattr(align, "PART_CHARS", 50)
     first, second = align.tokenizers(BYTE_TOKENIZER, PIECE_TOKENIZER)
-    for _, text in [*brute.TEXTS, *ODD]:
+    aligner = align.Aligner(BYTE_TOKENIZER, PIECE_TOKENIZER)
+    draw = random.Random(6)
+    pieces = ["a", "Word", "é", "漢字", "\n", " ", "  ", "\t", "\x85", "\x1f", "\u2028", "▁", "12", "'s", "!?", "\u00a0", "🙂", "zz-top"]
+    mixtures = ["".join(draw.choice(pieces + [" "] * 6) for _ in range(draw.randint(1, 40))) for _ in range(3000)]
+    for text in [*(t for _, t in [*brute.TEXTS, *ODD]), *mixtures]:
         if text:
+            (a,), (b,) = aligner.encoded([text])
+            assert a.tolist() == libraries[0].encode(" " + text, add_special_tokens=False).ids
+            if "▁" not in text:
+                assert b.tolist() == libraries[1].encode(text)
             assert first.encode(text).tolist() == libraries[0].encode(" " + text, add_special_tokens=False).ids
             assert second.encode(text).tolist() == libraries[1].encode(text)
 
