@@ -1,9 +1,10 @@
 """Words of many texts at once, as arrays: borders, hashes, and hashes of runs of words.
 
-A word is a run of bytes other than 0x20 and 0x09-0x0D. Words are told apart by their bytes; each different one has two
-64-bit hashes, halves of a BLAKE2b digest, the same on every machine. So two words that differ share one half with a
-chance of 2**-64, whatever they are made of, and both with one of 2**-128. Hashes of runs are mixed from those of their
-words, one half at a time, and so are as independent of each other.
+A word is a run of bytes other than 0x20 and 0x09-0x0D. Each has two 64-bit hashes, the same on every machine: the sum
+of a random number for each byte at each place, from one table or another, and for words of more than ``PLACES`` bytes
+half of a BLAKE2b digest. No arithmetic ties the numbers of a table together, so two words that differ share one hash
+with a chance of 2**-64, whatever they are made of, and both with one of 2**-128. Hashes of runs are mixed from those
+of their words, one kind at a time, and so are as independent of each other.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
+PLACES = 64
+_HASH_BYTES = 1 << 19
 
+_TABLES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, (2, PLACES << 8), dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
@@ -41,19 +45,35 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
-    _found: dict[bool, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    _found: dict[tuple[bool, bool], np.ndarray] = field(default_factory=dict)
 
     def hashes(self, lower: bool = False, second: bool = False) -> np.ndarray:
         """The first or second hash of each word, as it stands or with A-Z lower-cased."""
-        if lower not in self._found:
-            content = self.data[~_BLANK[self.data]]
-            offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)]).astype(np.int32)
-            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[content] if lower else content)]
-            coded = pa.Array.from_buffers(pa.binary(), len(self.starts), buffers).dictionary_encode()
-            digests = b"".join([blake2b(word, digest_size=16).digest() for word in coded.dictionary.to_pylist()])
-            self._found[lower] = coded.indices.to_numpy(), np.frombuffer(digests, "<u8").reshape(-1, 2)
-        words, halves = self._found[lower]
-        return halves[words, int(second)]
+        if (lower, second) not in self._found:
+            self._found[lower, second] = self._hashes(lower, second)
+        return self._found[lower, second]
+
+    def _hashes(self, lower: bool, second: bool) -> np.ndarray:
+        table, sizes = _TABLES[int(second)], (self.ends - self.starts).astype(np.int32)
+        out, at = np.empty(len(sizes), np.uint64), 0
+        while at < len(out):
+            # some words, and their bytes in a row
+            to = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + _HASH_BYTES, "right")))
+            some = self.data[self.starts[at] : self.ends[to - 1]]
+            some = some[~_BLANK[some]]
+            ends = np.cumsum(sizes[at:to], dtype=np.int32)
+            begins = ends - sizes[at:to]
+            place = np.arange(len(some), dtype=np.int32) - np.repeat(begins, sizes[at:to])
+            np.minimum(place, PLACES - 1, out=place)
+            sums = np.zeros(len(some) + 1, np.uint64)
+            np.cumsum(table[place << 8 | (_LOWER[some] if lower else some)], out=sums[1:])
+            out[at:to] = sums[ends] - sums[begins]
+            at = to
+        for i in np.flatnonzero(sizes > PLACES):
+            word = self.data[self.starts[i] : self.ends[i]]
+            digest = blake2b((_LOWER[word] if lower else word).tobytes(), digest_size=16).digest()
+            out[i] = np.frombuffer(digest, "<u8")[int(second)]
+        return mixed(out)
 
     def texts_of(self) -> np.ndarray:
         """The text each word belongs to."""
