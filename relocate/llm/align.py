@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from relocate.llm import exchange, shipped, words
 from relocate.session import saved
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BROADCAST_BYTES = 32 << 20
 #: Longer texts are encoded in parts of about so many characters, cut where neither tokenizer can merge across.
 PART_CHARS = 1 << 18
-WORDS_KEPT = 300_000
+WORDS_KEPT = 50_000
 #: A blank beside other white space or at an end of a text.
 _UNEVEN = re.compile(r"\s | $|^ ")
 _CUT = re.compile("[A-Za-z0-9](?= [A-Za-z0-9])")
@@ -342,7 +342,7 @@ def aligned(
                 to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1)
                 yield _block(number, batch.column(0).slice(at, to - at), batch.column(1).slice(at, to - at), aligner)
                 number, at = number + 1, to
-        pa.default_memory_pool().release_unused()
+            pa.default_memory_pool().release_unused()
 
     state = saved(texts.mapInArrow(begin, _STATE.format(kind=kind)), "align-blocks")
     size = state.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
