@@ -34,8 +34,9 @@ def _printed(df: DataFrame, spec: TableSpec, key: Sequence[str], columns: Sequen
 
 
 def _bucket(level: int) -> Column:
-    """The bucket of a row on a level: the leading bits of its hash."""
-    return F.shiftrightunsigned("_hash", 64 - LEVEL_BITS * level) if level else F.lit(0).cast("bigint")
+    """The bucket of a row on a level: the leading bits of its hash, none of them at the top."""
+    # shifted in two steps, as a shift by all 64 bits is none; always an expression of the row, which keeps joins hashed
+    return F.shiftrightunsigned(F.shiftrightunsigned("_hash", 63 - LEVEL_BITS * level), 1)
 
 
 def _differing(source: DataFrame, target: DataFrame, columns: Sequence[str], level: int) -> DataFrame:
