@@ -84,7 +84,7 @@ def pending_files(landed: DataFrame, state: DataFrame) -> DataFrame:
 
 def unloaded_files(landed: DataFrame, state: DataFrame) -> DataFrame:
     """Landed files that are not loaded, with ``load_id`` where a load of theirs was begun and not finished."""
-    begun = F.col("status").isin(LOADING, FAILED)
+    begun = F.col("status").isin(LOADING, FAILED, RETRY)  # a RETRY names a load only where one got stuck
     return (
         landed.select("task_name")
         .join(state.select("task_name", "status", "load_id"), "task_name", "left")
