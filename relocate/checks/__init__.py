@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-GROUPS = ("catalogs", "rows", "metrics", "staging", "ledgers", "texts", "streams", "partitions", "upkeep", "watches")
+GROUPS = ("catalogs", "rows", "metrics", "staging", "ledgers", "texts", "streams", "partitions", "upkeep", "watches", "waves")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -41,3 +41,14 @@ def running_max(df: DataFrame, order: Sequence[str], value: Column, name: str, l
     inside = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = rows.join(F.broadcast(handed), "_piece").withColumn(name, F.greatest("_handed", F.max("_value").over(inside)))
     return out.drop("_piece", "_value", "_handed")
+
+
+def running_sum(df: DataFrame, order: Sequence[str], value: Column, name: str, label: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows before in ``order``; 0 for the first."""
+    rows = ranged(df.withColumn("_value", value), order, label)
+    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    handed = rows.groupBy("_piece").agg(F.sum("_value").alias("_all"))
+    handed = handed.select("_piece", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_handed"))
+    inside = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_handed") + F.coalesce(F.sum("_value").over(inside), F.lit(0))
+    return rows.join(F.broadcast(handed), "_piece").withColumn(name, before).drop("_piece", "_value", "_handed")

@@ -119,6 +119,16 @@ def loaded_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job
     return load.read_loaded(spark, job.target(spec.name), schema, spec.unique_key, spec.version, chosen)
 
 
+def move_wave(rows: DataFrame, spec: TableSpec, job: Job, wave: int) -> DataFrame:
+    """Stage and load one wave of a table; ``rows`` come from ``waves.wave_rows``. Returns the status per file.
+
+    Each wave has a stage folder of its own beside the table's. A wave that is moved again replaces its own rows.
+    """
+    own = replace(job, step=f"wave{wave}")
+    export_table(rows, spec, own)
+    return import_table(rows.sparkSession, rows.schema, spec, own)
+
+
 def retry(
     spark: SparkSession,
     schema: T.StructType,
