@@ -55,12 +55,12 @@ def export_waves(spark, folder):
 
 @query("relocate_in_waves", "SELECT * FROM documents")
 def relocate_in_waves(spark, folder):
-    """Wave after wave staged and loaded."""
+    """Wave after wave staged and loaded, those of a round by the same jobs."""
     documents = fx.table(spark, folder, "documents")
     job = plan.Job("waves", "db", *(work_folder(spark, name) for name in ("stage", "target", "ledger")))
     step = F.floor(F.col("doc_id") / STEP).cast("bigint")
     placed = _placed(documents, CAP)
-    for wave in waves.numbers(placed):
-        rows = waves.wave_rows(documents, F.col("source"), step, ["doc_id", "text"], placed, wave)
-        plan.move_wave(rows, DOCUMENTS, job, wave)
+    for some in waves.rounds(placed):
+        rows = waves.round_rows(documents, F.col("source"), step, ["doc_id", "text"], placed, some)
+        plan.move_waves(rows, DOCUMENTS, job, some)
     return plan.loaded_table(spark, documents.schema, DOCUMENTS, job)

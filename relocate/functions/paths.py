@@ -21,6 +21,9 @@ HIDDEN_MARK = "."
 # Folder name in front of a partition value, as Spark's partitioned writers lay files out.
 PARTITION_FIELD = "pt"
 
+# Folder name above it where waves are staged together.
+WAVE_FIELD = "_wave"
+
 
 def segment(path: Column | str, position: int) -> Column:
     """One segment of a path, NULL when the path is shorter."""
@@ -55,6 +58,11 @@ def folder_value(path: Column | str) -> Column:
     return decoded(decoded(F.regexp_extract(path, f"/(?:{PARTITION_FIELD}=)?([^/]*)/[^/]*$", 1)))
 
 
+def wave_of(path: Column | str) -> Column:
+    """Wave that a staged file belongs to, NULL where there is none."""
+    return F.regexp_extract(path, f"/{WAVE_FIELD}=([0-9]+)/[^/]*/[^/]*$", 1).try_cast("bigint")
+
+
 def parent_folder(path: Column | str) -> Column:
     """Folder of a file."""
     return F.regexp_replace(path, "/[^/]*$", "")

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relocate.functions.paths import PARTITION_FIELD, folder_value, parent_folder, same_file
+from relocate.functions.paths import PARTITION_FIELD, WAVE_FIELD, folder_value, parent_folder, same_file
 from relocate.operators import ledger
 from relocate.operators.loads import LoadLog
 from relocate.operators.stage import partition_writer
@@ -76,11 +76,15 @@ def load_plan(marked: DataFrame) -> tuple[str, int, int]:
 
     The label is the same whenever the same files are loaded.
     """
+    label, taken, total = marked.agg(_label(F.col("wanted")), F.count_if("wanted"), F.count("*")).first()
+    return label, taken, total - taken
+
+
+def _label(wanted: Column) -> Column:
+    """Label of a load of the ``wanted`` files, as an aggregate: their number and sums of hashes of their names."""
     hashes = [F.xxhash64("task_name"), F.xxhash64(F.lit("label"), F.col("task_name"))]
-    first, second, taken, total = marked.agg(
-        *[F.bit_xor(F.when(F.col("wanted"), value)) for value in hashes], F.count_if("wanted"), F.count("*")
-    ).first()
-    return f"{taken}-{(first or 0) & (2**64 - 1):016x}{(second or 0) & (2**64 - 1):016x}", taken, total - taken
+    sums = [F.coalesce(F.bit_xor(F.when(wanted, value)), F.lit(0).cast("bigint")) for value in hashes]
+    return F.concat(F.count_if(wanted).cast("string"), F.lit("-"), *[F.lower(F.lpad(F.hex(s), 16, "0")) for s in sums])
 
 
 def rows_of_files(staged: DataFrame, marked: DataFrame, taken: int, left_out: int) -> DataFrame:
@@ -261,7 +265,7 @@ def _load(pending: DataFrame, target: _Target, label: str | None = None) -> Data
     log.begin(log.named(label))
     try:
         rows = rows_of_files(target.staged, marked, taken, left_out)
-        append_once(rows.drop("task_name"), target.folder, label)
+        append_once(rows.drop("task_name", WAVE_FIELD), target.folder, label)
     except Exception as error:
         record.append(pending, ledger.FAILED, str(error), label)
         raise
@@ -300,7 +304,8 @@ def settle_open_loads(unloaded: DataFrame, target: _Target) -> bool:
         _load(begun.select("task_name"), target, first[0])
         return True
     counts = target.record.hold(file_counts(target.staged).join(begun, "task_name", "left_semi"))
-    rows = with_file(target.staged).join(begun.select("task_name", "load_id"), "task_name").drop("task_name")
+    names = broadcast_below(begun.select("task_name", "load_id"), begun.count(), BROADCAST_FILES)
+    rows = with_file(target.staged).join(names, "task_name").drop("task_name", WAVE_FIELD)
     labels = begun.select("load_id").distinct()
     target.log.begin(labels)
     try:
@@ -328,6 +333,7 @@ def load_files(
     record: ledger.Ledger,
     present: DataFrame | None = None,
     replaces: bool = False,
+    apart: Column | None = None,
 ) -> DataFrame:
     """Load the landed files that the ledger does not show as loaded, and record every outcome.
 
@@ -345,6 +351,9 @@ def load_files(
     loaded before from the same partition folders of the stage and is no longer there, or is
     loaded again: those rows are withdrawn in the step that shows the new ones. Files that
     were loaded together with them, and still exist, are loaded again as well.
+
+    With ``apart``, files for which it has different values are different loads, each with a label of its own, written
+    in one job.
     """
     missing, listed = None, landed
     if present is not None:
@@ -352,20 +361,22 @@ def load_files(
         missing = known.where("NOT found")
         record.append(missing, ledger.FAILED, "no such file")
         landed, listed = known.where("found"), present
-    status = _load_files(landed, listed if replaces else None, _Target(spark, staged, folder, record))
+    status = _load_files(landed, listed if replaces else None, _Target(spark, staged, folder, record), apart)
     if missing is None:
         return status
     nothing = missing.select("task_name", F.lit(0).cast("bigint").alias("row_count")).limit(0)
     return status.unionByName(file_load_status(missing, nothing))
 
 
-def _load_files(landed: DataFrame, listed: DataFrame | None, target: _Target) -> DataFrame:
+def _load_files(landed: DataFrame, listed: DataFrame | None, target: _Target, apart: Column | None = None) -> DataFrame:
     record = target.record
     unloaded = record.hold(ledger.unloaded_files(landed, record.current()))
     if unloaded.isEmpty():
         return file_load_status(unloaded, unloaded.select("task_name", F.lit(0).cast("bigint").alias("row_count")))
     if listed is not None:
         unloaded, target = _replacing(unloaded, listed, target)
+    if apart is not None:
+        unloaded = _begun_apart(unloaded, apart, record)
     if not settle_open_loads(unloaded, target):
         return _load(unloaded.select("task_name"), target)
     pending = unloaded.where(F.col("load_id").isNull()).select("task_name")
@@ -375,6 +386,15 @@ def _load_files(landed: DataFrame, listed: DataFrame | None, target: _Target) ->
     return record.hold(file_load_status(unloaded.select("task_name"), counts.join(unloaded, "task_name", "left_semi")))
 
 
+def _begun_apart(unloaded: DataFrame, apart: Column, record: ledger.Ledger) -> DataFrame:
+    """``unloaded`` with a load begun for each value of ``apart`` of the files that are in none."""
+    fresh = unloaded.where(F.col("load_id").isNull()).select("task_name", apart.alias("_apart"))
+    labels = fresh.groupBy("_apart").agg(_label(F.lit(True)).alias("load_id"))
+    named = record.hold(fresh.join(labels, fresh["_apart"].eqNullSafe(labels["_apart"])).select("task_name", "load_id"))
+    record.append(named, ledger.LOADING, load_id=F.col("load_id"))
+    return record.hold(unloaded.where(F.col("load_id").isNotNull()).unionByName(named))
+
+
 def _replacing(unloaded: DataFrame, listed: DataFrame, target: _Target) -> tuple[DataFrame, _Target]:
     """The files to load, with those that have to be loaded again beside them, and the target with what they replace."""
     record = target.record

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
@@ -39,13 +41,18 @@ def gathered(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(*[F.col(column) for column in columns], piece)
 
 
-def partition_writer(df: DataFrame, max_rows_per_file: int = 0, gather: bool = True) -> DataFrameWriter:
-    """Writer that replaces the partitions present in ``df`` and leaves the others."""
+def partition_writer(
+    df: DataFrame, max_rows_per_file: int = 0, gather: bool = True, within: Sequence[str] = ()
+) -> DataFrameWriter:
+    """Writer that replaces the partitions present in ``df`` and leaves the others.
+
+    ``within`` names columns of folders above those of the partitions.
+    """
     writer = (
-        (gathered(df, PARTITION_FIELD) if gather else df)
+        (gathered(df, *within, PARTITION_FIELD) if gather else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_FIELD)
+        .partitionBy(*within, PARTITION_FIELD)
     )
     return writer.option("maxRecordsPerFile", max_rows_per_file) if max_rows_per_file else writer
 
@@ -57,6 +64,7 @@ def stage_rows(
     layout: Layout = Layout(),
     gather: bool = True,
     stage_format: StageFormat = PARQUET,
+    within: Sequence[str] = (),
 ) -> None:
     """Write staged rows in one job: Parquet, or headerless text with columns in the order of ``df``.
 
@@ -64,9 +72,9 @@ def stage_rows(
     file from every task. Without it each task writes what it scanned: the choice for
     sources whose files already hold few partitions each, such as partition folders. Only
     the partitions present in ``df`` are replaced, so a repeated run gives the same files'
-    content and other partitions stay.
+    content and other partitions stay. ``within`` names columns of folders above the partitions'.
     """
-    writer = partition_writer(df, max_rows_per_file, gather).options(**layout.options())
+    writer = partition_writer(df, max_rows_per_file, gather, within).options(**layout.options())
     writer.format(stage_format.name).options(**stage_format.options).save(folder)
 
 

@@ -4,6 +4,9 @@ A table is measured by steps of its key inside each partition. Partitions that a
 neighbouring steps, a single step that is too large into parts by a hash of its rows. Slices are put into waves in the
 order of partition and step, by the sum of what comes before them: no list is walked through, and a wave is one range
 of that order.
+
+Neighbouring waves are moved in rounds that share their jobs, so that many small waves cost few jobs and reads of the
+table. A wave keeps its size, its stage folder and its load; a round stages at most the size of all its waves.
 """
 
 from __future__ import annotations
@@ -13,13 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relocate.functions.paths import WAVE_FIELD
 from relocate.operators.sweep import running_sum
 from relocate.session import broadcast_below, saved
 
 # A slice holds less than two of so many parts of a wave.
 GRAIN = 16
 
-# Steps of a wave that are broadcast when its rows are read; a step with its names takes some 100 bytes.
+# Waves that are moved together.
+ROUND = 1024
+
+# Steps of a wave, or of a round, that are broadcast when its rows are read; a step with its names takes some 100 bytes.
 BROADCAST_STEPS = 100_000
 
 
@@ -93,20 +100,36 @@ def slices(placed: DataFrame) -> DataFrame:
 
 
 def numbers(placed: DataFrame) -> range:
-    """The numbers of the waves. Each of them is one job for the driver to start."""
+    """The numbers of the waves."""
     last = placed.agg(F.max("wave")).first()[0]
     return range(0 if last is None else last + 1)
 
 
+def rounds(placed: DataFrame, size: int | None = None) -> list[range]:
+    """The waves in rounds of ``size``, ``ROUND`` if not given; with 1, one wave after the other is staged and loaded.
+
+    Each round is read and moved by the same few jobs, whatever the number of its waves.
+    """
+    all_waves, size = numbers(placed), size or ROUND
+    return [all_waves[at : at + size] for at in range(0, len(all_waves), size)]
+
+
 def wave_rows(
     df: DataFrame, partition: Column, step: Column, key: Sequence[str], placed: DataFrame, wave: int
 ) -> DataFrame:
-    """The rows of one wave. Over all waves each row comes once.
+    """The rows of one wave. Over all waves each row comes once. Arguments are those of ``round_rows``."""
+    return round_rows(df, partition, step, key, placed, range(wave, wave + 1)).drop(WAVE_FIELD)
+
+
+def round_rows(
+    df: DataFrame, partition: Column, step: Column, key: Sequence[str], placed: DataFrame, waves: range
+) -> DataFrame:
+    """The rows of neighbouring waves, with the number of their wave in ``paths.WAVE_FIELD``. Each row comes once.
 
-    ``placed`` is saved. ``key`` names columns that tell rows of one step apart. The wave's range of partitions, and of
-    steps where it lies in one partition, goes to the scan as literals.
+    ``placed`` is saved. ``key`` names columns that tell rows of one step apart. The waves' range of partitions, and of
+    steps where they lie in one partition, goes to the scan as literals.
     """
-    mine = placed.where(F.col("wave") == wave).select("partition", "step", "part", "parts")
+    mine = placed.where(F.col("wave").between(waves[0], waves[-1])).select("partition", "step", "part", "parts", "wave")
     ends = mine.agg(
         F.count("*").alias("n"), F.min("partition"), F.max("partition"), F.min("step"), F.max("step"),
         F.coalesce(F.bool_or(F.col("partition").isNull()), F.lit(False)),
@@ -117,8 +140,9 @@ def wave_rows(
         df = df.where(partition.between(F.lit(first), F.lit(last)))
         if first == last and not no_step:
             df = df.where(step.between(F.lit(low), F.lit(high)))
-    names = {name: f"_wave_{name}" for name in mine.columns}
+    names = {name: f"_wave_{name}" for name in mine.columns} | {"wave": WAVE_FIELD}
     mine = broadcast_below(mine.withColumnsRenamed(names), count, BROADCAST_STEPS)
     part = F.pmod(F.xxhash64(*key), F.col(names["parts"]))
     on = partition.eqNullSafe(F.col(names["partition"])) & step.eqNullSafe(F.col(names["step"]))
-    return df.join(mine, on & (part == F.col(names["part"])), "left_semi")
+    # steps and their parts are unique in ``placed``, so no row comes twice
+    return df.join(mine, on & (part == F.col(names["part"]))).select(*df.columns, WAVE_FIELD)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relocate.functions import paths
-from relocate.functions.paths import PARTITION_FIELD, stage_folder
+from relocate.functions.paths import PARTITION_FIELD, WAVE_FIELD, stage_folder
 from relocate.operators import ledger, load, reconcile, stage
 from relocate.operators.loads import LoadLog
 from relocate.sources import listing, staged
@@ -62,7 +62,8 @@ def export_table(df: DataFrame, spec: TableSpec, job: Job) -> DataFrame:
     """
     folder = job.stage(spec.name)
     rows = stage.staged_rows(df, spec)
-    stage.stage_rows(rows, folder, job.max_rows_per_file, job.layout, job.gather, job.stage_format)
+    within = [WAVE_FIELD] if WAVE_FIELD in df.columns else []
+    stage.stage_rows(rows, folder, job.max_rows_per_file, job.layout, job.gather, job.stage_format, within)
     record = job.ledger(df.sparkSession)
     files = record.hold(listing.list_files(df.sparkSession, folder).select("task_name"))
     known = record.hold(ledger.scan(record.current(), folder).select("task_name", "status"))
@@ -120,13 +121,24 @@ def loaded_table(spark: SparkSession, schema: T.StructType, spec: TableSpec, job
 
 
 def move_wave(rows: DataFrame, spec: TableSpec, job: Job, wave: int) -> DataFrame:
-    """Stage and load one wave of a table; ``rows`` come from ``waves.wave_rows``. Returns the status per file.
+    """Stage and load one wave of a table; ``rows`` come from ``waves.wave_rows``. Returns the status per file."""
+    return move_waves(rows.withColumn(WAVE_FIELD, F.lit(wave).cast("bigint")), spec, job, range(wave, wave + 1))
 
-    Each wave has a stage folder of its own beside the table's. A wave that is moved again replaces its own rows.
+
+def move_waves(rows: DataFrame, spec: TableSpec, job: Job, waves: range) -> DataFrame:
+    """Stage and load neighbouring waves of a table; ``rows`` come from ``waves.round_rows``. Returns the status per file.
+
+    Each wave has a stage folder and a load of its own beside the table's, whether it is moved alone or with others;
+    all share the jobs. A wave that is moved again replaces its own rows.
     """
-    own = replace(job, step=f"wave{wave}")
+    spark, own = rows.sparkSession, replace(job, step="waves")
     export_table(rows, spec, own)
-    return import_table(rows.sparkSession, rows.schema, spec, own)
+    folder, wave = own.stage(spec.name), paths.wave_of("task_name")
+    landed = listing.list_files(spark, folder).where(wave.between(waves[0], waves[-1]))
+    files = staged.read_staged(spark, folder, rows.schema, job.stage_format)
+    files = files.where(F.col(WAVE_FIELD).between(waves[0], waves[-1]))
+    record = job.ledger(spark)
+    return load.load_files(spark, landed, files, job.target(spec.name), record, replaces=not spec.unique_key, apart=wave)
 
 
 def retry(

@@ -118,3 +118,56 @@ def test_a_wave_that_is_moved_again_replaces_its_rows(spark, tmp_path):
         plan.move_wave(waves.wave_rows(df, F.col("p"), F.col("step"), ["id"], found, wave), spec, job, wave)
     shown = plan.loaded_table(spark, df.schema, spec, job)
     assert sorted(r["id"] for r in shown.collect()) == list(range(1500))
+
+
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_jobs_do_not_grow_with_the_waves(spark, monkeypatch):
+    from relocate.checks import waves as queries
+
+    folder = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    jobs = {}
+    for cap in (200_000, 20_000):
+        monkeypatch.setattr(queries, "CAP", cap)
+        found, jobs[cap] = jobs_of(spark, f"cap{cap}", lambda: queries.relocate_in_waves(spark, folder))
+        assert found.exceptAll(documents).isEmpty() and documents.exceptAll(found).isEmpty()
+    assert len(waves.numbers(queries._placed(documents, 20_000))) > 10
+    assert jobs[20_000] < 1.5 * jobs[200_000]
+
+
+@pytest.mark.parametrize("size", [1, 4, None])
+def test_waves_of_a_round_are_staged_and_loaded_apart(spark, tmp_path, size):
+    df = table(spark, uneven(5))
+    found = placed(df, 60_000)
+    spec, many = TableSpec("t", partition="p"), waves.numbers(found)
+    job = plan.Job("job1", "db", f"{tmp_path}/stage", f"{tmp_path}/target", f"{tmp_path}/ledger")
+    assert [w for some in waves.rounds(found, size) for w in some] == list(many) and len(many) > 4
+
+    def move(some):
+        rows = waves.round_rows(df, F.col("p"), F.col("step"), ["id"], found, some)
+        return plan.move_waves(rows, spec, job, some).collect()
+
+    for some in waves.rounds(found, size):
+        assert sum(r["row_count"] for r in move(some)) > 0
+    assert all(r["row_count"] == 0 for r in plan.import_table(spark, df.schema, spec, plan.replace(job, step="waves")).collect())
+    ledger = job.ledger(spark).current().collect()
+    loads, folders = {}, {}
+    for row in ledger:
+        wave = int(row["task_name"].split("/_wave=")[1].split("/")[0])
+        loads.setdefault(wave, set()).add(row["load_id"])
+        folders.setdefault(row["load_id"], set()).add(wave)
+    assert sorted(loads) == list(many) and all(len(x) == 1 for x in [*loads.values(), *folders.values()])
+    shown = plan.loaded_table(spark, df.schema, spec, job)
+    assert sorted(r["id"] for r in shown.collect()) == list(range(1500))
+    # one of them alone, then some together: each replaces its own rows
+    plan.move_wave(waves.wave_rows(df, F.col("p"), F.col("step"), ["id"], found, 2), spec, job, 2)
+    move(many[1:4])
+    shown = plan.loaded_table(spark, df.schema, spec, job)
+    assert shown.columns == df.columns and sorted(r["id"] for r in shown.collect()) == list(range(1500))
