@@ -3,9 +3,8 @@
 Words fall into classes: each of the most frequent words is one, all others are grouped by a hash of their endings.
 Latent states emit classes; a class emits its words by their counts. States are trained by Baum-Welch on all training
 texts: each task adds up its expected counts, Spark adds those of all tasks, and only the sums, of a fixed size, come
-to the driver. Training starts from segments that a hash picks from the whole corpus, about ``START_TOKENS`` in all, and
-then goes over everything until the likelihood settles. A text's likelihood is that of the scaled forward recursion over
-the whole text.
+to the driver. Every pass goes over all training texts, from the first on, until the likelihood settles. A text's
+likelihood is that of the scaled forward recursion over the whole text.
 """
 
 from __future__ import annotations
@@ -23,9 +22,9 @@ from relocate.llm import exchange, shipped, words
 from relocate.session import saved
 
 BUCKETS = 4096
-#: Tokens of the segments that training starts from, as expected of their hashes.
-START_TOKENS = 500_000
-#: Full passes end when one gains less than this, in nats a token.
+#: Tokens of the segments that a task starts together in a pass: they bound its memory and do not change what is counted.
+START_TOKENS = 1 << 20
+#: Passes end when one gains less than this, in nats a token.
 SETTLED = 1e-3
 ENTRY = np.dtype([("count", "<u4"), ("bucket", "<u2")])
 
@@ -34,8 +33,8 @@ ENTRY = np.dtype([("count", "<u4"), ("bucket", "<u2")])
 class Settings:
     states: int = 8
     frequent: int = 4096
-    passes: int = 4  # over all training texts, at most
-    start_passes: int = 15
+    passes: int = 24  # over all training texts, at most
+    first_passes: int = 6  # made in any case: states are alike at first, and the first gains may be small
     segment: int = 256  # training cuts texts into sequences of so many tokens; later ones begin in the steady state
     chain: int = 2048  # scoring runs longer texts as chained pieces; the result is the same
     seed: int = 1
@@ -175,14 +174,14 @@ class Counts:
         self.start = np.zeros(states)
         self.log, self.tokens = 0.0, 0
 
-    def add(self, classes: np.ndarray, sizes: np.ndarray, model: Model, segment: int, heads: np.ndarray | None = None) -> None:
-        """Add texts, cut into segments; ``heads`` tells which of them begin where a text does, all if not given."""
-        begin, length, owner, turn = _segments(sizes, segment)
-        head = (turn == 0) & (True if heads is None else heads[owner])
+    def add(self, classes: np.ndarray, sizes: np.ndarray, model: Model, segment: int, at_once: int = START_TOKENS) -> None:
+        """Add texts, cut into segments, of which about ``at_once`` tokens are worked on together."""
+        begin, length, _, turn = _segments(sizes, segment)
         order = np.argsort(-length, kind="stable")
-        for at in range(0, len(order), 4096):
-            some = order[at : at + 4096]
-            self._add(*_padded(classes, begin[some], length[some]), head[some], model)
+        step = max(1, at_once // segment)
+        for at in range(0, len(order), step):
+            some = order[at : at + step]
+            self._add(*_padded(classes, begin[some], length[some]), turn[some] == 0, model)
 
     def _add(self, table: np.ndarray, running: np.ndarray, head: np.ndarray, model: Model) -> None:
         steps, width = table.shape
@@ -244,20 +243,15 @@ def _trained(tokens: DataFrame, model: Model, settings: Settings) -> Model:
     random = np.random.Generator(np.random.PCG64(settings.seed))
     model.emit = share[:, None] * random.uniform(0.5, 1.5, (classes, states))
     model.emit /= model.emit.sum(axis=0)
-    model.move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
+    # most moves stay, for what a text keeps; some go on to the next state, for what changes from word to word
+    model.move = 0.1 / states + 0.7 * np.eye(states) + 0.2 * np.roll(np.eye(states), 1, axis=1)
     model.start = np.full(states, 1 / states)
 
-    sequence, sizes, heads = _picked(tokens, model, settings)
-    for _ in range(settings.start_passes if len(sizes) else 0):
-        counts = Counts(classes, states)
-        counts.add(sequence, sizes, model, settings.segment, heads)
-        model = _updated(model, counts.rows(), share)
-
-    before = None
-    for _ in range(settings.passes):
+    before, last = None, np.inf
+    for made in range(1, settings.passes + 1):
         names = [f"s{k}" for k in range(states)]
         counted = tokens.select("sizes", "held", "keys", "buckets", "tokens").mapInArrow(
-            _counting(model, settings.segment), "place int, " + ", ".join(f"{n} double" for n in names)
+            _counting(model, settings.segment, START_TOKENS), "place int, " + ", ".join(f"{n} double" for n in names)
         )
         rows, log, seen_tokens = np.zeros((classes + states + 1, states)), 0.0, 0.0
         for row in counted.groupBy("place").agg(*[F.sum(n).alias(n) for n in names]).collect():
@@ -268,9 +262,11 @@ def _trained(tokens: DataFrame, model: Model, settings: Settings) -> Model:
             else:
                 rows[row[0]] = row[1:]
         model = _updated(model, rows, share)
-        if before is not None and log - before < SETTLED * seen_tokens:
+        gain = np.inf if before is None else log - before
+        # a gain that is small and grows comes before states part, not after
+        if not seen_tokens or (made > settings.first_passes and gain < SETTLED * seen_tokens and gain <= last):
             break
-        before = log
+        before, last = log, gain
     return model
 
 
@@ -278,41 +274,14 @@ def _trained(tokens: DataFrame, model: Model, settings: Settings) -> Model:
 _LOG, _SEEN = -1, -2
 
 
-def _picked(tokens: DataFrame, model: Model, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes, sizes, and whether they begin a text, of segments picked by a hash of their text's id and their place.
-
-    The same ones however the texts are dealt over files, and of texts of every length.
-    """
-    limit = np.uint64(min(2**64 - 1, int(START_TOKENS / max(1, model.tokens) * 2**64)))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch[name][i].as_py() for name in batch.schema.names}
-                sequence, sizes, _, _ = _sequences(row, model, training=True)
-                ids = np.array([0 if n is None else n for n, held in zip(row["ids"], row["held"]) if not held], np.int64)
-                begin, length, owner, turn = _segments(sizes, settings.segment)
-                hashes = words.mixed(words.mixed(ids.view(np.uint64))[owner] + turn.astype(np.uint64))
-                own = np.flatnonzero(hashes <= limit)
-                blobs = [sequence[begin[j] : begin[j] + length[j]].astype(np.int32).tobytes() for j in own]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[own].view(np.int64)), pa.array(turn[own] == 0), pa.array(blobs, pa.binary())], ["hash", "head", "classes"]
-                )
-
-    columns = tokens.select("ids", "sizes", "held", "keys", "buckets", "tokens")
-    rows = columns.mapInArrow(pick, "hash long, head boolean, classes binary").orderBy("hash", "classes").collect()
-    sequence = np.frombuffer(b"".join(r["classes"] for r in rows), np.int32).astype(np.int64)
-    return sequence, np.array([len(r["classes"]) // 4 for r in rows], np.int64), np.array([r["head"] for r in rows], bool)
-
-
-def _counting(model: Model, segment: int):
+def _counting(model: Model, segment: int, at_once: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(*model.emit.shape)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch[name][i].as_py() for name in batch.schema.names}
                 sequence, sizes, _, _ = _sequences(row, model, training=True)
-                counts.add(sequence, sizes, model, segment)
+                counts.add(sequence, sizes, model, segment, at_once)
         rows = counts.rows()
         full = np.flatnonzero(rows.any(axis=1))
         said = np.zeros((2, rows.shape[1]))

@@ -242,6 +242,29 @@ def test_training_covers_texts_longer_than_the_start(spark, monkeypatch):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_every_pass_counts_all_training_texts(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "START_TOKENS", 500)
+    rows = [(i, " ".join(f"w{(i * k) % 11}" for k in range(400))) for i in range(30)]
+    counted, plain = [], hmm._updated
+    monkeypatch.setattr(
+        hmm, "_updated", lambda model, rows, share: counted.append((rows[: model.end + 1].sum(), model.tokens)) or plain(model, rows, share)
+    )
+    check_scores(rows, hmm.scored(brute.documents(spark, rows)).collect())
+    assert len(counted) > 1 and all(found == pytest.approx(tokens, rel=1e-4) for found, tokens in counted)
+
+
+def test_batches_of_a_task_do_not_change_what_is_counted():
+    import numpy as np
+
+    model, random = small_model()
+    sizes = random.integers(1, 60, 40)
+    sequence = random.integers(0, 5, sizes.sum())
+    whole, cut = hmm.Counts(5, 3), hmm.Counts(5, 3)
+    whole.add(sequence, sizes, model, 16)
+    cut.add(sequence, sizes, model, 16, at_once=20)
+    assert np.allclose(whole.rows(), cut.rows(), rtol=1e-4, atol=1e-4) and whole.tokens == cut.tokens == sizes.sum()
+
+
 def test_scores_equal_a_plain_forward_pass(spark):
     """The likelihood of each text by one multiplication a token, with the trained model."""
     import numpy as np
