@@ -23,7 +23,7 @@ from relocate.session import saved
 
 BUCKETS = 4096
 #: Tokens of the segments that a task starts together in a pass: they bound its memory and do not change what is counted.
-START_TOKENS = 1 << 20
+START_TOKENS = 1 << 19
 #: Passes end when one gains less than this, in nats a token.
 SETTLED = 1e-3
 ENTRY = np.dtype([("count", "<u4"), ("bucket", "<u2")])
@@ -188,28 +188,32 @@ class Counts:
         first = np.where(head[:, None], model.start, _steady(model.move)).astype(np.float32)
         states = len(model.start)
         move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
+        # a product with ones adds up states, for each of them
+        back_move, ones = np.ascontiguousarray(move.T), np.ones((states, states), np.float32)
         forward = np.zeros((steps, width, states), np.float32)
         scale = np.ones((steps, width), np.float32)
         for t in range(steps):
             n = running[t]
-            now = emit[table[t, :n]]
-            now *= forward[t - 1, :n] @ move if t else first
-            total = now.sum(axis=1)
-            now /= total[:, None]
-            forward[t, :n], scale[t, :n] = now, total
+            now = emit.take(table[t, :n], axis=0)
+            now *= forward[t - 1, :n] @ move if t else first[:n]
+            total = now @ ones
+            np.divide(now, total, out=forward[t, :n])
+            scale[t, :n] = total[:, 0]
         # from here on forward becomes the share of each state at each step
         back = np.ones((width, states), np.float32)
         for t in range(steps - 1, -1, -1):
             n = running[t]
             if t + 1 < steps:
                 m = running[t + 1]
-                ahead = emit[table[t + 1, :m]] * back[:m] / scale[t + 1, :m, None]
-                self.move += forward[t, :m].T.astype(np.float64) @ ahead
-                back[:m] = ahead @ move.T
+                ahead = emit.take(table[t + 1, :m], axis=0)
+                ahead *= back[:m]
+                ahead /= scale[t + 1, :m, None]
+                self.move += forward[t, :m].T @ ahead
+                np.matmul(ahead, back_move, out=back[:m])
             forward[t, :n] *= back[:n]
         live = np.arange(width)[None, :] < running[:, None]
         shares, classes = forward[live], table[live]
-        shares /= shares.sum(axis=1, keepdims=True)
+        shares /= shares @ ones
         for k in range(states):
             self.emit[:, k] += np.bincount(classes, weights=shares[:, k], minlength=len(self.emit))
         if steps:
