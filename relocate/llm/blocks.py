@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from relocate.llm import shipped
+from relocate.llm.memory import lean
 from relocate.session import saved
 
 BLOCK_BYTES = 4 << 20
@@ -45,7 +46,7 @@ def bundled(docs: DataFrame) -> DataFrame:
                 )
                 number += 1
 
-    return docs.mapInArrow(bundle, "block_id long, payload binary")
+    return docs.mapInArrow(lean(bundle), "block_id long, payload binary")
 
 
 def saved_blocks(docs: DataFrame, label: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relocate.llm import shipped
+from relocate.llm.memory import lean
 from relocate.session import saved
 
 FOREST_NODES = 500_000
@@ -71,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
     shipped(edges.sparkSession)
     a, b = edges.columns
     pairs = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
-    now = saved(pairs.mapInArrow(contracted, "u long, v long").distinct(), "components")
+    now = saved(pairs.mapInArrow(lean(contracted), "u long, v long").distinct(), "components")
     last, mark = None, _fingerprint(now)
     while mark != last:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from relocate.llm import shipped, words
 from relocate.llm.components import Forest, components
+from relocate.llm.memory import lean
 from relocate.session import saved
 
 BANDS, ROWS = 30, 5
 BROADCAST_ROWS = 2_000_000
 #: Shingles in one block of a group: of members, and of those that are compared with them.
 BLOCK_SHINGLES, REST_SHINGLES = 1 << 20, 1 << 18
+#: Text that is signed at once: shingles of short texts take some 600 bytes each there.
+SIGNED_BYTES = 1 << 19
 _UNSET = np.uint64(2**64 - 1)
 _STEP = 0x9E3779B97F4A7C15
 _DIRECT = 4
@@ -117,7 +120,7 @@ def _sums(first: np.ndarray, second: np.ndarray, borders: np.ndarray) -> tuple[n
 def _signed(shingle: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, found in words.slices(batch.column(1)):
+            for at, to, found in words.slices(batch.column(1), SIGNED_BYTES):
                 elements, second, borders = shingle_sets(found, shingle)
                 keys = band_keys(superminhash(elements, borders, bands * rows), bands, rows)
                 offsets = pa.array(np.arange(to - at + 1, dtype=np.int32) * bands)
@@ -132,7 +135,7 @@ def _signed(shingle: int, bands: int, rows: int):
                     }
                 )
 
-    return sign
+    return lean(sign)
 
 
 def _listed(shingle: int):
@@ -152,7 +155,7 @@ def _listed(shingle: int):
                     }
                 )
 
-    return sets
+    return lean(sets)
 
 
 def near_duplicates(

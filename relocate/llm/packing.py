@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from relocate.llm import bpe, shipped
+from relocate.llm.memory import lean
 
 #: Tokens of padding that a cut after a sentence, or inside one, is worth.
 SENTENCE, INSIDE = 32, 128
@@ -160,11 +161,10 @@ def packed(
                         yield out
         if waiting is not None:
             yield drained(waiting, last=True)[0]
-        pa.default_memory_pool().release_unused()
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return rows.mapInArrow(pack, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(lean(pack), schema).withColumnRenamed("id", id_col)
 
 
 def _pieces(stream: _Stream, chosen: np.ndarray, sequence: int, type_of_id: pa.DataType) -> pa.RecordBatch:

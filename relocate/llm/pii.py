@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relocate.llm.blocks import saved_blocks, unpacked
+from relocate.llm.memory import lean
 from relocate.session import saved
 
 BROADCAST_BYTES = 32 << 20
@@ -232,7 +233,7 @@ def _found(text_col: str) -> Callable:
                     }
                 )
 
-    return find
+    return lean(find)
 
 
 def _drawn(key: bytes) -> Callable:
@@ -242,7 +243,7 @@ def _drawn(key: bytes) -> Callable:
             new = pa.array([surrogate(key, *row) for row in rows], pa.string())
             yield pa.RecordBatch.from_arrays([batch["kind"], batch["entity"], batch["turn"], new], ["kind", "entity", "turn", "new"])
 
-    return draw
+    return lean(draw)
 
 
 def _family(kind):
@@ -309,7 +310,7 @@ def with_surrogates(docs: DataFrame, key: bytes, text_col: str = "text", count_c
                     columns[count_col] = pa.array(counts, pa.int64())
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return blocks.join(turns, "block_id", "left").mapInArrow(replace, schema)
+    return blocks.join(turns, "block_id", "left").mapInArrow(lean(replace), schema)
 
 
 def _replaced(text: str, own: list[Mention], key: bytes, later: dict) -> str:

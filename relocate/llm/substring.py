@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from relocate.llm import exchange, words
 from relocate.llm.blocks import saved_blocks, unpacked
+from relocate.llm.memory import lean
 from relocate.session import saved
 
 SHORTEST = 10
@@ -112,7 +113,7 @@ def without_repeats(
                 alive = words.starts_inside(found.bounds, min_words, len(found.starts))
                 yield _state(block, _level(found, lengths[0], min_words), alive)
 
-    state = saved(blocks.mapInArrow(begin, _STATE), "substring-state")
+    state = saved(blocks.mapInArrow(lean(begin), _STATE), "substring-state")
     joined = ranges = None
     for k in range(len(lengths)):
         size = state.agg(
@@ -149,7 +150,7 @@ def _step(text_col: str, min_words: int, lengths: list[tuple[int, bool]], k: int
                 alive = level.surviving(_alive(bits, len(level.keys)), ranges, parts or [])
                 yield _state(block, _level(found, lengths[k + 1], min_words), alive) if alive.any() else _state(block)
 
-    return step
+    return lean(step)
 
 
 def _finish(
@@ -170,7 +171,7 @@ def _finish(
                     columns |= {counts[0]: pa.array(np.diff(found.bounds)), counts[1]: pa.array(removed)}
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return finish
+    return lean(finish)
 
 
 def _kept(texts: pa.Array, found: words.Words, alive: np.ndarray, min_words: int) -> tuple[pa.Array, np.ndarray]:
